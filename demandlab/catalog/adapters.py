@@ -183,7 +183,7 @@ CTES = {
     CASE WHEN event_id % 2 = 0 THEN 'single' ELSE 'batch' END AS endpoint,
     CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status,
     event_type AS error_type, value / 100 AS latency_seconds, k, value FROM ev"""),
-    "plog": (["preds"], """SELECT pickup_window AS timestamp, PULocationID AS location_id, hour, day_of_week, month,
+    "plog": (["preds"], """SELECT CAST(NULL AS BIGINT) AS id, pickup_window AS timestamp, PULocationID AS location_id, hour, day_of_week, month,
     lag_1, lag_4, lag_96, rolling_mean_4, by_challenger AS predicted_demand,
     CASE WHEN hour <> 3 THEN CAST(actual_demand AS DOUBLE) END AS actual_demand,
     CASE WHEN hour <> 3 THEN actual_demand - by_challenger END AS error,

@@ -134,7 +134,7 @@ def heat_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("p13_display", sql_over("preds", body="""
-SELECT pickup_window AS "Time", PULocationID AS "Location", round(actual_demand, 1) AS "Actual",
+SELECT pickup_window AS "Time", PULocationID AS "Location", round(CAST(actual_demand AS DOUBLE), 1) AS "Actual",
   round(by_challenger, 1) AS "Predicted", round(actual_demand - by_challenger, 2) AS "Error" FROM preds"""))
 def display(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad.predictions(spark, sf_dir).select(

@@ -10,8 +10,8 @@ from demandlab.catalog.adapters import REFERENCE_END, sql_over
 from demandlab.catalog.joins import DEMAND_LOG, TRAILING_SQL, demand_log
 from demandlab.catalog.registry import query, rounded
 from demandlab.operators.drift import (
-    drift_report, drift_summary, feature_drift, feature_stats, ks_table, prediction_stats, psi_table, sample_counts,
-    shifted_means,
+    drift_report, drift_summary, feature_drift, feature_stats, ks_table, prediction_stats, psi_table, ranked_counts,
+    sample_counts, shifted_means,
 )
 from demandlab.operators.metrics import prediction_performance
 from demandlab.operators.observability import trailing_means
@@ -56,7 +56,7 @@ SELECT feature, round(ks, 6) AS ks, round(p_value, 6) AS p_value, CAST(n AS BIGI
   CAST(m AS BIGINT) AS n_prod FROM ksp"""))
 def ks(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = sample_counts(*ad.reference_and_production(spark, sf_dir))
-    return rounded(ks_table(counts).select("feature", "ks", "p_value", "n_ref", "n_prod"))
+    return rounded(ks_table(ranked_counts(counts)).select("feature", "ks", "p_value", "n_ref", "n_prod"))
 
 
 def psi_sql(source_ref: str, source_prod: str, edges: str, floor: bool = False) -> dict[str, str]:
@@ -91,7 +91,7 @@ ZONE_PSI = {
 SELECT 'PULocationID' AS feature, round(psi, 6) AS psi FROM psi"""))
 def psi_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = sample_counts(*ad.reference_and_production(spark, sf_dir), [ZONE])
-    return rounded(psi_table(counts, integers=[ZONE]))
+    return rounded(psi_table(ranked_counts(counts), integers=[ZONE]))
 
 
 def _event_psi(column: str, floor: bool = False) -> str:
@@ -106,7 +106,7 @@ def _event_psi(column: str, floor: bool = False) -> str:
 
 def _event_counts(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
     rows, cut = ad.events(spark, sf_dir), F.lit(REFERENCE_END).cast("timestamp_ntz")
-    return sample_counts(rows.filter(F.col("ts") < cut), rows.filter(F.col("ts") >= cut), [column])
+    return ranked_counts(sample_counts(rows.filter(F.col("ts") < cut), rows.filter(F.col("ts") >= cut), [column]))
 
 
 @query("d3_psi_values", _event_psi("value"))

@@ -24,3 +24,21 @@ def nested_or(path: str, default) -> Column:
 
 def as_json(*columns: str) -> Column:
     return F.to_json(F.struct(*columns))
+
+
+def two_decimals(x: Column) -> Column:
+    """A non-negative double with two decimals, rounded on its exact binary value.
+
+    ``format_string`` rounds the shortest decimal text instead, so 5.255, which is
+    stored slightly below that, would become 5.26. Scaling by a power of two turns
+    the double into an integer without loss; the rest is integer arithmetic.
+    """
+    scale = F.when(x < 8, F.lit(2**60)).when(x < 4096, F.lit(2**50)).otherwise(F.lit(2**40))
+    unit = scale.cast("decimal(20,0)")
+    hundredfold = (x * scale).cast("bigint").cast("decimal(20,0)") * 100
+    rest = F.pmod(hundredfold, unit)
+    whole = ((hundredfold - rest) / unit).cast("bigint")
+    up = (rest * 2 > unit) | ((rest * 2 == unit) & (whole % 2 == 1))
+    hundredths = whole + up.cast("bigint")
+    return F.concat(F.floor(hundredths / 100).cast("string"), F.lit("."),
+                    F.lpad((hundredths % 100).cast("string"), 2, "0"))

@@ -1,8 +1,9 @@
 """Distribution drift: reference statistics, KS, PSI and the drift table.
 
 Both samples are unpivoted and merged into one table of value counts per
-feature (``ref_n``, ``prod_n``). Every statistic is read off that table, so the
-feature rows are shuffled once, already reduced to distinct values.
+feature (``ref_n``, ``prod_n``), written once. Every statistic is read off that
+table, so the feature rows are read and shuffled once, already reduced to
+distinct values.
 """
 
 from __future__ import annotations
@@ -10,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandlab.functions.numeric import safe_ratio
-from demandlab.operators.ranking import exact_quantiles, running_totals, value_counts
+from demandlab.operators.ranking import exact_quantiles, quantiles_of, running_totals, settle, value_counts
 from demandlab.schemas import FEATURES, ZONE
 
 PSI_LIMIT = 0.1
@@ -35,8 +37,9 @@ def feature_stats(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFram
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    q = exact_quantiles(value_counts(long, ["feature"], "value"), ["feature"], "value", [0.5, 0.25, 0.75])
-    named = q.select("feature", F.col("q0").alias("median"), F.col("q1").alias("q25"), F.col("q2").alias("q75"))
+    counts = settle(value_counts(long, ["feature"], "value"), "feature-values")
+    named = exact_quantiles(counts, ["feature"], "value", [0.5, 0.25, 0.75]).select("feature", *[
+        F.col("quantiles")[i].alias(name) for i, name in enumerate(("median", "q25", "q75"))])
     return moments.join(F.broadcast(named), "feature", "left")
 
 
@@ -44,8 +47,9 @@ def sample_counts(reference: DataFrame, production: DataFrame, features: Sequenc
     """Value counts of both samples: (feature, value, ref_n, prod_n)."""
     ref = long_features(reference, features).withColumn("side", F.lit(0))
     prod = long_features(production, features).withColumn("side", F.lit(1))
-    return value_counts(ref.unionByName(prod), ["feature"], "value",
-                        ref_n=1 - F.col("side"), prod_n=F.col("side"))
+    counted = value_counts(ref.unionByName(prod), ["feature"], "value",
+                           ref_n=1 - F.col("side"), prod_n=F.col("side"))
+    return settle(counted, "sample-counts")
 
 
 def grouped_sample_counts(reference: DataFrame, production: DataFrame, group: str, group_values: Sequence[str],
@@ -61,7 +65,9 @@ def grouped_sample_counts(reference: DataFrame, production: DataFrame, group: st
     prod = value_counts(long_features(production, features, [group]), [group, "feature"], "value", prod_n=F.lit(1))
     prod = prod.select(group, "feature", "value", F.lit(0).cast("long").alias("ref_n"), "prod_n")
     both = ref.unionByName(prod)
-    return both.groupBy(group, "feature", "value").agg(F.sum("ref_n").alias("ref_n"), F.sum("prod_n").alias("prod_n"))
+    merged = both.groupBy(group, "feature", "value").agg(
+        F.sum("ref_n").alias("ref_n"), F.sum("prod_n").alias("prod_n"))
+    return settle(merged, "grouped-counts")
 
 
 def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
@@ -74,28 +80,37 @@ def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * series)))
 
 
-def ks_table(counts: DataFrame, groups: Sequence[str] = ("feature",)) -> DataFrame:
-    """Per group: KS statistic, p-value, and mean and deviation of both samples."""
+def ranked_counts(counts: DataFrame, groups: Sequence[str] = ("feature",), **limits) -> DataFrame:
+    """Counts with the running and total counts of both samples."""
+    return running_totals(counts, list(groups), "value", ["ref_n", "prod_n"], **limits)
+
+
+def ks_table(ranked: DataFrame, groups: Sequence[str] = ("feature",)) -> DataFrame:
+    """Per group: KS statistic, p-value, and mean and deviation of both samples.
+
+    Deviations use moments around the group's own mean, which a second small
+    aggregate joins back.
+    """
     groups = list(groups)
-    totals = {
-        "n_ref": F.sum("ref_n"), "n_prod": F.sum("prod_n"),
-        "s_ref": F.sum(F.col("value") * F.col("ref_n")), "s_prod": F.sum(F.col("value") * F.col("prod_n")),
-    }
-    ranked = running_totals(counts, groups, "value", ["ref_n", "prod_n"], totals)
-    ref_mean, prod_mean = safe_ratio(F.col("s_ref"), F.col("n_ref")), safe_ratio(F.col("s_prod"), F.col("n_prod"))
-    gap = F.abs(safe_ratio(F.col("cum_ref_n"), F.col("n_ref")) - safe_ratio(F.col("cum_prod_n"), F.col("n_prod")))
     v = F.col("value")
-    summed = ranked.groupBy(*groups).agg(
-        F.max(gap).alias("ks"), F.max("n_ref").alias("n_ref"), F.max("n_prod").alias("n_prod"),
-        F.max(ref_mean).alias("reference_mean"), F.max(prod_mean).alias("production_mean"),
-        F.sum(F.col("ref_n") * (v - ref_mean) * (v - ref_mean)).alias("_ref_m2"),
-        F.sum(F.col("prod_n") * (v - prod_mean) * (v - prod_mean)).alias("_prod_m2"),
+    means = ranked.groupBy(*groups).agg(
+        F.max("all_ref_n").alias("n_ref"), F.max("all_prod_n").alias("n_prod"),
+        F.max(F.abs(safe_ratio(F.col("cum_ref_n"), F.col("all_ref_n"))
+                    - safe_ratio(F.col("cum_prod_n"), F.col("all_prod_n")))).alias("ks"),
+        safe_ratio(F.sum(v * F.col("ref_n")), F.max("all_ref_n")).alias("reference_mean"),
+        safe_ratio(F.sum(v * F.col("prod_n")), F.max("all_prod_n")).alias("production_mean"),
+    )
+    # One row per feature (and listed group).
+    off_ref, off_prod = v - F.col("reference_mean"), v - F.col("production_mean")
+    spread = ranked.select(*groups, "value", "ref_n", "prod_n").join(F.broadcast(means), groups).groupBy(*groups).agg(
+        F.sum(F.col("ref_n") * off_ref * off_ref).alias("_ref_m2"),
+        F.sum(F.col("prod_n") * off_prod * off_prod).alias("_prod_m2"),
     )
 
     def deviation(m2: str, n: str) -> Column:
         return F.sqrt(F.try_divide(F.col(m2), (F.col(n) - 1).cast("double")))
 
-    return summed.select(
+    return means.join(F.broadcast(spread), groups).select(
         *groups, "ks", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_prod")).alias("p_value"),
         "n_ref", "n_prod", "reference_mean", "production_mean",
         deviation("_ref_m2", "n_ref").alias("reference_std"), deviation("_prod_m2", "n_prod").alias("production_std"),
@@ -107,22 +122,21 @@ def integer_features(df: DataFrame, features: Sequence[str]) -> list[str]:
     return [f for f in features if isinstance(df.schema[f].dataType, whole)]
 
 
-def psi_edges(counts: DataFrame, groups: Sequence[str], integers: Sequence[str], buckets: int = 10) -> DataFrame:
+def psi_edges(ranked: DataFrame, groups: Sequence[str], integers: Sequence[str], buckets: int = 10) -> DataFrame:
     """Bin edges from the reference: its deciles, or its distinct values for integers with few of them."""
     groups = list(groups)
-    seen = counts.filter(F.col("ref_n") > 0)
-    deciles = exact_quantiles(seen, groups, "value", [i / buckets for i in range(buckets + 1)], weight="ref_n")
-    edges = F.array_sort(F.array_distinct(F.array(*[F.col(f"q{i}") for i in range(buckets + 1)])))
-    deciles = deciles.select(*groups, edges.alias("edges"))
+    shares = [i / buckets for i in range(buckets + 1)]
+    deciles = quantiles_of(ranked, groups, "value", shares, "ref_n").select(
+        *groups, F.array_sort(F.array_distinct("quantiles")).alias("edges"))
     if not integers:
         return deciles
-    whole = seen.filter(F.col("feature").isin(*integers))
-    few = whole.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") < buckets).drop("_n")
-    # Fewer than ``buckets`` values per group are left to collect.
-    listed = whole.join(F.broadcast(few), groups, "left_semi").groupBy(*groups).agg(
-        F.sort_array(F.collect_list("value")).alias("values"))
-    return deciles.join(F.broadcast(listed), groups, "left").select(
-        *groups, F.coalesce("values", "edges").alias("edges"))
+    # The first ``buckets`` distinct values of each integer feature tell whether there are fewer.
+    seen = ranked.filter(F.col("feature").isin(*integers) & (F.col("ref_n") > 0))
+    place = F.row_number().over(W.partitionBy(*groups).orderBy("value"))
+    leading = seen.withColumn("_place", place).filter(F.col("_place") <= buckets)
+    listed = leading.groupBy(*groups).agg(F.sort_array(F.collect_list("value")).alias("values"))
+    few = listed.filter(F.size("values") < buckets)
+    return deciles.join(F.broadcast(few), groups, "left").select(*groups, F.coalesce("values", "edges").alias("edges"))
 
 
 def bin_number(value: Column, edges: Column) -> Column:
@@ -132,7 +146,7 @@ def bin_number(value: Column, edges: Column) -> Column:
     return F.when((slot >= 1) & (slot < F.size(edges)), slot)
 
 
-def psi_table(counts: DataFrame, groups: Sequence[str] = ("feature",), integers: Sequence[str] = (),
+def psi_table(ranked: DataFrame, groups: Sequence[str] = ("feature",), integers: Sequence[str] = (),
               buckets: int = 10, empty_bin: str = "inf") -> DataFrame:
     """Population stability index per group.
 
@@ -142,8 +156,8 @@ def psi_table(counts: DataFrame, groups: Sequence[str] = ("feature",), integers:
     """
     groups = list(groups)
     # Edges: at most buckets + 1 numbers per feature and listed group.
-    edges = F.broadcast(psi_edges(counts, groups, integers, buckets))
-    binned = counts.join(edges, groups).withColumn("bin", bin_number(F.col("value"), F.col("edges")))
+    edges = F.broadcast(psi_edges(ranked, groups, integers, buckets))
+    binned = ranked.select(*groups, "value", "ref_n", "prod_n").join(edges, groups).withColumn("bin", bin_number(F.col("value"), F.col("edges")))
     filled = binned.filter(F.col("bin").isNotNull()).groupBy(*groups, "bin").agg(
         F.sum("ref_n").alias("ref_n"), F.sum("prod_n").alias("prod_n"))
     # Bins empty in both samples contribute nothing, so only filled bins are needed.
@@ -167,10 +181,15 @@ def drift_table(counts: DataFrame, categorical: Sequence[str] = (ZONE,), integer
                 psi_limit: float = PSI_LIMIT, empty_bin: str = "inf") -> DataFrame:
     """One row per feature: PSI for the categorical ones, KS for the others, and how the moments moved."""
     groups = list(groups)
-    ks = ks_table(counts, groups)
-    psi = psi_table(counts.filter(F.col("feature").isin(*categorical)), groups, integers, empty_bin=empty_bin)
-    joined = ks.join(F.broadcast(psi), groups, "left")
-    by_psi = F.col("feature").isin(*categorical)
+    ranked = ranked_counts(counts, groups)
+    joined = ks_table(ranked, groups)
+    if categorical:
+        chosen = ranked.filter(F.col("feature").isin(*categorical))
+        psi = psi_table(chosen, groups, integers, empty_bin=empty_bin)
+        joined = joined.join(F.broadcast(psi), groups, "left")
+    else:
+        joined = joined.withColumn("psi", F.lit(None).cast("double"))
+    by_psi = F.col("feature").isin(*categorical) if categorical else F.lit(False)
     return joined.select(
         *groups,
         F.coalesce(F.when(by_psi, F.col("psi") > psi_limit).otherwise(F.col("p_value") < p_limit), F.lit(False))
@@ -228,8 +247,10 @@ def prediction_stats(df: DataFrame, predicted: str = "predicted") -> DataFrame:
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    median = exact_quantiles(value_counts(tagged, ["sample"], "value"), ["sample"], "value", [0.5])
-    return moments.join(F.broadcast(median.withColumnRenamed("q0", "median")), "sample", "left").drop("sample")
+    counts = settle(value_counts(tagged, ["sample"], "value"), "prediction-values")
+    middle = exact_quantiles(counts, ["sample"], "value", [0.5])
+    median = middle.select("sample", F.col("quantiles")[0].alias("median"))
+    return moments.join(F.broadcast(median), "sample", "left").drop("sample")
 
 
 def shifted_means(hourly: DataFrame, limit: float = 10.0) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandlab.functions.numeric import is_finite, percent_change, percent_error, safe_ratio
-from demandlab.operators.ranking import exact_quantiles, value_counts
+from demandlab.operators.ranking import exact_quantiles, settle, value_counts
 from demandlab.schemas import DEMAND
 
 METRIC_NAMES = [
@@ -55,8 +55,10 @@ def regression_metrics(df: DataFrame, actual: str = DEMAND, predicted: str = "pr
     moments = df.groupBy(*by).agg(*[c.alias(n) for n, c in error_moments(actual, predicted).items()],
                                   F.count(F.lit(1)).alias("samples"))
     errors = df.select(*by, F.abs(F.col(predicted) - F.col(actual)).cast("double").alias("abs_error"))
-    medians = exact_quantiles(value_counts(errors, by, "abs_error"), by, "abs_error", [0.5])
-    joined = moments.join(F.broadcast(medians.withColumnRenamed("q0", "median_ae")), by, "left")
+    counts = settle(value_counts(errors, by, "abs_error"), "abs-errors")
+    middle = exact_quantiles(counts, by, "abs_error", [0.5])
+    medians = middle.select(*by, F.col("quantiles")[0].alias("median_ae"))
+    joined = moments.join(F.broadcast(medians), by, "left")
     return joined.select(*by, *METRIC_NAMES, "samples")
 
 

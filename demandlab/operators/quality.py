@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandlab.functions.documents import texts_if
+from demandlab.functions.documents import texts_if, two_decimals
 from demandlab.functions.numeric import safe_ratio, z_score
 from demandlab.operators.cleaning import duplicate_count
-from demandlab.operators.ranking import exact_quantiles, value_counts
+from demandlab.operators.ranking import exact_quantiles, settle, value_counts
 from demandlab.schemas import QUALITY_MAX_Z, QUALITY_RANGES, QUALITY_Z_STATS, REQUEST_RANGES, WINDOW, ZONE
 
 
@@ -41,8 +41,8 @@ def rule_errors(df: DataFrame) -> Column:
             F.lit(f"{name}: Value "), x.cast("string"), F.lit(f" out of range [{low}, {_limit(high)}]"))))
         if name in QUALITY_Z_STATS:
             z = z_score(x, *QUALITY_Z_STATS[name])
-            checks.append((~absent & (z > QUALITY_MAX_Z), F.format_string(
-                f"{name}: Statistical anomaly detected (z-score: %.2f)", z)))
+            checks.append((~absent & (z > QUALITY_MAX_Z), F.concat(
+                F.lit(f"{name}: Statistical anomaly detected (z-score: "), two_decimals(z), F.lit(")"))))
     return texts_if(checks)
 
 
@@ -118,9 +118,9 @@ def quality_profile(df: DataFrame, columns: Sequence[str] = tuple(QUALITY_RANGES
         F.min("value").alias("min"), F.max("value").alias("max"),
         F.count_if(F.col("value").isNull()).alias("missing_count"),
     )
-    counts = value_counts(long, ["feature"], "value")
-    q = exact_quantiles(counts, ["feature"], "value", [0.25, 0.5, 0.75])
-    q = q.select("feature", F.col("q0").alias("q25"), F.col("q1").alias("median"), F.col("q2").alias("q75"))
+    counts = settle(value_counts(long, ["feature"], "value"), "quality-values")
+    q = exact_quantiles(counts, ["feature"], "value", [0.25, 0.5, 0.75]).select("feature", *[
+        F.col("quantiles")[i].alias(name) for i, name in enumerate(("q25", "median", "q75"))])
     # Quartiles: one row per ruled column.
     fenced = counts.join(F.broadcast(q), "feature")
     spread = 1.5 * (F.col("q75") - F.col("q25"))

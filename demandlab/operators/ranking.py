@@ -1,18 +1,20 @@
-"""Exact ranks, running totals and quantiles without one task per group.
+"""Exact running totals and quantiles that stay within a task's memory.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one task,
 and a running ``sum`` over ``partitionBy(group)`` sorts the whole group in one
-task. Here a group is cut into value slices instead:
+task. Both are fine for a group of known size only, so here
 
 1. equal values are merged first (map-side), so a hot value is one row;
-2. an approximate-quantile sketch (fixed size) picks slice edges per group;
-3. slice totals give each slice its starting rank;
-4. only inside a slice are values ordered.
-
-The sketch decides only where the cuts fall, never a result: ranks and
-quantiles are exact. The edge and offset tables hold ``slices`` rows per group,
-so callers that broadcast them use it for groups named by a fixed list
-(features, models, metrics), never for data-driven keys.
+2. the merged table is written once to the shared folder, because everything
+   below reads it and it is far smaller than its input;
+3. the largest group is counted. Up to ``ONE_TASK_ROWS`` distinct values are
+   ordered in one task. A larger group is cut into value slices: a fixed-size
+   quantile sketch picks the cuts, slice totals give each slice its starting
+   rank, and only the values inside a slice are ordered.
+
+The sketch decides where the cuts fall and never a result: both ways are exact.
+Groups are named by a fixed list (features, models, weeks), which bounds the
+tables of cuts and slice totals that the second way broadcasts.
 """
 
 from __future__ import annotations
@@ -23,7 +25,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SLICES = 64
+from demandlab.session import scratch_path
+
+ONE_TASK_ROWS = 1_000_000
+SLICE_ROWS = 250_000
+MAX_SLICES = 1_000
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Writes a reduced table to the shared folder and returns it as read back."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def value_counts(df: DataFrame, groups: Sequence[str], value: str, **weights: Column) -> DataFrame:
@@ -35,85 +48,86 @@ def value_counts(df: DataFrame, groups: Sequence[str], value: str, **weights: Co
     return normal.groupBy(*groups, value).agg(*[F.sum(w).alias(name) for name, w in weights.items()])
 
 
-def slice_edges(counts: DataFrame, groups: Sequence[str], value: str, totals: dict[str, Column],
-                slices: int = SLICES) -> DataFrame:
-    """Per group: slice edges over its distinct values, plus the wanted totals."""
-    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    edges = F.array_distinct(F.percentile_approx(value, shares, F.lit(10 * slices))).alias("_edges")
-    return counts.groupBy(*groups).agg(edges, *[t.alias(name) for name, t in totals.items()])
+def largest_group(counts: DataFrame, groups: Sequence[str]) -> int:
+    """Rows of the largest group; a single number for the driver."""
+    sizes = counts.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows"))
+    return sizes.agg(F.max("rows")).first()[0] or 0
 
 
-def with_slices(counts: DataFrame, edges: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """Adds ``_slice``: the number of edges below the value."""
-    slot = F.size(F.filter("_edges", lambda e: e < F.col(value)))
-    return counts.join(F.broadcast(edges), list(groups)).withColumn("_slice", slot).drop("_edges")
+def slices_for(rows: int, limit: int = ONE_TASK_ROWS) -> int:
+    """1 when the largest group fits a task, else how many value slices to cut it into."""
+    if rows <= limit:
+        return 1
+    return min(MAX_SLICES, max(2, rows // min(SLICE_ROWS, limit) + 1))
 
 
-def slice_offsets(sliced: DataFrame, groups: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Totals of all earlier slices of the group (``_before_<m>``) and of the slice itself (``_in_<m>``)."""
-    per_slice = sliced.groupBy(*groups, "_slice").agg(*[F.sum(m).alias(f"_in_{m}") for m in measures])
-    earlier = W.partitionBy(*groups).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    return per_slice.withColumns({
-        f"_before_{m}": F.coalesce(F.sum(f"_in_{m}").over(earlier), F.lit(0)) for m in measures
-    })
+def with_slices(counts: DataFrame, groups: Sequence[str], value: str, slices: int) -> DataFrame:
+    """Adds ``_slice``: the number of sketched quantiles of the group below the value."""
+    shares = ", ".join(str(i / slices) for i in range(1, slices))
+    sketch = F.expr(f"array_distinct(percentile_approx(`{value}`, array({shares}), {10 * slices}))")
+    edges = counts.groupBy(*groups).agg(sketch.alias("_edges"))
+    slot = F.size(F.filter("_edges", lambda e: e < F.col(value)))
+    return counts.join(F.broadcast(edges), list(groups)).withColumn("_slice", slot).drop("_edges")
 
 
 def running_totals(counts: DataFrame, groups: Sequence[str], value: str, measures: Sequence[str],
-                   totals: dict[str, Column] | None = None, slices: int = SLICES) -> DataFrame:
-    """Adds ``cum_<m>``: the group's total of ``m`` over all values up to this one.
+                   limit: int = ONE_TASK_ROWS) -> DataFrame:
+    """Adds ``cum_<m>``, the group's total of ``m`` over all values up to this one, and ``all_<m>``, its total.
 
-    ``counts`` holds one row per (group, value). ``totals`` are group aggregates
-    carried along on every row.
+    ``counts`` holds one row per (group, value) and is read more than once, so
+    pass a settled table.
     """
-    edges = slice_edges(counts, groups, value, totals or {}, slices)
-    sliced = with_slices(counts, edges, groups, value)
-    offsets = slice_offsets(sliced, groups, measures).drop(*[f"_in_{m}" for m in measures])
+    groups = list(groups)
+    slices = slices_for(largest_group(counts, groups), limit)
+    if slices == 1:
+        upto = W.partitionBy(*groups).orderBy(value).rowsBetween(W.unboundedPreceding, 0)
+        whole = W.partitionBy(*groups)
+        return counts.withColumns({
+            **{f"cum_{m}": F.sum(m).over(upto) for m in measures},
+            **{f"all_{m}": F.sum(m).over(whole) for m in measures},
+        })
+    sliced = with_slices(counts, groups, value, slices)
+    per_slice = sliced.groupBy(*groups, "_slice").agg(*[F.sum(m).alias(f"_in_{m}") for m in measures])
+    earlier = W.partitionBy(*groups).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(*groups)
+    offsets = per_slice.select(
+        *groups, "_slice",
+        *[F.coalesce(F.sum(f"_in_{m}").over(earlier), F.lit(0)).alias(f"_before_{m}") for m in measures],
+        *[F.sum(f"_in_{m}").over(whole).alias(f"all_{m}") for m in measures],
+    )
     inside = W.partitionBy(*groups, "_slice").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
     joined = sliced.join(F.broadcast(offsets), [*groups, "_slice"])
-    summed = joined.withColumns({
-        f"cum_{m}": F.col(f"_before_{m}") + F.sum(m).over(inside) for m in measures
-    })
+    summed = joined.withColumns({f"cum_{m}": F.col(f"_before_{m}") + F.sum(m).over(inside) for m in measures})
     return summed.drop("_slice", *[f"_before_{m}" for m in measures])
 
 
-def exact_quantiles(counts: DataFrame, groups: Sequence[str], value: str, shares: Sequence[float],
-                    weight: str = "n", slices: int = SLICES) -> DataFrame:
-    """Linearly interpolated quantiles per group: one row with columns ``q0, q1, ...`` in the order of ``shares``.
+def quantiles_of(ranked: DataFrame, groups: Sequence[str], value: str, shares: Sequence[float],
+                 weight: str = "n") -> DataFrame:
+    """Linearly interpolated quantiles from a table with running totals: one array per group.
 
-    Only the slices that hold a wanted rank are ordered.
+    Only the values holding a wanted rank, at most two per share, are gathered.
     """
-    total = f"_total_{weight}"
-    edges = slice_edges(counts, groups, value, {total: F.sum(weight)}, slices).filter(F.col(total) > 0)
-    sliced = with_slices(counts, edges, groups, value)
-    offsets = slice_offsets(sliced.withColumn("_w", F.col(weight)), groups, ["_w"])
-    totals = edges.select(*groups, total)
-    spot = {i: F.lit(float(p)) * (F.col(total) - 1) for i, p in enumerate(shares)}
-    lower = {i: F.floor(s) for i, s in spot.items()}
-    upper = {i: F.ceil(s) for i, s in spot.items()}
-    ranks = F.array_distinct(F.array(*lower.values(), *upper.values()))
-    ranked = offsets.join(F.broadcast(totals), list(groups)).withColumn("_ranks", ranks)
-    wanted = F.filter(
-        "_ranks", lambda r: (r >= F.col("_before__w")) & (r < F.col("_before__w") + F.col("_in__w"))
-    )
-    hit = ranked.withColumn("_ranks", wanted).filter(F.size("_ranks") > 0)
-    hit = hit.select(*groups, "_slice", "_before__w", "_ranks")
-    inside = W.partitionBy(*groups, "_slice").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    near = sliced.join(F.broadcast(hit), [*groups, "_slice"])
-    placed = near.withColumn("_end", F.col("_before__w") + F.sum(weight).over(inside))
-    first = F.col("_end") - F.col(weight)
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= first) & (rank < F.col("_end")), F.col(value)))
-
-    picked = placed.filter(F.exists("_ranks", lambda r: (r >= first) & (r < F.col("_end"))))
-    found = picked.groupBy(*groups).agg(
-        *[at(lower[i]).alias(f"_lo{i}") for i in spot],
-        *[at(upper[i]).alias(f"_hi{i}") for i in spot],
-        F.max(total).alias(total),
-    )
+    asked = F.array(*[F.lit(float(s)) for s in shares])
+    total, end = F.col(f"all_{weight}"), F.col(f"cum_{weight}")
+    first = end - F.col(weight)
+    spots = F.transform(asked, lambda s: s * (total - 1))
+    ranks = F.array_distinct(F.concat(F.transform(spots, lambda s: F.floor(s)), F.transform(spots, lambda s: F.ceil(s))))
+    held = F.filter(ranks, lambda r: (r >= first) & (r < end))
+    hits = ranked.filter(F.col(weight) > 0).withColumn("_held", held).filter(F.size("_held") > 0)
+    pairs = hits.select(*groups, total.alias("_total"), F.col(value).alias("_value"),
+                        F.explode("_held").alias("_rank"))
+    found = pairs.groupBy(*groups).agg(
+        F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at"), F.max("_total").alias("_total"))
+
+    def interpolate(share: Column) -> Column:
+        spot = share * (F.col("_total") - 1)
+        low, high = F.col("_at")[F.floor(spot)], F.col("_at")[F.ceil(spot)]
+        return low + (high - low) * (spot - F.floor(spot))
+
+    return found.select(*groups, F.transform(asked, interpolate).alias("quantiles"))
 
-    def interpolate(i: int) -> Column:
-        share = spot[i] - lower[i]
-        return F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * share
 
-    return found.select(*groups, *[interpolate(i).alias(f"q{i}") for i in spot])
+def exact_quantiles(counts: DataFrame, groups: Sequence[str], value: str, shares: Sequence[float],
+                    weight: str = "n", limit: int = ONE_TASK_ROWS) -> DataFrame:
+    """Per group one array ``quantiles`` in the order of ``shares``. ``counts`` as for ``running_totals``."""
+    return quantiles_of(running_totals(counts, groups, value, [weight], limit), groups, value, shares, weight)

@@ -87,7 +87,8 @@ def main(argv):
     sf = argv[0] if argv else "0.01"
     wanted = argv[1:]
     spark = build_session("oracle-check", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+        "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir = f"{DATA}/sf{sf}"
     con = connect(sf_dir)
