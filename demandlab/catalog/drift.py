@@ -10,8 +10,8 @@ from demandlab.catalog.adapters import REFERENCE_END, sql_over
 from demandlab.catalog.joins import DEMAND_LOG, TRAILING_SQL, demand_log
 from demandlab.catalog.registry import query, rounded
 from demandlab.operators.drift import (
-    drift_report, drift_summary, feature_drift, feature_stats, ks_table, prediction_stats, psi_table, ranked_counts,
-    sample_counts, shifted_means,
+    drift_report, feature_drift_within, feature_stats, ks_table, prediction_stats, psi_table,
+    ranked_counts, sample_counts, shifted_means, split_sample_counts,
 )
 from demandlab.operators.metrics import prediction_performance
 from demandlab.operators.observability import trailing_means
@@ -26,6 +26,12 @@ LONG_SQL = {
 }
 
 
+def reference_or_production() -> tuple:
+    """Row conditions of the reference and the production sample."""
+    cut = F.lit(REFERENCE_END).cast("timestamp_ntz")
+    return F.col(WINDOW) < cut, F.col(WINDOW) >= cut
+
+
 @query("d1_reference_stats", sql_over("ref", extra={"lref": LONG_SQL["lref"]}, body="""
 SELECT feature, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min,
   round(max(value), 6) AS max, round(median(value), 6) AS median, round(quantile_cont(value, 0.25), 6) AS q25,
@@ -55,7 +61,7 @@ def ks_steps(group: str = "feature") -> dict[str, str]:
 SELECT feature, round(ks, 6) AS ks, round(p_value, 6) AS p_value, CAST(n AS BIGINT) AS n_ref,
   CAST(m AS BIGINT) AS n_prod FROM ksp"""))
 def ks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = sample_counts(*ad.reference_and_production(spark, sf_dir))
+    counts = split_sample_counts(ad.features(spark, sf_dir), *reference_or_production())
     return rounded(ks_table(ranked_counts(counts)).select("feature", "ks", "p_value", "n_ref", "n_prod"))
 
 
@@ -106,7 +112,7 @@ def _event_psi(column: str, floor: bool = False) -> str:
 
 def _event_counts(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
     rows, cut = ad.events(spark, sf_dir), F.lit(REFERENCE_END).cast("timestamp_ntz")
-    return ranked_counts(sample_counts(rows.filter(F.col("ts") < cut), rows.filter(F.col("ts") >= cut), [column]))
+    return ranked_counts(split_sample_counts(rows, F.col("ts") < cut, F.col("ts") >= cut, [column]))
 
 
 @query("d3_psi_values", _event_psi("value"))
@@ -140,7 +146,7 @@ SELECT feature, drift_detected, test, round(drift_score, 6) AS drift_score, roun
   round(mean_shift, 6) AS mean_shift, round(reference_std, 6) AS reference_std,
   round(production_std, 6) AS production_std FROM tab"""))
 def drift_of_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(feature_drift(*ad.reference_and_production(spark, sf_dir)))
+    return rounded(feature_drift_within(ad.features(spark, sf_dir), *reference_or_production()))
 
 
 @query("d5_prediction_drift", sql_over("preds", body="""
@@ -166,9 +172,9 @@ SUMMARY_SQL = f"""SELECT total_features, drifted_features, drifted_features > 0
 @query("d6_drift_report", sql_over("ref", "prod", extra=DRIFT_STEPS, body=f"""
 SELECT *, (SELECT count(*) FROM prod) AS production_data_size FROM ({SUMMARY_SQL})"""))
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reference, production = ad.reference_and_production(spark, sf_dir)
-    size = production.agg(F.count(F.lit(1)).alias("n")).scalar()
-    nested = drift_report(feature_drift(reference, production), F.lit("2024-02-01"), size)
+    rows, (in_reference, in_production) = ad.features(spark, sf_dir), reference_or_production()
+    size = rows.agg(F.count_if(in_production).alias("n")).scalar()
+    nested = drift_report(feature_drift_within(rows, in_reference, in_production), F.lit("2024-02-01"), size)
     return nested.select(
         "summary.total_features", "summary.drifted_features", "summary.drift_detected",
         F.array_join("summary.drifted_feature_names", ", ").alias("drifted_feature_names"), "production_data_size")

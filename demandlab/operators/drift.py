@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandlab.functions.numeric import safe_ratio
-from demandlab.operators.ranking import exact_quantiles, quantiles_of, running_totals, settle, value_counts
+from demandlab.operators.ranking import (
+    exact_quantiles, held_ranks, interpolated, rank_map, running_totals, settle, value_counts,
+)
 from demandlab.schemas import FEATURES, ZONE
 
 PSI_LIMIT = 0.1
@@ -52,6 +54,18 @@ def sample_counts(reference: DataFrame, production: DataFrame, features: Sequenc
     return settle(counted, "sample-counts")
 
 
+def split_sample_counts(rows: DataFrame, in_reference: Column, in_production: Column,
+                        features: Sequence[str] = FEATURES) -> DataFrame:
+    """The same table when both samples are parts of one table, which is then read once. The parts may overlap."""
+    marked = rows.withColumns({
+        "_ref": F.coalesce(in_reference, F.lit(False)).cast("int"),
+        "_prod": F.coalesce(in_production, F.lit(False)).cast("int"),
+    }).filter("_ref + _prod > 0")
+    long = long_features(marked, features, ["_ref", "_prod"])
+    counted = value_counts(long, ["feature"], "value", ref_n=F.col("_ref"), prod_n=F.col("_prod"))
+    return settle(counted, "sample-counts")
+
+
 def grouped_sample_counts(reference: DataFrame, production: DataFrame, group: str, group_values: Sequence[str],
                           features: Sequence[str] = FEATURES) -> DataFrame:
     """Counts for several production groups (say weeks) against one reference.
@@ -81,40 +95,33 @@ def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
 
 
 def ranked_counts(counts: DataFrame, groups: Sequence[str] = ("feature",), **limits) -> DataFrame:
-    """Counts with the running and total counts of both samples."""
-    return running_totals(counts, list(groups), "value", ["ref_n", "prod_n"], **limits)
-
-
-def ks_table(ranked: DataFrame, groups: Sequence[str] = ("feature",)) -> DataFrame:
-    """Per group: KS statistic, p-value, and mean and deviation of both samples.
-
-    Deviations use moments around the group's own mean, which a second small
-    aggregate joins back.
-    """
-    groups = list(groups)
+    """Counts with running and total counts of both samples, and the totals the moments need."""
     v = F.col("value")
-    means = ranked.groupBy(*groups).agg(
-        F.max("all_ref_n").alias("n_ref"), F.max("all_prod_n").alias("n_prod"),
-        F.max(F.abs(safe_ratio(F.col("cum_ref_n"), F.col("all_ref_n"))
-                    - safe_ratio(F.col("cum_prod_n"), F.col("all_prod_n")))).alias("ks"),
-        safe_ratio(F.sum(v * F.col("ref_n")), F.max("all_ref_n")).alias("reference_mean"),
-        safe_ratio(F.sum(v * F.col("prod_n")), F.max("all_prod_n")).alias("production_mean"),
-    )
-    # One row per feature (and listed group).
-    off_ref, off_prod = v - F.col("reference_mean"), v - F.col("production_mean")
-    spread = ranked.select(*groups, "value", "ref_n", "prod_n").join(F.broadcast(means), groups).groupBy(*groups).agg(
-        F.sum(F.col("ref_n") * off_ref * off_ref).alias("_ref_m2"),
-        F.sum(F.col("prod_n") * off_prod * off_prod).alias("_prod_m2"),
-    )
+    measured = counts.withColumns({
+        "seen": (F.col("ref_n") > 0).cast("int"),
+        "ref_sum": v * F.col("ref_n"), "prod_sum": v * F.col("prod_n"),
+    })
+    return running_totals(measured, list(groups), "value", ["ref_n", "prod_n"], ["seen", "ref_sum", "prod_sum"],
+                          **limits)
 
-    def deviation(m2: str, n: str) -> Column:
-        return F.sqrt(F.try_divide(F.col(m2), (F.col(n) - 1).cast("double")))
 
-    return means.join(F.broadcast(spread), groups).select(
-        *groups, "ks", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_prod")).alias("p_value"),
-        "n_ref", "n_prod", "reference_mean", "production_mean",
-        deviation("_ref_m2", "n_ref").alias("reference_std"), deviation("_prod_m2", "n_prod").alias("production_std"),
+def ks_table(ranked: DataFrame, groups: Sequence[str] = ("feature",)) -> DataFrame:
+    """Per group: KS statistic, p-value, and mean and deviation of both samples, in one aggregate."""
+    v, n, m = F.col("value"), F.col("all_ref_n"), F.col("all_prod_n")
+    ref_mean, prod_mean = safe_ratio(F.col("all_ref_sum"), n), safe_ratio(F.col("all_prod_sum"), m)
+    gap = F.abs(safe_ratio(F.col("cum_ref_n"), n) - safe_ratio(F.col("cum_prod_n"), m))
+
+    def deviation(count: str, mean: Column, total: Column) -> Column:
+        squares = F.sum(F.col(count) * (v - mean) * (v - mean))
+        return F.sqrt(F.try_divide(squares, F.max(total) - F.lit(1.0)))
+
+    measured = ranked.groupBy(*groups).agg(
+        F.max(gap).alias("ks"), F.max(n).alias("n_ref"), F.max(m).alias("n_prod"),
+        F.max(ref_mean).alias("reference_mean"), F.max(prod_mean).alias("production_mean"),
+        deviation("ref_n", ref_mean, n).alias("reference_std"),
+        deviation("prod_n", prod_mean, m).alias("production_std"),
     )
+    return measured.withColumn("p_value", ks_p_value(F.col("ks"), F.col("n_ref"), F.col("n_prod")))
 
 
 def integer_features(df: DataFrame, features: Sequence[str]) -> list[str]:
@@ -123,20 +130,20 @@ def integer_features(df: DataFrame, features: Sequence[str]) -> list[str]:
 
 
 def psi_edges(ranked: DataFrame, groups: Sequence[str], integers: Sequence[str], buckets: int = 10) -> DataFrame:
-    """Bin edges from the reference: its deciles, or its distinct values for integers with few of them."""
-    groups = list(groups)
+    """Bin edges from the reference: its deciles, or its distinct values for integers with few of them.
+
+    Only the values holding a decile rank, and fewer than ``buckets`` distinct values, are gathered.
+    """
     shares = [i / buckets for i in range(buckets + 1)]
-    deciles = quantiles_of(ranked, groups, "value", shares, "ref_n").select(
-        *groups, F.array_sort(F.array_distinct("quantiles")).alias("edges"))
-    if not integers:
-        return deciles
-    # The first ``buckets`` distinct values of each integer feature tell whether there are fewer.
-    seen = ranked.filter(F.col("feature").isin(*integers) & (F.col("ref_n") > 0))
-    place = F.row_number().over(W.partitionBy(*groups).orderBy("value"))
-    leading = seen.withColumn("_place", place).filter(F.col("_place") <= buckets)
-    listed = leading.groupBy(*groups).agg(F.sort_array(F.collect_list("value")).alias("values"))
-    few = listed.filter(F.size("values") < buckets)
-    return deciles.join(F.broadcast(few), groups, "left").select(*groups, F.coalesce("values", "edges").alias("edges"))
+    few = F.lit(False)
+    if integers:
+        few = F.col("feature").isin(*integers) & (F.col("all_seen") < buckets)
+    seen = ranked.filter(F.col("ref_n") > 0).withColumn("_held", held_ranks(shares, "ref_n"))
+    found = seen.filter((F.size("_held") > 0) | few).groupBy(*groups).agg(
+        rank_map(F.col("_held"), "value").alias("_at"), F.max("all_ref_n").alias("_total"),
+        F.sort_array(F.collect_list(F.when(few, F.col("value")))).alias("_values"))
+    deciles = F.array_sort(F.array_distinct(interpolated(shares, F.col("_at"), F.col("_total"))))
+    return found.select(*groups, F.when(F.size("_values") > 0, F.col("_values")).otherwise(deciles).alias("edges"))
 
 
 def bin_number(value: Column, edges: Column) -> Column:
@@ -157,23 +164,24 @@ def psi_table(ranked: DataFrame, groups: Sequence[str] = ("feature",), integers:
     groups = list(groups)
     # Edges: at most buckets + 1 numbers per feature and listed group.
     edges = F.broadcast(psi_edges(ranked, groups, integers, buckets))
-    binned = ranked.select(*groups, "value", "ref_n", "prod_n").join(edges, groups).withColumn("bin", bin_number(F.col("value"), F.col("edges")))
-    filled = binned.filter(F.col("bin").isNotNull()).groupBy(*groups, "bin").agg(
+    binned = ranked.select(*groups, "value", "ref_n", "prod_n").join(edges, groups)
+    # Values outside the edges stay as a row without a bin, so a reference without bins still has a row.
+    filled = binned.groupBy(*groups, bin_number(F.col("value"), F.col("edges")).alias("bin")).agg(
         F.sum("ref_n").alias("ref_n"), F.sum("prod_n").alias("prod_n"))
-    # Bins empty in both samples contribute nothing, so only filled bins are needed.
-    sums = filled.groupBy(*groups).agg(F.sum("ref_n").alias("_ref"), F.sum("prod_n").alias("_prod"))
-    shares = filled.join(F.broadcast(sums), groups)
-    r, p = safe_ratio(F.col("ref_n"), F.col("_ref")), safe_ratio(F.col("prod_n"), F.col("_prod"))
+    inside = F.col("bin").isNotNull()
+    whole = W.partitionBy(*groups)
+    r = safe_ratio(F.col("ref_n"), F.sum(F.when(inside, F.col("ref_n"))).over(whole))
+    p = safe_ratio(F.col("prod_n"), F.sum(F.when(inside, F.col("prod_n"))).over(whole))
     if empty_bin == "floor":
         r, p = F.greatest(r, F.lit(EMPTY_BIN_FLOOR)), F.greatest(p, F.lit(EMPTY_BIN_FLOOR))
     elif empty_bin != "inf":
         raise ValueError(f"unknown empty_bin {empty_bin!r}")
+    shares = filled.select(*groups, inside.alias("inside"), r.alias("r"), p.alias("p"))
+    r, p = F.col("r"), F.col("p")
+    # A bin empty in both samples contributes nothing and has no row.
     term = F.when((r == 0) & (p == 0), 0.0).when((r == 0) | (p == 0), F.lit(float("inf"))).otherwise(
         (p - r) * F.ln(p / r))
-    scored = shares.groupBy(*groups).agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("psi"))
-    # A constant reference has no bins at all.
-    return edges.select(*groups).join(F.broadcast(scored), groups, "left").withColumn(
-        "psi", F.coalesce("psi", F.lit(0.0)))
+    return shares.groupBy(*groups).agg(F.coalesce(F.sum(F.when(F.col("inside"), term)), F.lit(0.0)).alias("psi"))
 
 
 def drift_table(counts: DataFrame, categorical: Sequence[str] = (ZONE,), integers: Sequence[str] = (ZONE,),
@@ -210,6 +218,15 @@ def feature_drift(reference: DataFrame, production: DataFrame, features: Sequenc
     return drift_table(counts, named, integer_features(reference, named), **limits)
 
 
+def feature_drift_within(rows: DataFrame, in_reference: Column, in_production: Column,
+                         features: Sequence[str] = FEATURES, categorical: Sequence[str] = (ZONE,),
+                         **limits) -> DataFrame:
+    """Drift between two parts of one table, reading it once."""
+    named = [f for f in categorical if f in features]
+    counts = split_sample_counts(rows, in_reference, in_production, features)
+    return drift_table(counts, named, integer_features(rows, named), **limits)
+
+
 def drifted_names(order: Sequence[str] = FEATURES) -> Column:
     """Names of the drifted features in model order; a feature table holds a few dozen rows."""
     place = F.array_position(F.array(*[F.lit(f) for f in order]), F.col("feature"))

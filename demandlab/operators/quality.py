@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,28 +24,36 @@ def _outside(x: Column, low: float, high: float | None) -> Column:
     return (x < low) if high is None else (x < low) | (x > high)
 
 
-def rule_errors(df: DataFrame) -> Column:
-    """Messages of all violated row rules.
+def row_checks(df: DataFrame) -> list[tuple[Column, Column]]:
+    """Every row rule as (violated, message).
 
     A NULL or NaN yields one message and suppresses the column's other rules. A
     column missing from the table fails every row with a single message.
     """
     missing = [c for c in QUALITY_RANGES if c not in df.columns]
     if missing:
-        return F.array(F.lit("Missing features: " + ", ".join(missing)))
+        return [(F.lit(True), F.lit("Missing features: " + ", ".join(missing)))]
     checks: list[tuple[Column, Column]] = []
     for name, (low, high) in QUALITY_RANGES.items():
         x = F.col(name).cast("double")
         absent = x.isNull() | F.isnan(x)
-        bad_range = ~absent & _outside(x, low, high)
         checks.append((absent, F.lit(f"{name}: Value is None or NaN")))
-        checks.append((bad_range, F.concat(
+        checks.append((~absent & _outside(x, low, high), F.concat(
             F.lit(f"{name}: Value "), x.cast("string"), F.lit(f" out of range [{low}, {_limit(high)}]"))))
         if name in QUALITY_Z_STATS:
             z = z_score(x, *QUALITY_Z_STATS[name])
             checks.append((~absent & (z > QUALITY_MAX_Z), F.concat(
                 F.lit(f"{name}: Statistical anomaly detected (z-score: "), two_decimals(z), F.lit(")"))))
-    return texts_if(checks)
+    return checks
+
+
+def rule_errors(df: DataFrame) -> Column:
+    return texts_if(row_checks(df))
+
+
+def passes_rules(df: DataFrame) -> Column:
+    """Whether no row rule is violated, without building any message."""
+    return ~reduce(or_, [violated for violated, _ in row_checks(df)])
 
 
 def with_rule_errors(df: DataFrame) -> DataFrame:
@@ -51,13 +61,13 @@ def with_rule_errors(df: DataFrame) -> DataFrame:
 
 
 def valid_rows(df: DataFrame) -> DataFrame:
-    return with_rule_errors(df).filter(F.size("errors") == 0).drop("errors")
+    return df.filter(passes_rules(df))
 
 
 def validation_summary(df: DataFrame) -> DataFrame:
     """Totals of one batch; the rate is NULL for an empty batch."""
-    counts = with_rule_errors(df).agg(
-        F.count(F.lit(1)).alias("total_records"), F.count_if(F.size("errors") == 0).alias("valid_records")
+    counts = df.agg(
+        F.count(F.lit(1)).alias("total_records"), F.count_if(passes_rules(df)).alias("valid_records")
     )
     return counts.withColumns({
         "invalid_records": F.col("total_records") - F.col("valid_records"),

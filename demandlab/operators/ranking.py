@@ -71,29 +71,28 @@ def with_slices(counts: DataFrame, groups: Sequence[str], value: str, slices: in
 
 
 def running_totals(counts: DataFrame, groups: Sequence[str], value: str, measures: Sequence[str],
-                   limit: int = ONE_TASK_ROWS) -> DataFrame:
+                   totals: Sequence[str] = (), limit: int = ONE_TASK_ROWS) -> DataFrame:
     """Adds ``cum_<m>``, the group's total of ``m`` over all values up to this one, and ``all_<m>``, its total.
 
-    ``counts`` holds one row per (group, value) and is read more than once, so
-    pass a settled table.
+    ``totals`` are columns that only need ``all_<m>``. ``counts`` holds one row
+    per (group, value) and is read more than once, so pass a settled table.
     """
-    groups = list(groups)
+    groups, every = list(groups), [*measures, *totals]
     slices = slices_for(largest_group(counts, groups), limit)
+    whole = W.partitionBy(*groups)
     if slices == 1:
-        upto = W.partitionBy(*groups).orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-        whole = W.partitionBy(*groups)
+        upto = whole.orderBy(value).rowsBetween(W.unboundedPreceding, 0)
         return counts.withColumns({
             **{f"cum_{m}": F.sum(m).over(upto) for m in measures},
-            **{f"all_{m}": F.sum(m).over(whole) for m in measures},
+            **{f"all_{m}": F.sum(m).over(whole) for m in every},
         })
     sliced = with_slices(counts, groups, value, slices)
-    per_slice = sliced.groupBy(*groups, "_slice").agg(*[F.sum(m).alias(f"_in_{m}") for m in measures])
-    earlier = W.partitionBy(*groups).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy(*groups)
+    per_slice = sliced.groupBy(*groups, "_slice").agg(*[F.sum(m).alias(f"_in_{m}") for m in every])
+    earlier = whole.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = per_slice.select(
         *groups, "_slice",
         *[F.coalesce(F.sum(f"_in_{m}").over(earlier), F.lit(0)).alias(f"_before_{m}") for m in measures],
-        *[F.sum(f"_in_{m}").over(whole).alias(f"all_{m}") for m in measures],
+        *[F.sum(f"_in_{m}").over(whole).alias(f"all_{m}") for m in every],
     )
     inside = W.partitionBy(*groups, "_slice").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
     joined = sliced.join(F.broadcast(offsets), [*groups, "_slice"])
@@ -101,33 +100,48 @@ def running_totals(counts: DataFrame, groups: Sequence[str], value: str, measure
     return summed.drop("_slice", *[f"_before_{m}" for m in measures])
 
 
-def quantiles_of(ranked: DataFrame, groups: Sequence[str], value: str, shares: Sequence[float],
-                 weight: str = "n") -> DataFrame:
-    """Linearly interpolated quantiles from a table with running totals: one array per group.
+def ranks_for(shares: Sequence[float], total: Column) -> Column:
+    """The zero-based ranks an interpolated quantile of each share needs."""
+    spots = F.transform(_shares(shares), lambda s: s * (total - 1))
+    return F.array_distinct(F.concat(F.transform(spots, lambda s: F.floor(s)), F.transform(spots, lambda s: F.ceil(s))))
 
-    Only the values holding a wanted rank, at most two per share, are gathered.
-    """
-    asked = F.array(*[F.lit(float(s)) for s in shares])
-    total, end = F.col(f"all_{weight}"), F.col(f"cum_{weight}")
+
+def _shares(shares: Sequence[float]) -> Column:
+    return F.expr("array(" + ", ".join(f"{float(s)}D" for s in shares) + ")")
+
+
+def held_ranks(shares: Sequence[float], weight: str) -> Column:
+    """The wanted ranks a row with running totals covers."""
+    end = F.col(f"cum_{weight}")
     first = end - F.col(weight)
-    spots = F.transform(asked, lambda s: s * (total - 1))
-    ranks = F.array_distinct(F.concat(F.transform(spots, lambda s: F.floor(s)), F.transform(spots, lambda s: F.ceil(s))))
-    held = F.filter(ranks, lambda r: (r >= first) & (r < end))
-    hits = ranked.filter(F.col(weight) > 0).withColumn("_held", held).filter(F.size("_held") > 0)
-    pairs = hits.select(*groups, total.alias("_total"), F.col(value).alias("_value"),
-                        F.explode("_held").alias("_rank"))
-    found = pairs.groupBy(*groups).agg(
-        F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at"), F.max("_total").alias("_total"))
-
-    def interpolate(share: Column) -> Column:
-        spot = share * (F.col("_total") - 1)
-        low, high = F.col("_at")[F.floor(spot)], F.col("_at")[F.ceil(spot)]
+    return F.filter(ranks_for(shares, F.col(f"all_{weight}")), lambda r: (r >= first) & (r < end))
+
+
+def interpolated(shares: Sequence[float], values_at: Column, total: Column) -> Column:
+    """Array of quantiles from a map of rank to value."""
+
+    def at(share: Column) -> Column:
+        spot = share * (total - 1)
+        low, high = values_at[F.floor(spot)], values_at[F.ceil(spot)]
         return low + (high - low) * (spot - F.floor(spot))
 
-    return found.select(*groups, F.transform(asked, interpolate).alias("quantiles"))
+    return F.transform(_shares(shares), at)
+
+
+def rank_map(held: Column, value: str) -> Column:
+    """Aggregates rows into a map of rank to value; at most two entries per share are kept."""
+    entries = F.transform(held, lambda r: F.struct(r.alias("rank"), F.col(value).alias("value")))
+    return F.map_from_entries(F.flatten(F.collect_list(F.when(F.size(held) > 0, entries))))
 
 
 def exact_quantiles(counts: DataFrame, groups: Sequence[str], value: str, shares: Sequence[float],
                     weight: str = "n", limit: int = ONE_TASK_ROWS) -> DataFrame:
-    """Per group one array ``quantiles`` in the order of ``shares``. ``counts`` as for ``running_totals``."""
-    return quantiles_of(running_totals(counts, groups, value, [weight], limit), groups, value, shares, weight)
+    """Linearly interpolated quantiles: one array ``quantiles`` per group, in the order of ``shares``.
+
+    ``counts`` as for ``running_totals``.
+    """
+    ranked = running_totals(counts.filter(F.col(weight) > 0), groups, value, [weight], limit=limit)
+    hits = ranked.withColumn("_held", held_ranks(shares, weight)).filter(F.size("_held") > 0)
+    found = hits.groupBy(*groups).agg(
+        rank_map(F.col("_held"), value).alias("_at"), F.max(f"all_{weight}").alias("_total"))
+    return found.select(*groups, interpolated(shares, F.col("_at"), F.col("_total")).alias("quantiles"))
