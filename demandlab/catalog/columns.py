@@ -53,7 +53,7 @@ SELECT * FROM (SELECT tpep_pickup_datetime, tpep_dropoff_datetime,
   round((epoch_us(tpep_dropoff_datetime) - epoch_us(tpep_pickup_datetime)) / 60000000.0, 6) AS duration_minutes
   FROM trips) WHERE duration_minutes > 1 AND duration_minutes < 300"""))
 def duration_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = with_duration(ad.trips(spark, sf_dir)).filter(plausible_duration(F.col("duration_minutes")))
+    kept = with_duration(ad.trips(spark, sf_dir)).filter(plausible_duration())
     return rounded(kept.select("tpep_pickup_datetime", "tpep_dropoff_datetime", "duration_minutes"))
 
 
@@ -163,8 +163,8 @@ def request_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("f1_floor", """SELECT event_id, time_bucket(INTERVAL 15 MINUTE, ts) AS quarter,
 date_trunc('hour', ts) AS hour_start FROM events""")
 def floors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad.events(spark, sf_dir).select(
-        "event_id", cal.floor_minutes("ts", 15).alias("quarter"), cal.floor_hour("ts").alias("hour_start"))
+    rows = ad.events(spark, sf_dir).withColumn("quarter", cal.floor_minutes("ts", 15))
+    return rows.withColumn("hour_start", cal.floor_hour("ts")).select("event_id", "quarter", "hour_start")
 
 
 @query("f2_f10_calendar", """SELECT o_orderkey, CAST(hour(o_orderdate) AS INTEGER) AS hour,

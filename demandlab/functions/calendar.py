@@ -12,29 +12,46 @@ from pyspark.sql import functions as F
 
 from demandlab.schemas import MANHATTAN_ZONES, WINDOW, ZONE
 
-MICROS_PER_MINUTE = 60_000_000
+def _naive(ts: Column | str) -> Column:
+    return (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
 
 
-def epoch_micros(ts: Column | str) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), _naive(ts))
+def floor_minutes(ts: Column | str, minutes: int = 15) -> Column:
+    """Start of the ``minutes``-wide bucket holding ``ts``.
 
+    Compiles to plain integer arithmetic. As with every Spark time window, rows
+    without a time drop out, and one projection can hold only one floor.
+    """
+    return F.window(ts, f"{minutes} minutes").start
 
-def epoch_seconds(ts: Column | str) -> Column:
-    return F.floor(epoch_micros(ts) / 1_000_000).cast("long")
 
+def floor_hour(ts: Column | str) -> Column:
+    return floor_minutes(ts, 60)
 
-def _naive(ts: Column | str) -> Column:
-    return (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
 
+def seconds_between(start: Column | str, end: Column | str) -> Column:
+    """Seconds from start to end with microsecond precision."""
+    span = _naive(end) - _naive(start)
+    return span.cast("interval second").cast("decimal(18,6)").cast("double")
 
-def floor_minutes(ts: Column | str, minutes: int = 15) -> Column:
-    """Start of the ``minutes``-wide bucket holding ``ts``."""
-    past_start = F.pmod(epoch_micros(ts), F.lit(minutes * MICROS_PER_MINUTE))
-    return F.timestamp_add("MICROSECOND", -past_start, _naive(ts))
 
+def minutes_between(start: Column | str, end: Column | str) -> Column:
+    return seconds_between(start, end) / 60
 
-def floor_hour(ts: Column | str) -> Column:
-    return floor_minutes(ts, 60)
+
+def lasts_between(start: Column | str, end: Column | str, low_minutes: float, high_minutes: float) -> Column:
+    """Whether start to end takes strictly between both limits; compares intervals without converting them."""
+    span = _naive(end) - _naive(start)
+    return (span > _minutes(low_minutes)) & (span < _minutes(high_minutes))
+
+
+def _minutes(n: float) -> Column:
+    return F.make_dt_interval(secs=F.lit(n * 60))
+
+
+def epoch_seconds(ts: Column | str) -> Column:
+    """Whole seconds since 1970 of a naive time."""
+    return (_naive(ts) - F.lit("1970-01-01").cast("timestamp_ntz")).cast("interval second").cast("bigint")
 
 
 def month_start(ts: Column | str) -> Column:
@@ -73,15 +90,6 @@ def in_zones(zone: Column, zones: Iterable[int] = MANHATTAN_ZONES) -> Column:
     return zone.isin(*zones).cast("int")
 
 
-def minutes_between(start: Column | str, end: Column | str) -> Column:
-    """Minutes from start to end with sub-second precision."""
-    return F.timestamp_diff("MICROSECOND", _naive(start), _naive(end)) / F.lit(60_000_000.0)
-
-
-def seconds_between(start: Column | str, end: Column | str) -> Column:
-    return F.timestamp_diff("MICROSECOND", _naive(start), _naive(end)) / F.lit(1_000_000.0)
-
-
 def minute_text(ts: Column | str) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm")
 

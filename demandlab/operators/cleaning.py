@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandlab.functions.calendar import minutes_between
+from demandlab.functions.calendar import lasts_between, minutes_between
 from demandlab.functions.numeric import safe_ratio
 
 PICKUP, DROPOFF, DISTANCE = "tpep_pickup_datetime", "tpep_dropoff_datetime", "trip_distance"
@@ -28,9 +28,9 @@ def positive_distance(distance: str = DISTANCE) -> Column:
     return ~F.isnan(distance) & (F.col(distance) > 0)
 
 
-def plausible_duration(minutes: Column, low: float = 1.0, high: float = 300.0) -> Column:
-    """Strictly between both limits."""
-    return (minutes > low) & (minutes < high)
+def plausible_duration(low: float = 1.0, high: float = 300.0) -> Column:
+    """Trip minutes strictly between both limits."""
+    return lasts_between(PICKUP, DROPOFF, low, high)
 
 
 def with_duration(trips: DataFrame) -> DataFrame:
@@ -39,15 +39,13 @@ def with_duration(trips: DataFrame) -> DataFrame:
 
 def clean_trips(trips: DataFrame, year: int) -> DataFrame:
     """Rows of the year and file month with a positive distance and a plausible duration."""
-    return trips.filter(in_year(year)).filter(in_month()).filter(
-        positive_distance() & plausible_duration(minutes_between(PICKUP, DROPOFF))
-    )
+    return trips.filter(in_year(year) & in_month() & positive_distance() & plausible_duration())
 
 
 def cleaning_funnel(trips: DataFrame, year: int, by: str = "expected_month") -> DataFrame:
     """Rows in, dropped by date, dropped by quality and kept, per file month and in total (NULL month)."""
     dated = F.coalesce(in_year(year) & in_month(), F.lit(False))
-    good = F.coalesce(positive_distance() & plausible_duration(minutes_between(PICKUP, DROPOFF)), F.lit(False))
+    good = F.coalesce(positive_distance() & plausible_duration(), F.lit(False))
     counts = trips.rollup(by).agg(
         F.count(F.lit(1)).alias("original_rows"),
         F.count_if(~dated).alias("date_dropped"),

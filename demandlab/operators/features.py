@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from demandlab.functions.calendar import calendar_columns
+from demandlab.functions.calendar import calendar_columns, minutes_between
 from demandlab.functions.numeric import safe_ratio
 from demandlab.schemas import DEMAND, LAGS, ROLLING_FEATURES, WINDOW, ZONE, lag_features
 
@@ -97,7 +97,7 @@ def feature_row_counts(demand: DataFrame, lags: Sequence[int] = LAGS) -> DataFra
 def gap_report(df: DataFrame, ts: str = WINDOW, zone: str = ZONE) -> DataFrame:
     """Longest distance between neighbouring windows per zone, in minutes."""
     series = W.partitionBy(zone).orderBy(ts)
-    step = F.timestamp_diff("MICROSECOND", F.lag(ts).over(series), F.col(ts)) / 6e7
+    step = minutes_between(F.lag(ts).over(series), F.col(ts))
     return df.select(zone, step.alias("step")).groupBy(zone).agg(
         F.max("step").alias("max_gap_minutes"), F.count("step").alias("steps")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from demandlab.functions.calendar import seconds_between
 from demandlab.functions.numeric import is_finite, percent_change, percent_error, safe_ratio
 from demandlab.operators.ranking import exact_quantiles, settle, value_counts
 from demandlab.schemas import DEMAND
@@ -117,7 +118,7 @@ def running_score(df: DataFrame, actual: str, predicted: str, succeeded: Column,
         F.sum(e * e).alias("sum_sq_error"),
     ]
     if ts:
-        span = F.timestamp_diff("MICROSECOND", F.min(ts), F.max(ts)) / 1e6
+        span = seconds_between(F.min(ts), F.max(ts))
         aggs.append((F.count(F.lit(1)) / F.greatest(span, F.lit(1.0))).alias("requests_per_second"))
     totals = df.agg(*aggs)
     return with_rates(totals)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from demandlab.functions.calendar import epoch_seconds, floor_hour, floor_minutes
+from demandlab.functions.calendar import epoch_seconds, floor_hour, floor_minutes, minutes_between
 from demandlab.functions.numeric import INFINITY, safe_ratio
 
 
@@ -144,7 +144,7 @@ def sustained(windows: DataFrame, labels: Sequence[str], minutes: int, step: int
     run = F.col("_no") - F.row_number().over(W.partitionBy(*labels).orderBy("_no"))
     runs = bad.withColumn("_run", run).groupBy(*labels, "_run").agg(
         F.min(ts).alias("first_at"), F.max(ts).alias("last_at"), F.count(F.lit(1)).alias("windows"))
-    lasted = F.timestamp_diff("MINUTE", F.col("first_at"), F.col("last_at"))
+    lasted = F.floor(minutes_between("first_at", "last_at"))
     return runs.withColumn("minutes", lasted).filter(F.col("minutes") >= minutes).drop("_run")
 
 
