@@ -13,7 +13,7 @@ import sys
 import time
 
 HEADLINE = [
-    "a1_demand_15min", "w6_feature_builder", "a3_cleaning_funnel", "a11_regression_metrics", "q2_batch_validation",
+    "a1_demand_15min", "w6_feature_builder", "a11_regression_metrics", "q2_batch_validation",
     "d4_feature_drift", "o7_fixed_sample", "w10_request_rates", "m2_position_split", "t2_streaming_demand",
 ]
 RUNS = 3

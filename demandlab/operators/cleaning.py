@@ -46,12 +46,15 @@ def cleaning_funnel(trips: DataFrame, year: int, by: str = "expected_month") ->
     """Rows in, dropped by date, dropped by quality and kept, per file month and in total (NULL month)."""
     dated = F.coalesce(in_year(year) & in_month(), F.lit(False))
     good = F.coalesce(positive_distance() & plausible_duration(), F.lit(False))
-    counts = trips.rollup(by).agg(
+    per_month = trips.groupBy(by).agg(
         F.count(F.lit(1)).alias("original_rows"),
         F.count_if(~dated).alias("date_dropped"),
         F.count_if(dated & ~good).alias("quality_dropped"),
         F.count_if(dated & good).alias("clean_rows"),
     )
+    # The roll-up runs over one row per month, so the trips are not doubled for the total.
+    steps = ["original_rows", "date_dropped", "quality_dropped", "clean_rows"]
+    counts = per_month.rollup(by).agg(*[F.sum(c).alias(c) for c in steps])
     return counts.withColumn("pass_rate_pct", safe_ratio(F.col("clean_rows"), F.col("original_rows")) * 100)
 
 

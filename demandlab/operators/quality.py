@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
@@ -24,31 +24,43 @@ def _outside(x: Column, low: float, high: float | None) -> Column:
     return (x < low) if high is None else (x < low) | (x > high)
 
 
-def row_checks(df: DataFrame) -> list[tuple[Column, Column]]:
-    """Every row rule as (violated, message).
+Rule = tuple[Column, Callable[[], Column]]
+
+
+def row_checks(df: DataFrame) -> list[Rule]:
+    """Every row rule as (violated, how to word it).
 
     A NULL or NaN yields one message and suppresses the column's other rules. A
     column missing from the table fails every row with a single message.
     """
     missing = [c for c in QUALITY_RANGES if c not in df.columns]
     if missing:
-        return [(F.lit(True), F.lit("Missing features: " + ", ".join(missing)))]
-    checks: list[tuple[Column, Column]] = []
-    for name, (low, high) in QUALITY_RANGES.items():
-        x = F.col(name).cast("double")
-        absent = x.isNull() | F.isnan(x)
-        checks.append((absent, F.lit(f"{name}: Value is None or NaN")))
-        checks.append((~absent & _outside(x, low, high), F.concat(
-            F.lit(f"{name}: Value "), x.cast("string"), F.lit(f" out of range [{low}, {_limit(high)}]"))))
-        if name in QUALITY_Z_STATS:
-            z = z_score(x, *QUALITY_Z_STATS[name])
-            checks.append((~absent & (z > QUALITY_MAX_Z), F.concat(
-                F.lit(f"{name}: Statistical anomaly detected (z-score: "), two_decimals(z), F.lit(")"))))
-    return checks
+        return [(F.lit(True), lambda: F.lit("Missing features: " + ", ".join(missing)))]
+    return [rule for name in QUALITY_RANGES for rule in _column_checks(name)]
+
+
+def _column_checks(name: str) -> list[Rule]:
+    low, high = QUALITY_RANGES[name]
+    x = F.col(name).cast("double")
+    absent = x.isNull() | F.isnan(x)
+
+    def out_of_range() -> Column:
+        ending = f" out of range [{low}, {_limit(high)}]"
+        return F.concat(F.lit(f"{name}: Value "), x.cast("string"), F.lit(ending))
+
+    rules: list[Rule] = [
+        (absent, lambda: F.lit(f"{name}: Value is None or NaN")),
+        (~absent & _outside(x, low, high), out_of_range),
+    ]
+    if name in QUALITY_Z_STATS:
+        z = z_score(x, *QUALITY_Z_STATS[name])
+        rules.append((~absent & (z > QUALITY_MAX_Z), lambda: F.concat(
+            F.lit(f"{name}: Statistical anomaly detected (z-score: "), two_decimals(z), F.lit(")"))))
+    return rules
 
 
 def rule_errors(df: DataFrame) -> Column:
-    return texts_if(row_checks(df))
+    return texts_if([(violated, wording()) for violated, wording in row_checks(df)])
 
 
 def passes_rules(df: DataFrame) -> Column:

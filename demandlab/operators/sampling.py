@@ -64,18 +64,22 @@ def split_by_month(df: DataFrame, train_months: int = 10, ts: str = WINDOW) -> t
 def label_by_position(df: DataFrame, share: float = 0.8, ts: str = WINDOW, zone: str = ZONE) -> DataFrame:
     """Adds ``part`` by position in (zone, window) order: the first ``share`` of the rows train.
 
-    Zone totals and their prefix sums place each zone; numbering happens inside
-    a zone, so no task sees the whole table.
+    The split point is one (zone, window) pair. Zone totals name its zone, the
+    windows of that one zone (96 a day) name its window, and every row is then
+    compared with it in place: the labelled rows are never shuffled.
     """
     per_zone = df.groupBy(zone).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = W.orderBy(zone).rowsBetween(W.unboundedPreceding, -1)
-    starts = per_zone.select(zone, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    in_zone = F.row_number().over(W.partitionBy(zone).orderBy(ts))
-    numbered = df.withColumn("_in_zone", in_zone).join(starts, zone)
-    position = F.col("_start") + F.col("_in_zone") - 1
-    part = F.when(position < F.floor(total * F.lit(share)), "train").otherwise("validation")
-    return numbered.withColumn("part", part).drop("_in_zone", "_start")
+    upto = F.sum("_n").over(W.orderBy(zone))
+    total = F.sum("_n").over(W.partitionBy())
+    placed = per_zone.withColumns({"_upto": upto, "_train": F.floor(total * F.lit(share))})
+    start = F.col("_upto") - F.col("_n")
+    split_zone = placed.filter((F.col("_train") > start) & (F.col("_train") <= F.col("_upto"))).select(
+        zone, (F.col("_train") - start).alias("_place"))
+    # One zone at most, hence one row.
+    candidates = df.select(zone, ts).join(F.broadcast(split_zone), zone)
+    numbered = candidates.withColumn("_row", F.row_number().over(W.orderBy(ts)))
+    last = numbered.filter(F.col("_row") == F.col("_place")).agg(F.max(F.struct(zone, ts)).alias("last")).scalar()
+    return df.withColumn("part", F.when(F.struct(zone, ts) <= last, "train").otherwise("validation"))
 
 
 def label_by_time(df: DataFrame, share: float = 0.8, ts: str = WINDOW) -> DataFrame:

@@ -28,7 +28,8 @@ def append_log(df: DataFrame, path: str, schema: T.StructType, now: Column | Non
     """Appends to a log table kept by day, so time filters skip whole days."""
     stamp = F.current_timestamp().cast("timestamp_ntz") if now is None else now
     rows = with_log_defaults(df, schema, stamp).withColumn("log_date", F.to_date("timestamp"))
-    rows.write.mode("append").partitionBy("log_date").parquet(path)
+    # Few files per day, with a large day split over several tasks.
+    rows.hint("rebalance", "log_date").write.mode("append").partitionBy("log_date").parquet(path)
 
 
 def metric_rows(wide: DataFrame, metrics: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:

@@ -88,7 +88,9 @@ def between(df: DataFrame, start: str | None = None, end: str | None = None, ts:
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    """Parquet table; with partition columns, rows are rebalanced so a partition gets few files and no huge one."""
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
