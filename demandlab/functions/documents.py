@@ -33,12 +33,14 @@ def two_decimals(x: Column) -> Column:
     stored slightly below that, would become 5.26. Scaling by a power of two turns
     the double into an integer without loss; the rest is integer arithmetic.
     """
-    scale = F.when(x < 8, F.lit(2**60)).when(x < 4096, F.lit(2**50)).otherwise(F.lit(2**40))
+    scale = (F.when(x < 8, F.lit(2**60)).when(x < 2**12, F.lit(2**50)).when(x < 2**22, F.lit(2**40))
+             .when(x < 2**32, F.lit(2**30)).otherwise(F.lit(2**20)))
     unit = scale.cast("decimal(20,0)")
-    hundredfold = (x * scale).cast("bigint").cast("decimal(20,0)") * 100
+    hundredfold = (x * scale).try_cast("bigint").cast("decimal(20,0)") * 100
     rest = F.pmod(hundredfold, unit)
     whole = ((hundredfold - rest) / unit).cast("bigint")
     up = (rest * 2 > unit) | ((rest * 2 == unit) & (whole % 2 == 1))
     hundredths = whole + up.cast("bigint")
-    return F.concat(F.floor(hundredths / 100).cast("string"), F.lit("."),
-                    F.lpad((hundredths % 100).cast("string"), 2, "0"))
+    exact = F.concat(F.floor(hundredths / 100).cast("string"), F.lit("."),
+                     F.lpad((hundredths % 100).cast("string"), 2, "0"))
+    return F.when(x < 2**42, exact).otherwise(F.format_string("%.2f", x))

@@ -142,10 +142,12 @@ def history_stats(df: DataFrame, value: str, order: Sequence[str]) -> DataFrame:
 
 
 def leaderboard(metrics: DataFrame, names: Sequence[str] = METRIC_NAMES,
-                higher: Sequence[str] = HIGHER_IS_BETTER, bias: str = "signed") -> DataFrame:
+                higher: Sequence[str] = HIGHER_IS_BETTER, bias: str = "signed",
+                order: Sequence[str] = ()) -> DataFrame:
     """Metric wins per model over long metric rows (model, metric_name, metric_value).
 
-    Ties score for every tied model. A signed bias rewards the most negative
+    Ties score for every tied model; equal wins go to the model listed first in
+    ``order``, else to the first name. A signed bias rewards the most negative
     one; ``bias="abs"`` rewards the one nearest zero. One row per (model,
     metric), so the windows are tiny.
     """
@@ -157,7 +159,9 @@ def leaderboard(metrics: DataFrame, names: Sequence[str] = METRIC_NAMES,
         "_rank", F.rank().over(W.partitionBy("metric_name").orderBy(cost))
     )
     wins = ranked.groupBy("model").agg(F.count_if(F.col("_rank") == 1).alias("wins"))
-    first = F.row_number().over(W.orderBy(F.desc("wins"), "model"))
+    listed = F.array(*[F.lit(m) for m in order]).cast("array<string>")
+    place = F.nullif(F.array_position(listed, F.col("model")), F.lit(0))
+    first = F.row_number().over(W.orderBy(F.desc("wins"), place.asc_nulls_last(), "model"))
     return wins.withColumn("is_winner", first == 1)
 
 

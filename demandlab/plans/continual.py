@@ -7,17 +7,18 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from demandlab.operators.lifecycle import (
     append_deployment, append_version, next_version, registry_row, retrain_decision,
 )
 from demandlab.operators.metrics import compare_models, performance_check
 from demandlab.operators.models import load_model, save_model, score
+from demandlab.operators.ranking import settle
 from demandlab.plans.drift_check import check_drift, range_rows
 from demandlab.plans.training import retrain
 from demandlab.schemas import CHECK_REPORT, FEATURES, LAGS
 from demandlab.sources.reports import read_registry
-from pyspark.sql import functions as F
 
 
 @dataclass
@@ -89,8 +90,13 @@ def _steps(spark, demand, rows, end, reference_end, run_at, settings, learner, d
     actions.append("retrain_triggered")
 
     window_start = _back(end, settings.training_days)
-    training = range_rows(demand, window_start, end, settings.lags)
-    challenger, metrics = retrain(training, learner, settings.features)
+    # Splitting, fitting and validating all read the training rows.
+    training = range_rows(demand, window_start, end, settings.lags).persist()
+    try:
+        challenger, metrics = retrain(training, learner, settings.features)
+        metrics = settle(metrics, "validation-metrics")
+    finally:
+        training.unpersist()
     registry = read_registry(spark, settings.registry_path)
     version = next_version(registry).first()["version"]
     path = f"{settings.models_dir.rstrip('/')}/{version}"
