@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandlab.catalog import adapters as ad
 from demandlab.catalog.adapters import sql_over
@@ -219,7 +220,7 @@ SELECT model_version, endpoint, count(*) AS n, count(actual_demand) AS with_actu
 def log_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "prediction-log")
     append_log(ad.prediction_log(spark, sf_dir), path, PREDICTION_LOG)
-    stored = spark.read.parquet(path)
+    stored = spark.read.schema(T.StructType(PREDICTION_LOG.fields).add("log_date", "date")).parquet(path)
     return stored.groupBy("model_version", "endpoint").agg(
         F.count(F.lit(1)).alias("n"), F.count("actual_demand").alias("with_actual"), F.count("id").alias("with_id"),
         F.min("created_at").alias("first_created"), F.count_distinct("log_date").alias("days"))

@@ -259,15 +259,14 @@ def drift_report(table: DataFrame, run_at: Column, production_size: Column,
 
 def prediction_stats(df: DataFrame, predicted: str = "predicted") -> DataFrame:
     """Mean, population deviation, range and exact median of the predictions."""
-    tagged = df.select(F.lit("all").alias("sample"), F.col(predicted).cast("double").alias("value"))
-    moments = tagged.groupBy("sample").agg(
+    values = df.select(F.lit("all").alias("sample"), F.col(predicted).cast("double").alias("value"))
+    counts = settle(value_counts(values, ["sample"], "value"), "prediction-values")
+    median = exact_quantiles(counts, ["sample"], "value", [0.5]).select(F.col("quantiles")[0]).scalar()
+    moments = values.agg(
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    counts = settle(value_counts(tagged, ["sample"], "value"), "prediction-values")
-    middle = exact_quantiles(counts, ["sample"], "value", [0.5])
-    median = middle.select("sample", F.col("quantiles")[0].alias("median"))
-    return moments.join(F.broadcast(median), "sample", "left").drop("sample")
+    return moments.withColumn("median", median)
 
 
 def shifted_means(hourly: DataFrame, limit: float = 10.0) -> DataFrame:
