@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,10 +34,24 @@ def read_table(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
 
 
 def read_trips(spark: SparkSession, paths: str | Sequence[str], strict_month: bool = True) -> DataFrame:
-    """All trip files in one scan, with the month each file name promises."""
-    trips = read_table(spark, paths, TRIPS)
-    name = F.col("_metadata.file_path")
-    return trips.select(*TRIPS.fieldNames(), file_month(name, strict_month).alias("expected_month"))
+    """Trip files with the month each name promises.
+
+    Monthly paths are read as one branch per calendar month, whose month is then
+    a constant. A directory holding monthly files takes the month from each
+    row's file name instead, which costs a pattern match per row.
+    """
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    by_month: dict[int, list[str]] = {}
+    for path in listed:
+        named = re.search(MONTH_IN_NAME + "/?$", path)
+        if named is None:
+            month = file_month(F.col("_metadata.file_path"), strict_month)
+            return read_table(spark, listed, TRIPS).select(*TRIPS.fieldNames(), month.alias("expected_month"))
+        by_month.setdefault(int(named.group(2)), []).append(path)
+    branches = [
+        read_table(spark, by_month[m], TRIPS).withColumn("expected_month", F.lit(m)) for m in sorted(by_month)
+    ]
+    return reduce(DataFrame.unionByName, branches)
 
 
 def read_directory(spark: SparkSession, directory: str, pattern: str = "*.parquet",

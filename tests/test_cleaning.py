@@ -59,6 +59,7 @@ def test_month_comes_from_the_file_name(spark):
     spark.createDataFrame(rows, TRIPS).write.parquet(f"{folder}/trips_2024-01.parquet")
     spark.createDataFrame(rows, TRIPS).write.parquet(f"{folder}/bad.parquet")
     assert clean_trips(read_trips(spark, f"{folder}/trips_2024-01.parquet"), 2024).count() == 1
+    assert read_trips(spark, f"{folder}/trips_*.parquet").agg(F.max("expected_month")).first()[0] == 1
     lax = read_trips(spark, f"{folder}/bad.parquet", strict_month=False)
     assert lax.filter("expected_month IS NULL").count() == 3
     with pytest.raises(PySparkException, match="no month in file name"):
