@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from demandlab.catalog import adapters as ad
 from demandlab.catalog.adapters import sql_over
 from demandlab.catalog.columns import ZONES
-from demandlab.catalog.drift import DRIFT_STEPS, NAMES_SQL, SUMMARY_SQL, drift_check
+from demandlab.catalog.drift import DRIFT_STEPS, SUMMARY_SQL
 from demandlab.catalog.joins import COMPARE_SQL
 from demandlab.catalog.registry import query, rounded
 from demandlab.catalog.scans import REGISTRY_SQL, stored_registry

@@ -9,13 +9,12 @@ from pyspark.sql import types as T
 from demandlab.catalog import adapters as ad
 from demandlab.catalog.adapters import sql_over
 from demandlab.catalog.registry import query, rounded
-from demandlab.operators.demand import build_demand
 from demandlab.operators.drift import feature_drift, drift_report
 from demandlab.operators.metrics import METRIC_NAMES, regression_metrics
 from demandlab.plans.drift_check import production_rows, reference_rows
 from demandlab.schemas import (
     CHECK_REPORT, DEMAND, DRIFT_REPORT, FEATURES, METRIC_LOG, MODEL_REGISTRY, PREDICTION_LOG, WINDOW, ZONE, table,
-    DBL, LONG, NTZ, STR, TRIPS, INT,
+    DBL, INT, NTZ, STR, TRIPS,
 )
 from demandlab.session import scratch_path
 from demandlab.sources.logs import append_log, metric_log

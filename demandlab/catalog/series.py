@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from demandlab.catalog import adapters as ad
 from demandlab.catalog.adapters import sql_over
-from demandlab.catalog.joins import DEMAND_LOG, TRAILING_SQL, demand_log
+from demandlab.catalog.joins import TRAILING_SQL
 from demandlab.catalog.registry import query, rounded
 from demandlab.catalog.scans import DAILY_SQL, FEATURE_SQL, SAMPLE_ORDER, SAMPLE_TS, daily_checks
 from demandlab.operators.cleaning import concat_tables, duplicate_count, keep_first

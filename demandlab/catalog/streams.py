@@ -13,7 +13,7 @@ from demandlab.catalog.series import SLIDING
 from demandlab.operators.models import linear_model, train
 from demandlab.operators.observability import error_rate_alerts, latency_alerts, sustained
 from demandlab.schemas import (
-    DEMAND, DEMAND_TABLE, FEATURES, LAGS, ROLLING_FEATURES, WINDOW, ZONE, lag_features,
+    DEMAND, DEMAND_TABLE, LAGS, ROLLING_FEATURES, WINDOW, ZONE, lag_features,
 )
 from demandlab.session import scratch_path
 from demandlab.streaming.checks import check_stream, quarantine_stream
