@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandlab.llm import warc
+from demandlab.llm import decontam, jaccard, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.query,
+    "op2_ngram_jaccard": jaccard.query,
+    "op5_decontamination": decontam.query,
 }
 
 SQL: dict[str, str] = {
     "op1_warc": warc.SQL,
+    "op5_decontamination": decontam.SQL,
 }
