@@ -175,9 +175,8 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         large = (both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
                  .where("hi <> lo").distinct())
         down = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = (large.join(down, "hi").select(F.explode(F.array(F.struct("lo", "m"), F.struct(F.col("hi"), F.col("m"))))
-                                              .alias("e"))
-                 .select(F.col("e.lo").alias("hi"), F.col("e.m").alias("lo")).where("hi <> lo").distinct())
+        small = (large.join(down, "hi").select(F.explode(F.array("lo", "hi")).alias("hi"), F.col("m").alias("lo"))
+                 .where("hi <> lo").distinct())
         after = settle(small, label)
         # Done when no low end is itself a high end and every high end has one low end.
         tops = after.groupBy("hi").agg(F.count(F.lit(1)).alias("n"))
