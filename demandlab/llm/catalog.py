@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandlab.llm import decontam, jaccard, warc
+from demandlab.llm import decontam, jaccard, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.query,
     "op2_ngram_jaccard": jaccard.query,
+    "op3_secrets": secrets.query,
     "op5_decontamination": decontam.query,
 }
 
