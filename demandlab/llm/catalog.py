@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandlab.llm import decontam, jaccard, secrets, warc
+from demandlab.llm import decontam, jaccard, secrets, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.query,
     "op2_ngram_jaccard": jaccard.query,
     "op3_secrets": secrets.query,
     "op5_decontamination": decontam.query,
+    "op10_spot_signatures": spotsigs.query,
 }
 
 SQL: dict[str, str] = {
     "op1_warc": warc.SQL,
     "op5_decontamination": decontam.SQL,
+    "op10_spot_signatures": spotsigs.SQL,
 }
