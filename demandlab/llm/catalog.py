@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandlab.llm import decontam, jaccard, langid, quality, secrets, spotsigs, warc
+from demandlab.llm import decontam, jaccard, langid, pieces, quality, secrets, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.query,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": decontam.query,
     "op7_language": langid.query,
     "op8_quality": quality.query,
+    "op9_sentencepiece": pieces.query,
     "op10_spot_signatures": spotsigs.query,
 }
 

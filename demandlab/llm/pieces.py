@@ -2,10 +2,9 @@
 
 The model file is a protobuf message; a small reader takes pieces, scores, types and
 the normaliser's settings from it. From these a tokenizers pipeline is rebuilt:
-normaliser (character map, extra blanks, metaspace marker and its prefix), the cut
-into words where no piece crosses a marker, the model (unigram scores, or merges by
-score for a BPE model) with byte fallback, and the decoder. Batches are encoded
-by the library's own threads.
+normaliser (character map, extra blanks, metaspace marker and its prefix), the model
+(unigram scores, or merges by score for a BPE model) with byte fallback, and the
+decoder. Batches are encoded by the library's own threads.
 
 Parity is verified on whole texts: ``encode`` compares the ids of every text with the
 reference processor's and counts differences in ``parity``; where they differ, the
@@ -18,7 +17,6 @@ input columns with a result's name are left out; rows are never merged or droppe
 from __future__ import annotations
 
 import os
-import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -129,13 +127,13 @@ def _merges(model: PieceModel) -> list[tuple[str, str]]:
 
 def build_tokenizer(model: PieceModel):
     """The tokenizers pipeline of a parsed model."""
-    from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+    from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
     vocabulary = {p: i for i, (p, _, _) in enumerate(model.pieces)}
     unknown = next((i for i, x in enumerate(model.pieces) if x[2] == UNKNOWN), 0)
     if model.kind == BPE:
         core = models.BPE(vocab=vocabulary, merges=_merges(model), unk_token=model.pieces[unknown][0], fuse_unk=True,
-                          byte_fallback=model.byte_fallback, cache_capacity=50_000)
+                          byte_fallback=model.byte_fallback, cache_capacity=0)
     else:
         core = models.Unigram([(p, s) for p, s, _ in model.pieces], unknown, model.byte_fallback)
     tokenizer = Tokenizer(core)
@@ -149,10 +147,9 @@ def build_tokenizer(model: PieceModel):
     if model.mark_blanks:
         steps_.append(normalizers.Replace(" ", MARK))
     tokenizer.normalizer = normalizers.Sequence(steps_)
-    if not any(re.search(f"[^{MARK}]{MARK}", p) for p, _, kind in model.pieces if kind in (NORMAL, USER)):
-        # No piece crosses from a word to the next marker, so words can be encoded, and cached, one by one.
-        tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*"), "isolated")
-    parts = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
+    # No cut into words before the model: a whole text is one unit, as it is for the reference, and
+    # merging it at once takes half the time of cutting it and looking words up in the library's cache.
+    parts = [decoders.ByteFallback(), decoders.Fuse(), decoders.Replace(MARK, " ")]
     if model.add_prefix:
         parts.append(decoders.Strip(" ", 1, 0))
     tokenizer.decoder = decoders.Sequence(parts)
