@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandlab.llm import decontam, jaccard, langid, pieces, quality, secrets, spotsigs, warc
+from demandlab.llm import decontam, jaccard, langid, lm, pieces, quality, secrets, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.query,
     "op2_ngram_jaccard": jaccard.query,
     "op3_secrets": secrets.query,
+    "op4_lm_score": lm.query,
     "op5_decontamination": decontam.query,
     "op7_language": langid.query,
     "op8_quality": quality.query,
