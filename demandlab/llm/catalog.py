@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandlab.llm import decontam, jaccard, langid, lm, pieces, quality, secrets, spotsigs, warc
+from demandlab.llm import decontam, jaccard, langid, licenses, lm, pieces, quality, secrets, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": secrets.query,
     "op4_lm_score": lm.query,
     "op5_decontamination": decontam.query,
+    "op6_licenses": licenses.query,
     "op7_language": langid.query,
     "op8_quality": quality.query,
     "op9_sentencepiece": pieces.query,

@@ -33,7 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlab.llm.common import WORDS, components, settle, shingle_hashes, steps, table, text_bytes, word_hashes
@@ -68,12 +68,13 @@ def min_hashes(runs: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
     return np.minimum.reduceat((runs * MULTIPLIERS[k] + ADDENDS[k]) >> np.uint64(32), first)
 
 
-SIGNED = "doc_id long, key long, bands array<long>"
-SIGNED_ARROW = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("bands", pa.list_(pa.int64()))])
+SIGNED = "doc_id long, text_hash long, key long, bands array<long>"
+SIGNED_ARROW = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("key", pa.int64()),
+                          ("bands", pa.list_(pa.int64()))])
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """doc_id, key (class of equal words) and a hash per band of every document."""
+    """doc_id, text_hash, key (class of equal words) and a hash per band of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,10 +95,16 @@ def sign(docs: DataFrame) -> DataFrame:
                         made[:, band] = h
                     for i, row in zip(full, made.view(np.int64).tolist(), strict=True):
                         bands[i] = row
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "key": keys, "bands": bands},
-                                                 schema=SIGNED_ARROW)
+                yield pa.RecordBatch.from_pydict(
+                    {"doc_id": part.column("doc_id"), "text_hash": part.column("text_hash"), "key": keys,
+                     "bands": bands}, schema=SIGNED_ARROW)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SIGNED)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash()).mapInArrow(run, SIGNED)
+
+
+def text_hash() -> Column:
+    """With doc_id it tells rows apart whose ids repeat; null is empty text."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash")
 
 
 @lru_cache(maxsize=8)
@@ -214,7 +221,8 @@ def join_near_copies(docs: DataFrame, threshold: float = THRESHOLD, tolerance: f
                      block: int = BLOCK) -> DataFrame:
     """A row per document: doc_id, class_id (smallest doc_id with the same words), n_copies
     (documents of the class), n_links (other documents that reach the threshold, copies
-    included) and group_id (smallest doc_id that links lead to)."""
+    included) and group_id (smallest doc_id that links lead to); text_hash and group_key (the
+    group without regard to ids) serve callers that keep some rows of ``docs``."""
     signed = settle(sign(docs), "jaccard-signed")
     lowest = -(1 << 63)
     classes = settle(signed.groupBy("key").agg(
@@ -246,10 +254,21 @@ def join_near_copies(docs: DataFrame, threshold: float = THRESHOLD, tolerance: f
     named = info.groupBy("root").agg(F.min("class_id").alias("group_id"))
     info = info.join(named, "root").select(
         "key", "class_id", "n_copies", (F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"),
-        "group_id")
-    return signed.select("doc_id", "key").join(info, "key").drop("key")
+        "group_id", F.col("root").alias("group_key"))
+    return signed.select("doc_id", "text_hash", "key").join(info, "key").drop("key")
+
+
+def keep_one_per_group(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group the row with the smallest doc_id."""
+    row = {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), "_text": text_hash()}
+    found = join_near_copies(docs, **options)
+    kept = found.groupBy("group_key").agg(F.min(F.struct(
+        F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("_id"), F.col("text_hash").alias("_text"))).alias("first"))
+    return (docs.withColumns(row).join(kept.select("first._id", "first._text"), ["_id", "_text"], "left_semi")
+            .dropDuplicates(["_id", "_text"]).drop("_id", "_text"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op2: a row per document with its class, its number of links and its group."""
-    return join_near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = join_near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_copies", "n_links", "group_id")
