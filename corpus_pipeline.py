@@ -1,15 +1,71 @@
-"""The corpus pipeline: its stages, applied one after another to ``documents``."""
+"""The corpus pipeline: its stages, applied one after another to ``documents``.
+
+1. Quality: documents that the ranking rejects go.
+2. Near copies: of each group of documents that share 0.8 of their five-word runs one stays.
+3. Benchmark decontamination: contaminated documents go.
+4. Secrets: every span found in a text is replaced by a mark.
+5. SentencePiece: texts become ids, which are decoded again as a check.
+
+Every stage is a function of (spark, docs, sf_dir). All but the last return the columns of
+``documents``; the last has ids in place of the text. Rows with null or empty text
+pass through every stage by the rules of its operator.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES = []
+from demandlab.llm import decontam, jaccard, pieces, quality, secrets
+from demandlab.llm.common import crc_remainder, settle, table
+
+# No SQL expresses a trained ranking, a similarity join or a tokenizer: tests compare with brute force.
 ORACLE_SQL = None
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learns from two thirds of the labels, as the scoring query does, and judges every document."""
+    learned = crc_remainder(F.col("doc_id"), 3) != 1
+    ranking = quality.learn(docs.where(learned), table(spark, sf_dir, "labels").where(learned))
+    return quality.score(docs, ranking).where("predicted = 1").select(docs.columns)
+
+
+def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.keep_one_per_group(docs).select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.where("NOT contaminated").select(docs.columns)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    clean = secrets.redact(secrets.find_secrets(docs))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        clean = clean.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast(kind))
+                                 .otherwise(F.col("n_chars")))
+    return clean.select(docs.columns)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids in place of the text; round_trip tells whether they decode to it."""
+    found = pieces.encode(docs, pieces.read_model())
+    return found.withColumn("round_trip", F.col("decoded").eqNullSafe(F.col("text"))).drop("decoded", "text")
+
+
+STAGES = [
+    ("quality", keep_good),
+    ("near_copies", keep_one_copy),
+    ("decontamination", drop_contaminated),
+    ("secrets", mask_secrets),
+    ("sentencepiece", encode_pieces),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """Applies the stages; each result is written to the shared folder before the next reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
