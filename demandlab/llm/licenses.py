@@ -29,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlab.llm.common import bounded_sample, table
+from demandlab.llm.common import bounded_sample, settle, table
 
 NONE, UNKNOWN = "none", "unknown"
 SAMPLE_ROWS = 3000
@@ -118,10 +118,10 @@ def _probability(rows: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame) -> Scanner:
     spark = docs.sparkSession
-    forms = _forms(spark).withColumn("runs", runs_of(words_of(F.col("text"))))
+    forms = settle(_forms(spark).coalesce(1), "licence-forms").withColumn("runs", runs_of(words_of(F.col("text"))))
     lines = paragraphs(bounded_sample(docs.where("text IS NOT NULL").select("text"), F.xxhash64("text"), SAMPLE_ROWS))
     lines = bounded_sample(lines.select("text"), F.xxhash64("text"), SAMPLE_ROWS)
-    plain = lines.withColumn("runs", runs_of(words_of(F.col("text"))))
+    plain = settle(lines, "licence-sample").withColumn("runs", runs_of(words_of(F.col("text"))))
     pairs = {r.run for r in forms.select(F.explode("runs").alias("run")).distinct().collect()}
     two = F.lit(sorted(x for x in pairs if " " in x))
     # A sampled paragraph that repeats several of the templates' word pairs is not evidence for "none".
