@@ -45,7 +45,7 @@ MOST_RANGES = 10_000
 def signatures(text: Column) -> Column:
     """Array of the text's spot signatures, as words: anchor and content words."""
     words = F.regexp_replace(F.replace(F.translate(text, UPPER, LOWER), F.lit("\n"), F.lit(f" {LINE} ")), GAPS, " ")
-    marked = F.regexp_replace(F.concat(F.lit(f" {LINE} "), F.trim(words)), ANCHOR, "#$1")
+    marked = F.regexp_replace(F.concat(F.lit(f"{LINE} "), F.trim(words)), ANCHOR, "#$1")
     pieces = F.split(F.trim(marked), "#", -1)
 
     def rest(piece: Column) -> Column:
@@ -165,7 +165,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _print_sql(text: str) -> str:
     words = (f"trim(regexp_replace(replace(translate({text}, '{UPPER}', '{LOWER}'), chr(10), ' {LINE} '), "
              rf"'{GAPS}', ' ', 'g'), ' ')")
-    marked = (f"regexp_replace(replace(' {LINE} ' || {words}, ' ', '  ') || ' ', "
+    marked = (f"regexp_replace(replace('{LINE} ' || {words}, ' ', '  ') || ' ', "
               rf"' ({'|'.join([LINE, *ANCHORS])}) ', '#\1 ', 'g')")
     pieces = f"string_split(trim(regexp_replace({marked}, ' +', ' ', 'g'), ' '), '#')"
     trimmed = f"list_transform({pieces}, lambda p: rtrim(p, ' '))"
