@@ -124,7 +124,7 @@ def count(texts: DataFrame, ranges: int) -> DataFrame:
 
 
 def _levels(counts: np.ndarray) -> np.ndarray:
-    return 1 + np.floor(np.log2(counts)).astype(np.int64)
+    return 1 + np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64)
 
 
 def _probe_places(entries: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
@@ -134,10 +134,13 @@ def _probe_places(entries: np.ndarray, level: int, bits: int) -> Iterator[np.nda
         yield ((low + np.uint64(k) * high + np.uint64(k * k)) & np.uint64(0xFFFFFFFF)) * np.uint64(bits) >> np.uint64(32)
 
 
-def build_filter(entries: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def filter_bits(counts: np.ndarray, bits_per_entry: int = BITS_PER_ENTRY) -> int:
+    return max(64, int(_levels(counts).sum()) * bits_per_entry)
+
+
+def build_filter(entries: np.ndarray, counts: np.ndarray, bits_per_entry: int = BITS_PER_ENTRY) -> np.ndarray:
     """Bits, packed in bytes, of a log-frequency Bloom filter; at most 2**32 bits."""
-    levels = _levels(counts) if len(counts) else np.zeros(0, np.int64)
-    bits = max(64, int(levels.sum()) * BITS_PER_ENTRY)
+    levels, bits = _levels(counts), filter_bits(counts, bits_per_entry)
     flags = np.zeros((bits + 7) // 8 * 8, dtype=bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         for place in _probe_places(entries[levels >= level], level, bits):
@@ -178,41 +181,46 @@ def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(x, dtype=kind) for x in column.to_pylist()] or [np.zeros(0, kind)])
 
 
-def _reduce(packets: pa.Table) -> pa.Table:
-    words, counts = _counted(_joined(packets["words"], np.uint64), _joined(packets["word_counts"], np.uint32).astype(np.int64))
-    pairs, pair_counts = _counted(_joined(packets["pairs"], np.uint64),
-                                  _joined(packets["pair_counts"], np.uint32).astype(np.int64))
-    size = int(_levels(pair_counts).sum()) * BITS_PER_ENTRY // 8 if len(pairs) else 0
-    parts = size // FILTER_BYTES + 1
-    of = (pairs % np.uint64(parts)).astype(np.int64)
-    rows = []
-    for part in range(parts):
-        mine = of == part
-        bits = max(64, int(_levels(pair_counts[mine]).sum()) * BITS_PER_ENTRY) if mine.any() else 64
-        packed = build_filter(pairs[mine], pair_counts[mine])
-        rows.append({"lead": packets["lead"][0].as_py(), "part": part, "parts": parts, "words": words.tobytes(),
-                     "word_counts": counts.astype(np.uint32).tobytes(), "bits": bits, "filter": packed.tobytes(),
-                     "n_tokens": int(counts.sum()) if part == 0 else 0, "n_words": len(words) if part == 0 else 0,
-                     "size": 12 * len(words) + len(packed)})
-    return pa.Table.from_pylist(rows, schema=FILTERS_ARROW)
-
-
-def train(texts: DataFrame) -> tuple[DataFrame, int, int, int]:
+def _reduce(bits_per_entry: int, filter_bytes: int):
+    def run(packets: pa.Table) -> pa.Table:
+        words, counts = _counted(_joined(packets["words"], np.uint64),
+                                 _joined(packets["word_counts"], np.uint32).astype(np.int64))
+        pairs, pair_counts = _counted(_joined(packets["pairs"], np.uint64),
+                                      _joined(packets["pair_counts"], np.uint32).astype(np.int64))
+        parts = filter_bits(pair_counts, bits_per_entry) // 8 // filter_bytes + 1
+        of = (pairs % np.uint64(parts)).astype(np.int64)
+        rows = []
+        for part in range(parts):
+            mine = of == part
+            packed = build_filter(pairs[mine], pair_counts[mine], bits_per_entry)
+            rows.append({"lead": packets["lead"][0].as_py(), "part": part, "parts": parts, "words": words.tobytes(),
+                         "word_counts": counts.astype(np.uint32).tobytes(),
+                         "bits": filter_bits(pair_counts[mine], bits_per_entry), "filter": packed.tobytes(),
+                         "n_tokens": int(counts.sum()) if part == 0 else 0, "n_words": len(words) if part == 0 else 0,
+                         "size": 12 * len(words) + len(packed)})
+        return pa.Table.from_pylist(rows, schema=FILTERS_ARROW)
+
+    return run
+
+
+def train(texts: DataFrame, bits_per_entry: int = BITS_PER_ENTRY, filter_bytes: int = FILTER_BYTES,
+          reducer_entries: int = REDUCER_ENTRIES) -> tuple[DataFrame, int, int, int]:
     """The filters (one row each, in the shared folder), the number of tokens, of distinct tokens and of ranges."""
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = 1
-    while ranges < 1 << LEAD_BITS and ranges * REDUCER_ENTRIES < total // 5:
+    while ranges < 1 << LEAD_BITS and ranges * reducer_entries < total // 5:
         ranges *= 2
-    filters = settle(count(texts, ranges).groupBy("lead").applyInArrow(_reduce, FILTERS), "lm-filters")
+    filters = settle(count(texts, ranges).groupBy("lead").applyInArrow(_reduce(bits_per_entry, filter_bytes), FILTERS),
+                     "lm-filters")
     sums = filters.agg(F.sum("n_tokens").alias("n"), F.sum("n_words").alias("v")).first()
     return filters, sums["n"] or 0, sums["v"] or 0, ranges
 
 
-def _blocks(filters: DataFrame) -> list[list[tuple[int, int]]]:
+def _blocks(filters: DataFrame, block_bytes: int) -> list[list[tuple[int, int]]]:
     """Filters, named by (lead, part), gathered in blocks of measured size."""
     out, size = [[]], 0
     for r in filters.select("lead", "part", "size").orderBy("lead", "part").collect():
-        if out[-1] and size + r["size"] > BLOCK_BYTES:
+        if out[-1] and size + r["size"] > block_bytes:
             out.append([])
             size = 0
         out[-1].append((r["lead"], r["part"]))
@@ -273,7 +281,8 @@ def _pass(docs: DataFrame, held: list[tuple], ranges: int, n: int, v: int, orpha
     return docs.mapInArrow(run, SCORED)
 
 
-def score(docs: DataFrame, filters: DataFrame, n: int, v: int, ranges: int) -> DataFrame:
+def score(docs: DataFrame, filters: DataFrame, n: int, v: int, ranges: int,
+          block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score: a row per row of ``docs``.
 
     Sums of passes meet per (doc_id, text); equal rows have equal sums, so they are
@@ -281,7 +290,7 @@ def score(docs: DataFrame, filters: DataFrame, n: int, v: int, ranges: int) -> D
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    blocks = _blocks(filters)
+    blocks = _blocks(filters, block_bytes)
     owned = {lead for block in blocks for lead, _ in block}
     found = None
     for k, block in enumerate(blocks):

@@ -1,7 +1,7 @@
 """Document fingerprints from spot signatures, with DataFrame functions only.
 
-A signature is a common word (the anchor) with the three content words that follow it,
-common words left out; line starts are anchors too, so text without common words has
+A signature is a common word (the anchor) with the content words that follow it, common
+words left out: three of them, or what stands before the third next anchor; line starts are anchors too, so text without common words has
 signatures. A fingerprint is the sorted set of hashed signatures. Two fingerprints are
 compared by Jaccard similarity; where only similarities of a threshold or more matter,
 fingerprints are partitioned by set length, compared only with partitions whose
