@@ -40,14 +40,14 @@ def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def demand_files(spark: SparkSession, sf_dir: str) -> str:
     """The demand table as written by the demand stream."""
     path = scratch_path(spark, "demand-stream")
-    append_to_table(demand_stream(event_stream(spark, sf_dir), "ts"), path)
+    append_to_table(demand_stream(event_stream(spark, sf_dir), "ts"), path, scratch_path(spark, "stream-checkpoint"))
     return path
 
 
 @query("t1_event_stream", "SELECT event_id, ts, event_type, value FROM events")
 def events_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "events-stream")
-    append_to_table(event_stream(spark, sf_dir).select("event_id", "ts", "event_type", "value"), path)
+    append_to_table(event_stream(spark, sf_dir).select("event_id", "ts", "event_type", "value"), path, scratch_path(spark, "stream-checkpoint"))
     return spark.read.parquet(path)
 
 
@@ -70,7 +70,7 @@ def streaming_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.write.parquet(source)
     stored = spark.read.parquet(source)
     model = train(stored, linear_model())
-    append_to_table(score_stream(model, file_stream(spark, source, stored.schema)), path)
+    append_to_table(score_stream(model, file_stream(spark, source, stored.schema)), path, scratch_path(spark, "stream-checkpoint"))
     return rounded(spark.read.parquet(path).select(
         WINDOW, ZONE, DEMAND, F.size("errors").alias("error_count"), "predicted"))
 
@@ -85,7 +85,7 @@ FROM (SELECT count(*) AS total_requests, count(*) FILTER (WHERE status = 'succes
 def running_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "running-score")
     score = running_score_stream(request_stream(spark, sf_dir), "value", "k", F.col("status") == "success")
-    snapshots_to_table(score, path)
+    snapshots_to_table(score, path, scratch_path(spark, "stream-checkpoint"))
     newest = newest_snapshot(spark, path, score.schema)
     return rounded(newest.withColumn("sum_sq_error", F.round("sum_sq_error", 2)), 4)
 
@@ -99,7 +99,7 @@ SELECT pickup_window, PULocationID, CAST(actual_demand AS DOUBLE) AS actual_dema
 FROM history WHERE pickup_window <= (SELECT max(pickup_window) FROM closed)"""))
 def online_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, path = demand_files(spark, sf_dir), scratch_path(spark, "online-features")
-    append_to_table(feature_stream(file_stream(spark, source, DEMAND_TABLE), LAGS), path)
+    append_to_table(feature_stream(file_stream(spark, source, DEMAND_TABLE), LAGS), path, scratch_path(spark, "stream-checkpoint"))
     return rounded(spark.read.parquet(path))
 
 
@@ -109,7 +109,7 @@ SELECT pickup_window, PULocationID, CAST(actual_demand AS DOUBLE) AS actual_dema
   ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS moving_average FROM closed"""))
 def streaming_moving_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, path = demand_files(spark, sf_dir), scratch_path(spark, "moving-average")
-    append_to_table(moving_average_stream(file_stream(spark, source, DEMAND_TABLE), DEMAND), path)
+    append_to_table(moving_average_stream(file_stream(spark, source, DEMAND_TABLE), DEMAND), path, scratch_path(spark, "stream-checkpoint"))
     return rounded(spark.read.parquet(path))
 
 
@@ -124,7 +124,7 @@ SELECT * REPLACE (round(error_rate, 6) AS error_rate) FROM rates
 WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM requests) - INTERVAL 30 MINUTE"""))
 def streaming_error_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "error-rates")
-    append_to_table(sliding_error_rates(request_stream(spark, sf_dir), "ts", F.col("status") == "error"), path)
+    append_to_table(sliding_error_rates(request_stream(spark, sf_dir), "ts", F.col("status") == "error"), path, scratch_path(spark, "stream-checkpoint"))
     return rounded(spark.read.parquet(path))
 
 
@@ -157,7 +157,7 @@ def batch_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference.write.parquet(base)
     stored = spark.read.parquet(source)
     rows = file_stream(spark, source, stored.schema, files_per_trigger=1)
-    check_stream(rows, spark.read.parquet(base), 0.5, path, "by_challenger")
+    check_stream(rows, spark.read.parquet(base), 0.5, path, scratch_path(spark, "stream-checkpoint"), "by_challenger")
     return rounded(spark.read.parquet(path).select(
         "batch_id", "mae", "samples", "drifted_features", "valid_records", "should_retrain", "reason"))
 
@@ -169,7 +169,7 @@ def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     ad.features(spark, sf_dir).write.parquet(source)
     stored = spark.read.parquet(source)
     good, bad = scratch_path(spark, "good-stream"), scratch_path(spark, "bad-stream")
-    quarantine_stream(file_stream(spark, source, stored.schema), good, bad)
+    quarantine_stream(file_stream(spark, source, stored.schema), good, bad, scratch_path(spark, "stream-checkpoint"))
     parts = [spark.read.parquet(p).withColumn("part", F.lit(n)).select("part") for p, n in
              ((good, "good"), (bad, "bad"))]
     return parts[0].unionByName(parts[1]).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
@@ -180,7 +180,7 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = event_stream(spark, sf_dir)
     twice = rows.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
     path = scratch_path(spark, "distinct-stream")
-    append_to_table(distinct_stream(twice.drop("copy"), "ts", ["event_id", ZONE]), path)
+    append_to_table(distinct_stream(twice.drop("copy"), "ts", ["event_id", ZONE]), path, scratch_path(spark, "stream-checkpoint"))
     return spark.read.parquet(path).select("event_id", "ts", "event_type", "value")
 
 

@@ -85,24 +85,27 @@ def grouped_sample_counts(reference: DataFrame, production: DataFrame, group: st
 
 
 def ks_p_value(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
-    """Asymptotic two-sided p-value by the Kolmogorov series; 1 where the series does not settle."""
+    """Asymptotic two-sided p-value by the Kolmogorov series; 1 where the series does not settle.
+
+    NULL where a sample is empty: nothing was compared.
+    """
     lam = d * F.sqrt(n.cast("double") * m.cast("double") / (n + m))
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
         lambda acc, k: acc + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * lam * lam),
     )
-    return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * series)))
+    settled = F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2 * series)))
+    return F.when(lam.isNotNull() & (n > 0) & (m > 0), settled)
 
 
-def ranked_counts(counts: DataFrame, groups: Sequence[str] = ("feature",), **limits) -> DataFrame:
+def ranked_counts(counts: DataFrame, groups: Sequence[str] = ("feature",)) -> DataFrame:
     """Counts with running and total counts of both samples, and the totals the moments need."""
     v = F.col("value")
     measured = counts.withColumns({
         "seen": (F.col("ref_n") > 0).cast("int"),
         "ref_sum": v * F.col("ref_n"), "prod_sum": v * F.col("prod_n"),
     })
-    return running_totals(measured, list(groups), "value", ["ref_n", "prod_n"], ["seen", "ref_sum", "prod_sum"],
-                          **limits)
+    return running_totals(measured, list(groups), "value", ["ref_n", "prod_n"], ["seen", "ref_sum", "prod_sum"])
 
 
 def ks_table(ranked: DataFrame, groups: Sequence[str] = ("feature",)) -> DataFrame:

@@ -11,8 +11,10 @@ from demandlab.schemas import MODEL_REGISTRY
 
 
 def next_version(registry: DataFrame) -> DataFrame:
-    """One row with the automatic version of the next model."""
-    return registry.agg(F.concat(F.lit("v"), (F.count(F.lit(1)) + 1).cast("string")).alias("version"))
+    """One row with the automatic version of the next model: the largest number so far and one."""
+    number = F.regexp_extract("version", "^v([0-9]+)$", 1)
+    largest = F.max(F.when(number != "", number.cast("int")))
+    return registry.agg(F.concat(F.lit("v"), (F.coalesce(largest, F.lit(0)) + 1).cast("string")).alias("version"))
 
 
 def registry_row(metrics: DataFrame, version: Column, model_path: str, trained_at: str,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from demandlab.functions.calendar import seconds_between
 from demandlab.functions.numeric import is_finite, percent_change, percent_error, safe_ratio
-from demandlab.operators.ranking import exact_quantiles, settle, value_counts
+from demandlab.operators.ranking import exact_quantiles, same, settle, value_counts
 from demandlab.schemas import DEMAND
 
 METRIC_NAMES = [
@@ -59,8 +59,9 @@ def regression_metrics(df: DataFrame, actual: str = DEMAND, predicted: str = "pr
     counts = settle(value_counts(errors, by, "abs_error"), "abs-errors")
     middle = exact_quantiles(counts, by, "abs_error", [0.5])
     medians = middle.select(*by, F.col("quantiles")[0].alias("median_ae"))
-    joined = moments.join(F.broadcast(medians), by, "left")
-    return joined.select(*by, *METRIC_NAMES, "samples")
+    # Few groups, as ``by`` names them; a NULL group keeps its median.
+    joined = moments.alias("m").join(F.broadcast(medians).alias("q"), same(by, "m", "q"), "left")
+    return joined.select("m.*", "median_ae").select(*by, *METRIC_NAMES, "samples")
 
 
 def basic_metrics(df: DataFrame, actual: str = DEMAND, predicted: str = "predicted",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -11,7 +13,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandlab.functions.numeric import non_negative
+from demandlab.functions.numeric import nan_to_null, non_negative
 from demandlab.operators.cleaning import concat_tables
 from demandlab.operators.metrics import METRIC_NAMES, regression_metrics
 from demandlab.schemas import DEMAND, FEATURES
@@ -42,17 +44,24 @@ def linear_model() -> LinearRegression:
 
 
 def train(rows: DataFrame, learner=None, features: Sequence[str] = FEATURES) -> PipelineModel:
-    return Pipeline(stages=[assembler(features), learner or boosted_trees()]).fit(rows)
+    """Training refuses rows with missing features; the model's scoring does not."""
+    model = Pipeline(stages=[assembler(features), learner or boosted_trees()]).fit(rows)
+    model.stages[0].setHandleInvalid("keep")
+    return model
 
 
 def score(model: PipelineModel, rows: DataFrame, predicted: str = "predicted") -> DataFrame:
-    """Adds the clamped prediction; works on batches and streams alike."""
-    scored = model.transform(rows).withColumn(predicted, non_negative(F.col("raw_prediction")))
+    """Adds the clamped prediction, NULL where a feature is NULL or NaN; works on batches and streams alike."""
+    complete = reduce(and_, [nan_to_null(F.col(c).cast("double")).isNotNull()
+                             for c in model.stages[0].getInputCols()])
+    scored = model.transform(rows).withColumn(
+        predicted, F.when(complete, non_negative(F.col("raw_prediction"))))
     return scored.drop("features", "raw_prediction")
 
 
 def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Refuses a path that holds a model already."""
+    model.write().save(path)
 
 
 def load_model(path: str) -> PipelineModel:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlab.functions.documents import texts_if, two_decimals
-from demandlab.functions.numeric import safe_ratio, z_score
+from demandlab.functions.numeric import nan_to_null, safe_ratio, z_score
 from demandlab.operators.cleaning import duplicate_count
 from demandlab.operators.ranking import exact_quantiles, settle, value_counts
 from demandlab.schemas import QUALITY_MAX_Z, QUALITY_RANGES, QUALITY_Z_STATS, REQUEST_RANGES, WINDOW, ZONE
@@ -116,11 +116,19 @@ def write_split(df: DataFrame, good_path: str, bad_path: str, mode: str = "appen
 
 def consistency_check(df: DataFrame, keys: Sequence[str] = (WINDOW, ZONE), lag_factor: float = 3.0,
                       mean_gap: float = 50.0) -> DataFrame:
-    """Counts of inconsistent rows and the overall status."""
-    expected_mean = (F.col("lag_1") + F.col("lag_4")) / 2
+    """Counts of inconsistent rows and the overall status.
+
+    A missing value (NULL or NaN) is not inconsistent. A test is left out, with a count of 0,
+    where one of its columns is absent.
+    """
+
+    def number(name: str) -> Column:
+        return nan_to_null(F.col(name).cast("double")) if name in df.columns else F.lit(None).cast("double")
+
+    lag_1, expected_mean = number("lag_1"), (number("lag_1") + number("lag_4")) / 2
     counts = df.agg(
-        F.count_if(F.col("lag_1") > F.col("lag_96") * lag_factor).alias("lag_inconsistent"),
-        F.count_if(F.abs(F.col("rolling_mean_4") - expected_mean) > mean_gap).alias("mean_inconsistent"),
+        F.count_if(lag_1 > number("lag_96") * lag_factor).alias("lag_inconsistent"),
+        F.count_if(F.abs(number("rolling_mean_4") - expected_mean) > mean_gap).alias("mean_inconsistent"),
     )
     # One row, so reading it as a scalar is safe.
     repeated = duplicate_count(df, keys).scalar()

@@ -5,21 +5,20 @@ and a running ``sum`` over ``partitionBy(group)`` sorts the whole group in one
 task. Both are fine for a group of known size only, so here
 
 1. equal values are merged first (map-side), so a hot value is one row;
-2. the merged table is written once to the shared folder, because everything
-   below reads it and it is far smaller than its input;
-3. the largest group is counted. Up to ``ONE_TASK_ROWS`` distinct values are
-   ordered in one task. A larger group is cut into value slices: a fixed-size
-   quantile sketch picks the cuts, slice totals give each slice its starting
-   rank, and only the values inside a slice are ordered.
-
-The sketch decides where the cuts fall and never a result: both ways are exact.
-Groups are named by a fixed list (features, models, weeks), which bounds the
-tables of cuts and slice totals that the second way broadcasts.
+2. the merged table is dealt to ranges of (group, value) and written once to the
+   shared folder with the number of its range, because everything below reads it
+   and it is far smaller than its input;
+3. totals per (group, range) give each range its starting rank, and only the values
+   inside a range are ordered. A group of any size takes the same way.
+
+Spark's sampling decides where the ranges begin and never a result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -27,10 +26,6 @@ from pyspark.sql import functions as F
 
 from demandlab.session import scratch_path
 
-ONE_TASK_ROWS = 1_000_000
-SLICE_ROWS = 250_000
-MAX_SLICES = 1_000
-
 
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Writes a reduced table to the shared folder and returns it as read back."""
@@ -48,46 +43,23 @@ def value_counts(df: DataFrame, groups: Sequence[str], value: str, **weights: Co
     return normal.groupBy(*groups, value).agg(*[F.sum(w).alias(name) for name, w in weights.items()])
 
 
-def largest_group(counts: DataFrame, groups: Sequence[str]) -> int:
-    """Rows of the largest group; a single number for the driver."""
-    sizes = counts.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows"))
-    return sizes.agg(F.max("rows")).first()[0] or 0
-
-
-def slices_for(rows: int, limit: int = ONE_TASK_ROWS) -> int:
-    """1 when the largest group fits a task, else how many value slices to cut it into."""
-    if rows <= limit:
-        return 1
-    return min(MAX_SLICES, max(2, rows // min(SLICE_ROWS, limit) + 1))
-
-
-def with_slices(counts: DataFrame, groups: Sequence[str], value: str, slices: int) -> DataFrame:
-    """Adds ``_slice``: the number of sketched quantiles of the group below the value."""
-    shares = ", ".join(str(i / slices) for i in range(1, slices))
-    sketch = F.expr(f"array_distinct(percentile_approx(`{value}`, array({shares}), {10 * slices}))")
-    edges = counts.groupBy(*groups).agg(sketch.alias("_edges"))
-    slot = F.size(F.filter("_edges", lambda e: e < F.col(value)))
-    return counts.join(F.broadcast(edges), list(groups)).withColumn("_slice", slot).drop("_edges")
+def same(names: Sequence[str], left: str, right: str) -> Column:
+    """Null-safe equality of the named columns of two aliased tables."""
+    return reduce(and_, [F.col(f"{left}.`{n}`").eqNullSafe(F.col(f"{right}.`{n}`")) for n in names], F.lit(True))
 
 
 def running_totals(counts: DataFrame, groups: Sequence[str], value: str, measures: Sequence[str],
-                   totals: Sequence[str] = (), limit: int = ONE_TASK_ROWS) -> DataFrame:
+                   totals: Sequence[str] = ()) -> DataFrame:
     """Adds ``cum_<m>``, the group's total of ``m`` over all values up to this one, and ``all_<m>``, its total.
 
     ``totals`` are columns that only need ``all_<m>``. ``counts`` holds one row
-    per (group, value) and is read more than once, so pass a settled table.
+    per (group, value); a NULL group is a group.
     """
     groups, every = list(groups), [*measures, *totals]
-    slices = slices_for(largest_group(counts, groups), limit)
+    ranged = settle(counts.repartitionByRange(*groups, value).withColumn("_slice", F.spark_partition_id()),
+                    "value-ranges")
     whole = W.partitionBy(*groups)
-    if slices == 1:
-        upto = whole.orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-        return counts.withColumns({
-            **{f"cum_{m}": F.sum(m).over(upto) for m in measures},
-            **{f"all_{m}": F.sum(m).over(whole) for m in every},
-        })
-    sliced = with_slices(counts, groups, value, slices)
-    per_slice = sliced.groupBy(*groups, "_slice").agg(*[F.sum(m).alias(f"_in_{m}") for m in every])
+    per_slice = ranged.groupBy(*groups, "_slice").agg(*[F.sum(m).alias(f"_in_{m}") for m in every])
     earlier = whole.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = per_slice.select(
         *groups, "_slice",
@@ -95,7 +67,10 @@ def running_totals(counts: DataFrame, groups: Sequence[str], value: str, measure
         *[F.sum(f"_in_{m}").over(whole).alias(f"all_{m}") for m in every],
     )
     inside = W.partitionBy(*groups, "_slice").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    joined = sliced.join(F.broadcast(offsets), [*groups, "_slice"])
+    # One row per group and range at most: groups plus ranges, not values.
+    added = [f"_before_{m}" for m in measures] + [f"all_{m}" for m in every]
+    joined = ranged.alias("r").join(F.broadcast(offsets).alias("o"), same([*groups, "_slice"], "r", "o")).select(
+        "r.*", *[F.col(f"o.{name}") for name in added])
     summed = joined.withColumns({f"cum_{m}": F.col(f"_before_{m}") + F.sum(m).over(inside) for m in measures})
     return summed.drop("_slice", *[f"_before_{m}" for m in measures])
 
@@ -135,12 +110,12 @@ def rank_map(held: Column, value: str) -> Column:
 
 
 def exact_quantiles(counts: DataFrame, groups: Sequence[str], value: str, shares: Sequence[float],
-                    weight: str = "n", limit: int = ONE_TASK_ROWS) -> DataFrame:
+                    weight: str = "n") -> DataFrame:
     """Linearly interpolated quantiles: one array ``quantiles`` per group, in the order of ``shares``.
 
     ``counts`` as for ``running_totals``.
     """
-    ranked = running_totals(counts.filter(F.col(weight) > 0), groups, value, [weight], limit=limit)
+    ranked = running_totals(counts.filter(F.col(weight) > 0), groups, value, [weight])
     hits = ranked.withColumn("_held", held_ranks(shares, weight)).filter(F.size("_held") > 0)
     found = hits.groupBy(*groups).agg(
         rank_map(F.col("_held"), value).alias("_at"), F.max(f"all_{weight}").alias("_total"))

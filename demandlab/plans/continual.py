@@ -58,7 +58,7 @@ def run_check(spark: SparkSession, demand: DataFrame, end: str, reference_end: s
         _steps(spark, demand, rows, end, reference_end, run_at, settings, learner, deploy, report)
     except Exception as problem:  # the report must say what went wrong
         report["status"] = "error"
-        report["error"] = f"{type(problem).__name__}: {problem}"[:2000]
+        report["error"] = f"{type(problem).__name__}: {problem}"
     finally:
         rows.unpersist()
     return spark.createDataFrame([{name: report.get(name) for name in CHECK_REPORT.fieldNames()}], CHECK_REPORT)
@@ -128,7 +128,7 @@ def _deploy(spark, version, path, run_at, settings, deploy, report) -> None:
     except Exception as problem:
         report["actions_taken"].append("deployment_failed")
         report["status"] = "failure_deployment"
-        report["error"] = f"{type(problem).__name__}: {problem}"[:2000]
+        report["error"] = f"{type(problem).__name__}: {problem}"
         return
     report["actions_taken"].append("model_deployed")
     report["status"] = "success_deployed"

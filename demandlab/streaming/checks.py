@@ -27,9 +27,9 @@ def batch_check(rows: DataFrame, reference: DataFrame, baseline_mae: float, pred
     return retrain_decision(joined.select("*", "_d.*", "_q.*").drop("_d", "_q"))
 
 
-def check_stream(rows: DataFrame, reference: DataFrame, baseline_mae: float, path: str,
+def check_stream(rows: DataFrame, reference: DataFrame, baseline_mae: float, path: str, checkpoint: str,
                  predicted: str = "predicted", features: Sequence[str] = FEATURES) -> None:
-    """Writes one check row per micro-batch; a repeated batch replaces its row."""
+    """Writes one check row per micro-batch; a repeated batch replaces its row, a later run adds rows."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
@@ -39,15 +39,15 @@ def check_stream(rows: DataFrame, reference: DataFrame, baseline_mae: float, pat
         finally:
             kept.unpersist()
 
-    each_batch(rows, write)
+    each_batch(rows, write, checkpoint)
 
 
-def quarantine_stream(rows: DataFrame, good_path: str, bad_path: str) -> None:
+def quarantine_stream(rows: DataFrame, good_path: str, bad_path: str, checkpoint: str) -> None:
     """Splits each micro-batch into good rows and quarantined rows."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_split(batch, f"{good_path}/batch_id={batch_id}", f"{bad_path}/batch_id={batch_id}", "overwrite")
 
-    each_batch(rows, write)
+    each_batch(rows, write, checkpoint)
 
 

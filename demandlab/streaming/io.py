@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandlab.session import scratch_path
-
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: str | None = None,
                 files_per_trigger: int | None = None) -> DataFrame:
@@ -23,28 +21,32 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: s
 
 
 def event_time(df: DataFrame, ts: str, delay: str = "30 minutes") -> DataFrame:
-    """Watermarks need a TIMESTAMP, so the naive time is cast (session time zone UTC)."""
+    """Watermarks need a TIMESTAMP, so the naive time is cast; only in UTC does no clock change move it."""
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"streams over naive times need the session time zone UTC, not {zone}")
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def append_to_table(stream: DataFrame, path: str, checkpoint: str | None = None) -> None:
-    """Runs everything available into a Parquet table (exactly once) and waits."""
-    place = checkpoint or scratch_path(stream.sparkSession, "stream-checkpoint")
+def append_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Runs everything available into a Parquet table (exactly once) and waits.
+
+    ``checkpoint`` belongs to the table: a later run with the same one adds what is new.
+    """
     query = (stream.writeStream.outputMode("append").format("parquet").option("path", path)
-             .option("checkpointLocation", place).trigger(availableNow=True).start())
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
 
 
-def each_batch(stream: DataFrame, action: Callable[[DataFrame, int], None], mode: str = "append",
-               checkpoint: str | None = None) -> None:
-    """Runs everything available through ``action`` and waits."""
-    place = checkpoint or scratch_path(stream.sparkSession, "stream-checkpoint")
-    query = (stream.writeStream.outputMode(mode).option("checkpointLocation", place)
+def each_batch(stream: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str,
+               mode: str = "append") -> None:
+    """Runs everything available through ``action`` and waits; batch numbers go on from the checkpoint's."""
+    query = (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
              .foreachBatch(action).trigger(availableNow=True).start())
     query.awaitTermination()
 
 
-def snapshots_to_table(stream: DataFrame, path: str, checkpoint: str | None = None) -> None:
+def snapshots_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Keeps the complete result of every micro-batch as one partition.
 
     A repeated batch replaces its own partition, so a restart leaves no duplicates.
@@ -53,7 +55,7 @@ def snapshots_to_table(stream: DataFrame, path: str, checkpoint: str | None = No
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    each_batch(stream, write, "complete", checkpoint)
+    each_batch(stream, write, checkpoint, "complete")
 
 
 def newest_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

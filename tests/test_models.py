@@ -48,7 +48,7 @@ def test_streaming_scores_equal_batch_scores(spark, parts):
     source, path = scratch_path(spark, "to-score"), scratch_path(spark, "scored")
     broken = validation.withColumn("hour", F.when(F.col(ZONE) == 4, 99).otherwise(F.col("hour")))
     broken.repartition(2).write.parquet(source)
-    append_to_table(score_stream(model, file_stream(spark, source, broken.schema, files_per_trigger=1)), path)
+    append_to_table(score_stream(model, file_stream(spark, source, broken.schema, files_per_trigger=1)), path, f"{path}-checkpoint")
     scored = spark.read.parquet(path)
     assert scored.count() == validation.count()
     assert scored.filter(f"{ZONE} = 4 AND predicted IS NOT NULL").count() == 0
@@ -64,7 +64,7 @@ def test_one_check_per_batch(spark, parts):
     rows = adapters.with_forecasts(validation).withColumnRenamed("by_champion", "predicted")
     rows.repartition(2).write.parquet(source)
     stream = file_stream(spark, source, rows.schema, files_per_trigger=1)
-    check_stream(stream, training, 0.5, path, features=["hour", "lag_1"])
+    check_stream(stream, training, 0.5, path, f"{path}-checkpoint", features=["hour", "lag_1"])
     checks = spark.read.parquet(path).collect()
     assert len(checks) == 2 and sum(c["samples"] for c in checks) == validation.count()
     assert all(c["total_features"] == 2 and c["valid_records"] == c["samples"] for c in checks)

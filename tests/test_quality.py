@@ -78,6 +78,14 @@ def test_consistency(spark):
     assert consistency_check(df.filter("pickup_window = 2")).first()["consistency_check"] == "passed"
 
 
+def test_a_missing_value_is_not_inconsistent(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, 4, nan, 1.0, 2.0, nan), (2, 4, None, 1.0, 1.0, 100.0), (3, 4, 9.0, 1.0, nan, 5.0)],
+                               "pickup_window int, PULocationID int, lag_1 double, lag_4 double, lag_96 double, rolling_mean_4 double")
+    assert consistency_check(df).first()["consistency_check"] == "passed"
+    assert consistency_check(df.drop("lag_96", "rolling_mean_4")).first()["consistency_check"] == "passed"
+
+
 def test_profile_counts_outliers_and_missing(spark):
     df = rows(spark, *[{"lag_1": float(v)} for v in [1, 2, 3, 4, 100]], {"lag_1": None})
     row = {r["feature"]: r for r in quality_profile(df).collect()}["lag_1"]

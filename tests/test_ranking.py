@@ -1,4 +1,4 @@
-"""Exact ranks and quantiles by both ways: one task per group, and value slices."""
+"""Exact ranks and quantiles, with one range of values and with several."""
 
 from __future__ import annotations
 
@@ -6,8 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from demandlab.operators import ranking
-from demandlab.operators.ranking import exact_quantiles, largest_group, running_totals, settle, slices_for, value_counts
+from demandlab.operators.ranking import exact_quantiles, running_totals, settle, value_counts
 
 SHARES = [0.0, 0.1, 0.25, 0.5, 0.75, 0.95, 1.0]
 
@@ -22,26 +21,34 @@ def samples():
         "few": rng.integers(0, 4, 500).astype(float).tolist(),
         "one": [5.0] * 10,
         "pair": [1.0, 2.0],
+        None: [4.0, 1.0, 1.0],
     }
 
 
+@pytest.fixture(params=["true", "false"])
+def ranges(spark, request):
+    """One range for small input, or as many as there are shuffle partitions."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, request.param)
+    yield
+    spark.conf.unset(key)
+
+
 @pytest.fixture(scope="module")
 def counts(spark, samples):
     rows = [(g, v) for g, values in samples.items() for v in values] + [("spread", float("nan")), ("spread", None)]
     return settle(value_counts(spark.createDataFrame(rows, "g string, v double"), ["g"], "v"), "test-counts")
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 100])
-def test_quantiles(counts, samples, limit):
-    got = {r["g"]: r["quantiles"] for r in exact_quantiles(counts, ["g"], "v", SHARES, limit=limit).collect()}
+def test_quantiles(counts, samples, ranges):
+    got = {r["g"]: r["quantiles"] for r in exact_quantiles(counts, ["g"], "v", SHARES).collect()}
     assert set(got) == set(samples)
     for group, values in samples.items():
-        np.testing.assert_allclose(got[group], np.quantile(values, SHARES), atol=1e-12, err_msg=group)
+        np.testing.assert_allclose(got[group], np.quantile(values, SHARES), atol=1e-12, err_msg=str(group))
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 100])
-def test_running_totals(counts, samples, limit):
-    ranked = running_totals(counts.withColumn("w", F.col("n") * 2), ["g"], "v", ["n"], ["w"], limit=limit)
+def test_running_totals(counts, samples, ranges):
+    ranked = running_totals(counts.withColumn("w", F.col("n") * 2), ["g"], "v", ["n"], ["w"])
     seen = 0
     for row in ranked.collect():
         values = np.array(samples[row["g"]])
@@ -51,13 +58,6 @@ def test_running_totals(counts, samples, limit):
     assert seen == sum(len(set(v)) for v in samples.values())
 
 
-def test_the_way_depends_on_the_largest_group(counts):
-    assert largest_group(counts, ["g"]) == 4000
-    assert slices_for(4000) == 1
-    assert slices_for(4000, 100) == 41
-    assert slices_for(10**12) == ranking.MAX_SLICES
-
-
 def test_empty_input(counts):
     nothing = counts.limit(0)
     assert exact_quantiles(nothing, ["g"], "v", SHARES).count() == 0

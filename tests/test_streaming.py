@@ -50,7 +50,7 @@ def event_parts(n_parts=4, per_part=200, seed=3):
 
 def stream_demand(spark, folder):
     path = scratch_path(spark, "demand-test")
-    append_to_table(demand_stream(file_stream(spark, folder, EVENT, files_per_trigger=1), "ts"), path)
+    append_to_table(demand_stream(file_stream(spark, folder, EVENT, files_per_trigger=1), "ts"), path, f"{path}-checkpoint")
     return spark.read.schema(DEMAND_TABLE).parquet(path)
 
 
@@ -107,7 +107,7 @@ def demand_parts(late=False):
 def test_online_features_equal_the_batch(spark, tmp_path):
     folder, lags = write_files(tmp_path, demand_parts()), (1, 4, 24, 96)
     path = scratch_path(spark, "online-test")
-    append_to_table(feature_stream(file_stream(spark, folder, DEMAND_TABLE, files_per_trigger=1), lags), path)
+    append_to_table(feature_stream(file_stream(spark, folder, DEMAND_TABLE, files_per_trigger=1), lags), path, f"{path}-checkpoint")
     names = [*lag_features(lags), *ROLLING_FEATURES]
     wanted = [WINDOW, ZONE, *[F.round(n, 9).alias(n) for n in names]]
     streamed = spark.read.parquet(path)
@@ -118,14 +118,14 @@ def test_online_features_equal_the_batch(spark, tmp_path):
 
 def test_out_of_order_rows_are_flagged(spark, tmp_path):
     folder, path = write_files(tmp_path, demand_parts(late=True)), scratch_path(spark, "late-test")
-    append_to_table(feature_stream(file_stream(spark, folder, DEMAND_TABLE, files_per_trigger=1), (1, 4)), path)
+    append_to_table(feature_stream(file_stream(spark, folder, DEMAND_TABLE, files_per_trigger=1), (1, 4)), path, f"{path}-checkpoint")
     late = spark.read.parquet(path).filter("late").collect()
     assert len(late) == 1 and late[0]["lag_1"] is None and late[0]["rolling_mean_4"] is None
 
 
 def test_moving_average(spark, tmp_path):
     folder, path = write_files(tmp_path, demand_parts()), scratch_path(spark, "mean-test")
-    append_to_table(moving_average_stream(file_stream(spark, folder, DEMAND_TABLE, files_per_trigger=1), DEMAND), path)
+    append_to_table(moving_average_stream(file_stream(spark, folder, DEMAND_TABLE, files_per_trigger=1), DEMAND), path, f"{path}-checkpoint")
     got = spark.read.parquet(path).toPandas().sort_values([ZONE, WINDOW])
     want = got.groupby(ZONE)[DEMAND].transform(lambda x: x.rolling(5, min_periods=1).mean())
     np.testing.assert_allclose(got["moving_average"], want)
@@ -139,7 +139,7 @@ def test_duplicates_across_files(spark, tmp_path):
     folder, path = write_files(tmp_path, parts), scratch_path(spark, "distinct-test")
     # The repeated rows are up to a file's span old, so the delay covers one file.
     stream = file_stream(spark, folder, EVENT, files_per_trigger=1)
-    append_to_table(distinct_stream(stream, "ts", ["id", ZONE], "5 hours"), path)
+    append_to_table(distinct_stream(stream, "ts", ["id", ZONE], "5 hours"), path, f"{path}-checkpoint")
     assert spark.read.parquet(path).count() == 800
 
 
@@ -148,7 +148,7 @@ def test_running_score_snapshots(spark, tmp_path):
     stream = file_stream(spark, folder, DEMAND_TABLE, files_per_trigger=1)
     ok = F.col(ZONE) != 237
     score = running_score_stream(stream, DEMAND, ZONE, ok)
-    snapshots_to_table(score, path)
+    snapshots_to_table(score, path, f"{path}-checkpoint")
     got = newest_snapshot(spark, path, score.schema).first().asDict()
     want = running_score(spark.read.schema(DEMAND_TABLE).parquet(folder), DEMAND, ZONE, ok).first().asDict()
     assert got == pytest.approx(want)
