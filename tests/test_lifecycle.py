@@ -130,3 +130,22 @@ def test_week_windows_include_both_ends(spark, demand):
 def test_scores_are_never_negative(spark, demand):
     rows = range_rows(demand, None, END, LAGS).withColumn(DEMAND, F.lit(-5))
     assert score(train(rows, linear_model(), COLUMNS), rows).agg(F.max("predicted")).first()[0] == 0.0
+
+
+def test_every_row_of_a_report_file_comes_back(spark):
+    path = scratch_path(spark, "reports")
+    rows = spark.createDataFrame([(i, f"line {i}") for i in range(3)], "n int, note string").coalesce(1)
+    for day in range(1, 13):
+        append_report(rows, path, f"2024-01-{day:02d}")
+    got = newest_reports(spark, path, rows.schema, limit=2).collect()
+    assert sorted(r["n"] for r in got) == [0, 0, 1, 1, 2, 2]
+    assert {r["source_file"].split("run_at=")[1][:10] for r in got} == {"2024-01-12", "2024-01-11"}
+
+
+def test_versions_are_never_named_twice(spark):
+    from demandlab.operators.lifecycle import next_version
+
+    nothing = spark.createDataFrame([], MODEL_REGISTRY)
+    assert next_version(nothing).first()["version"] == "v1"
+    some = nothing.select("version").union(spark.createDataFrame([("v1",), ("v10",), ("other",)], "version string"))
+    assert next_version(some).first()["version"] == "v11"

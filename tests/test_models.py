@@ -42,6 +42,23 @@ def test_trees_are_deterministic_and_beat_the_mean(parts):
     assert got < plain
 
 
+def test_a_missing_field_ends_neither_batch_nor_stream(spark, parts):
+    training, validation = parts
+    model = train(training, linear_model(), ["hour", "lag_1"])
+    broken = validation.withColumn("lag_1", F.when(F.col(ZONE) == 4, F.lit(None)).when(
+        F.col("hour") == 3, F.lit(float("nan"))).otherwise(F.col("lag_1").cast("double")))
+    missing = (F.col(ZONE) == 4) | (F.col("hour") == 3)
+    assert score(model, broken).filter(missing & F.col("predicted").isNotNull()).count() == 0
+    assert score(model, broken).filter(~missing & F.col("predicted").isNull()).count() == 0
+    source, path = scratch_path(spark, "to-score"), scratch_path(spark, "scored")
+    broken.write.parquet(source)
+    append_to_table(score_stream(model, file_stream(spark, source, broken.schema)), path, f"{path}-checkpoint")
+    scored = spark.read.parquet(path)
+    assert scored.count() == broken.count()
+    assert scored.filter(missing & F.col("predicted").isNotNull()).count() == 0
+    assert scored.filter(missing & (F.size("errors") == 0)).count() == 0
+
+
 def test_streaming_scores_equal_batch_scores(spark, parts):
     training, validation = parts
     model = train(training, linear_model())

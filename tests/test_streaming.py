@@ -153,3 +153,33 @@ def test_running_score_snapshots(spark, tmp_path):
     want = running_score(spark.read.schema(DEMAND_TABLE).parquet(folder), DEMAND, ZONE, ok).first().asDict()
     assert got == pytest.approx(want)
     assert spark.read.parquet(path).select("batch_id").distinct().count() == 4
+
+
+def test_a_later_run_adds_to_the_table_and_to_the_quarantine(spark):
+    from demandlab.schemas import FEATURES
+    from demandlab.streaming.checks import quarantine_stream
+
+    source, path = scratch_path(spark, "arriving"), scratch_path(spark, "kept")
+    good, bad, place = (scratch_path(spark, n) for n in ("good", "bad", "quarantine-checkpoint"))
+    schema = ", ".join(f"{c} double" for c in FEATURES)
+    for run, size in enumerate((10, 25), 1):
+        rows = [tuple(99.0 if c == "hour" and i % 5 == 0 else 1.0 for c in FEATURES) for i in range(size)]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        stored = spark.read.parquet(source).schema
+        append_to_table(file_stream(spark, source, stored), path, f"{path}-checkpoint")
+        quarantine_stream(file_stream(spark, source, stored), good, bad, place)
+        seen = 10 if run == 1 else 35
+        assert spark.read.parquet(path).count() == seen
+        kept, held = spark.read.parquet(good).count(), spark.read.parquet(bad).count()
+        assert kept + held == seen and held >= seen // 5
+
+
+def test_another_time_zone_is_refused(spark):
+    from demandlab.streaming.io import event_time
+
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            event_time(spark.range(1), "id")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
