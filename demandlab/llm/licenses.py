@@ -74,9 +74,12 @@ def words_of(text: Column) -> Column:
 
 def runs_of(words: Column) -> Column:
     """One and two word runs of an array of words."""
-    pairs = F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-                        lambda w, i: F.concat(F.get(words, i), F.lit(" "), w))
-    return F.concat(words, pairs)
+    def runs(bound: Column) -> Column:
+        following = F.slice(bound, 2, F.greatest(F.size(bound) - 1, F.lit(0)))
+        return F.concat(bound, F.transform(following, lambda w, i: F.concat(F.get(bound, i), F.lit(" "), w)))
+
+    # Bound to a name, so that the words are made once and not once per run.
+    return F.element_at(F.transform(F.array(words), runs), 1)
 
 
 def _forms(spark: SparkSession) -> DataFrame:
