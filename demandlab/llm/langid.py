@@ -123,11 +123,11 @@ def train(rows: list[tuple[str, str, int]], seed: int = 7) -> Model | None:
 
 def learn(docs: DataFrame) -> Model | None:
     """Trains on the labelled rows of ``docs`` (text, lang), at most SAMPLE_ROWS of them."""
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang", F.xxhash64("text").alias("h"))
-    chosen = bounded_sample(known, F.col("h"), SAMPLE_ROWS)
     room = F.greatest(F.length("text") - SAMPLE_BYTES, F.lit(0))
-    part = F.substring("text", (F.pmod(F.col("h"), room + 1) + 1).cast("int"), F.lit(SAMPLE_BYTES))
-    rows = chosen.select(part.alias("text"), "lang", F.pmod("h", F.lit(1000)).alias("h")).collect()
+    part = F.substring("text", (F.pmod(F.xxhash64("text"), room + 1) + 1).cast("int"), F.lit(SAMPLE_BYTES))
+    names = [c for c in ("doc_id", "lang") if c in docs.columns]
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(*names, part.alias("text"))
+    rows = bounded_sample(known, SAMPLE_ROWS).select("text", "lang", F.pmod("h", F.lit(1000)).alias("h")).collect()
     return train(sorted((r.text, r.lang, r.h) for r in rows))
 
 

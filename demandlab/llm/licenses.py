@@ -122,8 +122,8 @@ def _probability(rows: DataFrame) -> DataFrame:
 def train(docs: DataFrame) -> Scanner:
     spark = docs.sparkSession
     forms = settle(_forms(spark).coalesce(1), "licence-forms").withColumn("runs", runs_of(words_of(F.col("text"))))
-    lines = paragraphs(bounded_sample(docs.where("text IS NOT NULL").select("text"), F.xxhash64("text"), SAMPLE_ROWS))
-    lines = bounded_sample(lines.select("text"), F.xxhash64("text"), SAMPLE_ROWS)
+    chosen = settle(bounded_sample(docs.where("text IS NOT NULL").select("doc_id", "text"), SAMPLE_ROWS), "licence-texts")
+    lines = bounded_sample(paragraphs(chosen, "doc_id"), SAMPLE_ROWS).select("text")
     plain = settle(lines, "licence-sample").withColumn("runs", runs_of(words_of(F.col("text"))))
     pairs = {r.run for r in forms.select(F.explode("runs").alias("run")).distinct().collect()}
     two = F.lit(sorted(x for x in pairs if " " in x))
