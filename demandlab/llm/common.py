@@ -171,15 +171,17 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     Alternates the two star steps of the known large-star / small-star method: each
     links a node's neighbours to its smallest neighbour. Only minima per node are
     aggregated, so a node with very many edges is combined before the shuffle, and
-    edges are joined to minima by a join that Spark can split where it is skewed.
-    Every round is written to the shared folder. Self-edges name single nodes.
+    edges meet minima in joins of two plain tables, which Spark splits where they are
+    skewed; for that the minima are written first. Every round is written to the
+    shared folder. Self-edges name single nodes.
     """
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     links = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
                    .distinct(), label)
     while True:
         both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(links.select("lo", "hi"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")),
+                       f"{label}-least")
         large = (both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
                  .where("hi <> lo").distinct())
         down = large.groupBy("hi").agg(F.min("lo").alias("m"))

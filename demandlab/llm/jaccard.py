@@ -230,12 +230,16 @@ def join_near_copies(docs: DataFrame, threshold: float = THRESHOLD, tolerance: f
         F.max(F.coalesce("doc_id", F.lit(lowest))).alias("fetch_id")), "jaccard-classes")
 
     buckets = signed.select("key", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("key").alias("a"), F.max("key").alias("most")).where("a <> most")
-    edges = (buckets.join(shared.select("bucket", "a"), "bucket").where("key <> a")
+    # Tables of one row per bucket, group or root are written before rows meet them: a join of two plain
+    # tables is one that Spark can split where a bucket or a group is large.
+    shared = settle(buckets.groupBy("bucket").agg(F.min("key").alias("a"), F.max("key").alias("most"))
+                    .where("a <> most").select("bucket", "a"), "jaccard-buckets")
+    edges = (buckets.join(shared, "bucket").where("key <> a")
              .select("a", F.col("key").alias("b")).distinct())
     groups = settle(components(edges, "jaccard-candidates"), "jaccard-groups")
 
-    sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    sizes = settle(groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")),
+                   "jaccard-sizes")
     members = groups.join(sizes, "root").select(
         F.col("node").alias("key"), "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("side"))
     members = members.join(classes, "key")
@@ -250,8 +254,8 @@ def join_near_copies(docs: DataFrame, threshold: float = THRESHOLD, tolerance: f
     roots = components(verified.select(F.col("key").alias("a"), F.col("low").alias("b")).distinct(), "jaccard-links")
     linked = (verified.groupBy("key").agg(F.sum("links").alias("links"))
               .join(roots.withColumnRenamed("node", "key"), "key", "left"))
-    info = classes.join(linked, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    named = info.groupBy("root").agg(F.min("class_id").alias("group_id"))
+    info = settle(classes.join(linked, "key", "left").withColumn("root", F.coalesce("root", "key")), "jaccard-info")
+    named = settle(info.groupBy("root").agg(F.min("class_id").alias("group_id")), "jaccard-named")
     info = info.join(named, "root").select(
         "key", "class_id", "n_copies", (F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"),
         "group_id", F.col("root").alias("group_key"))
