@@ -7,8 +7,9 @@ normaliser (character map, extra blanks, metaspace marker and its prefix), the m
 decoder. Batches are encoded by the library's own threads.
 
 Parity is verified on whole texts: ``encode`` compares the ids of every text with the
-reference processor's and counts differences in ``parity``; where they differ, the
-reference's ids are the result. Decoding is checked by a full round trip.
+reference processor's and marks differences in ``parity``. The ids, their number and
+the decoded text are always those of the rebuilt pipeline, also where they differ.
+Decoding is checked by a full round trip.
 
 Defined cases: null text gives null ids and zero tokens; the empty text gives no ids;
 input columns with a result's name are left out; rows are never merged or dropped.
@@ -158,7 +159,9 @@ def build_tokenizer(model: PieceModel):
 
 def encode(docs: DataFrame, model_bytes: bytes, threads: int = 2, verify: bool = True, with_text: bool = True,
            with_decoded: bool = True) -> DataFrame:
-    """``docs`` with n_tokens, ids, decoded (from the ids) and parity (same ids as the reference processor)."""
+    """``docs`` with n_tokens, ids, decoded (from the ids) and parity (same ids as the reference processor).
+
+    Without ``verify`` nothing is compared and ``parity`` is true."""
     names = {f.name for f in RESULT}
     mine = docs.select([c for c in docs.columns if c not in names])
     keep = [f for f in mine.schema.fields if with_text or f.name != "text"]
@@ -183,7 +186,6 @@ def encode(docs: DataFrame, model_bytes: bytes, threads: int = 2, verify: bool =
                 if verify:
                     truth = known.encode(plain, num_threads=threads)
                     parity = [x == y for x, y in zip(ids, truth, strict=True)]
-                    ids = truth
                 columns = {"n_tokens": pa.array([len(x) for x in ids], pa.int64()), "parity": pa.array(parity),
                            "ids": pa.array([None if t is None else x for x, t in zip(ids, texts, strict=True)],
                                            pa.list_(pa.int32()))}

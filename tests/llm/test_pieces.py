@@ -69,3 +69,20 @@ def test_a_model_written_by_hand(kind):
         ids = tokenizer.encode(text, add_special_tokens=False).ids
         assert ids == known.encode(text), text
         assert tokenizer.decode(ids, skip_special_tokens=False) == known.decode(ids)
+
+
+def test_the_result_is_the_rebuilt_pipeline_also_where_it_differs(make_docs):
+    """The reference takes a user-defined piece whole, the rebuilt pipeline by merges only: parity tells, ids stay."""
+    table = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *BYTES,
+             *[(w, -float(i + 1), 1) for i, w in enumerate(["▁", "a", "b", "c"])], ("abc", 0.0, 4)]
+    data = model(pieces.BPE, table)
+    tokenizer = pieces.build_tokenizer(pieces.parse_model(data))
+    known = sentencepiece.SentencePieceProcessor(model_proto=data)
+    texts = ["abc a", "b a"]
+    own = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert own[0] != known.encode(texts[0]) and own[1] == known.encode(texts[1])
+    rows = {r.doc_id: r for r in pieces.encode(make_docs(texts), data).collect()}
+    assert [rows[i].parity for i in (0, 1)] == [False, True]
+    for i in (0, 1):
+        assert rows[i].ids == own[i] and rows[i].n_tokens == len(own[i])
+        assert rows[i].decoded == tokenizer.decode(own[i], skip_special_tokens=False)
