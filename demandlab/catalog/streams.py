@@ -10,7 +10,7 @@ from demandlab.catalog.adapters import sql_over
 from demandlab.catalog.aggregates import LATENCY_BOUNDS, QUANTILE_STEPS
 from demandlab.catalog.registry import query, rounded
 from demandlab.catalog.series import SLIDING
-from demandlab.operators.models import linear_model, train
+from demandlab.operators.models import train
 from demandlab.operators.observability import error_rate_alerts, latency_alerts, sustained
 from demandlab.schemas import (
     DEMAND, DEMAND_TABLE, LAGS, ROLLING_FEATURES, WINDOW, ZONE, lag_features,
@@ -69,7 +69,7 @@ def streaming_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, path = scratch_path(spark, "feature-table"), scratch_path(spark, "scores")
     rows.write.parquet(source)
     stored = spark.read.parquet(source)
-    model = train(stored, linear_model())
+    model = train(stored)
     append_to_table(score_stream(model, file_stream(spark, source, stored.schema)), path, scratch_path(spark, "stream-checkpoint"))
     return rounded(spark.read.parquet(path).select(
         WINDOW, ZONE, DEMAND, F.size("errors").alias("error_count"), "predicted"))

@@ -85,3 +85,35 @@ def test_one_check_per_batch(spark, parts):
     checks = spark.read.parquet(path).collect()
     assert len(checks) == 2 and sum(c["samples"] for c in checks) == validation.count()
     assert all(c["total_features"] == 2 and c["valid_records"] == c["samples"] for c in checks)
+
+
+class Called(Exception):
+    pass
+
+
+def test_registered_learners_have_the_operators_full_size(spark, sf_dir, monkeypatch):
+    from demandlab.catalog import models, streams
+    from demandlab.schemas import FEATURES
+
+    seen = []
+
+    def call(*args, **named):
+        seen.append((args, named))
+        raise Called
+
+    for module in (models, streams):
+        for name in ("retrain", "compare_learners", "train"):
+            if hasattr(module, name):
+                monkeypatch.setattr(module, name, call)
+    small = sf_dir.replace("sf0.01", "sf0.001")
+    for run in (models.boosted, models.learner_comparison, models.batch_scoring, models.persisted_model,
+                models.continual_check, streams.streaming_scores):
+        with pytest.raises(Called):
+            run(spark, small)
+    assert seen[0][0][1].getMaxIter() == 100
+    learners = seen[1][0][2]
+    assert learners["gbt"].getMaxIter() == 100 and learners["forest"].getNumTrees() == 100
+    # The others train the default learner (100 boosted trees) on the default list (all features).
+    for args, named in seen[2:]:
+        assert len(args) == 1 and not named
+    assert train.__defaults__ == (None, FEATURES) and boosted_trees().getMaxIter() == 100
