@@ -1,12 +1,13 @@
 """Licence scan with a trained paragraph classifier, on DataFrame and MLlib operations only.
 
-A paragraph is a line of text; its features are counts of one and two word runs from a
-vocabulary. The classifier is MLlib's multinomial logistic regression over licence
+A paragraph is a line of text; its features are the one and two word runs of a
+vocabulary that it has, however often. The classifier is MLlib's multinomial logistic regression over licence
 families and ``none``. It is trained on the templates below, filled with versions and
 years and cut to shorter forms, and on a bounded sample of the corpus's own paragraphs
-as ``none`` (``SAMPLE_ROWS``, chosen by a hash; paragraphs that resemble a template are
-not taken as ``none``). The vocabulary holds the runs of the templates that the sample
-does not use, so a paragraph without any of them is ``none`` whatever its length.
+as ``none`` (``SAMPLE_ROWS``, chosen by a hash; paragraphs that resemble a template or
+name a family are not taken as ``none``). The vocabulary holds all runs of the templates
+but those of frequent words only, whatever the sample uses: the classifier weighs common
+ones down. A paragraph without any of them is ``none`` whatever its length.
 
 A prediction counts as a family if its probability reaches a threshold calibrated on
 training forms held back, and if a template of that family confirms it: enough of
@@ -40,30 +41,41 @@ TEMPLATES = {
     "apache": ["Licensed under the Apache License, Version {v}.",
                "Licensed under the Apache License, Version {v} (the \"License\"); you may not use this file except in "
                "compliance with the License.",
-               "SPDX-License-Identifier: Apache-{v}"],
+               "SPDX-License-Identifier: Apache-{v}",
+               "Apache License", "License: Apache-{v}"],
     "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided "
             "that the following conditions are met:",
             "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
-            "Licensed under the BSD {v}-Clause License.", "SPDX-License-Identifier: BSD-{v}-Clause"],
+            "Licensed under the BSD {v}-Clause License.", "SPDX-License-Identifier: BSD-{v}-Clause",
+            "BSD License", "License: BSD-{v}-Clause"],
     "cc": ["Licensed under CC BY-NC {v}.", "Licensed under CC BY-SA {v}.", "Licensed under CC BY {v}.",
            "This work is licensed under a Creative Commons Attribution {v} International License.",
-           "To the extent possible under law, the author has waived all copyright under CC0 {v}."],
+           "To the extent possible under law, the author has waived all copyright under CC0 {v}.",
+           "Creative Commons License", "License: CC BY {v}"],
     "gpl": ["This work is licensed under the GNU General Public License, version {v}.",
             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
             "Public License as published by the Free Software Foundation, either version {v} of the License, or any "
             "later version.", "Licensed under the GPL version {v}.",
-            "SPDX-License-Identifier: GPL-{v}-or-later"],
+            "SPDX-License-Identifier: GPL-{v}-or-later",
+            "GNU General Public License", "License: GPL-{v}"],
     "lgpl": ["This library is licensed under the GNU Lesser General Public License, version {v}.",
-             "SPDX-License-Identifier: LGPL-{v}-or-later"],
+             "SPDX-License-Identifier: LGPL-{v}-or-later",
+             "GNU Lesser General Public License", "License: LGPL-{v}"],
     "mit": ["Released under the MIT License.", "Licensed under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files, to deal in the Software without restriction.",
-            "SPDX-License-Identifier: MIT"],
+            "SPDX-License-Identifier: MIT",
+            "MIT License", "License: MIT"],
     "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. {v}.",
-            "SPDX-License-Identifier: MPL-{v}"],
+            "SPDX-License-Identifier: MPL-{v}",
+            "Mozilla Public License", "License: MPL-{v}"],
 }
 VERSIONS, YEARS = ("1.0", "1.1", "2", "2.0", "2.1", "3", "3.0", "4.0"), ("1999", "2015", "2024")
 FAMILIES = [NONE, *sorted(TEMPLATES)]
+# Runs that name a family. A lone "mit" or "apache" does not: both are words of ordinary text too.
+NAMING = ["apache 0", "apache license", "bsd", "cc by", "cc0", "creative commons", "general public", "gnu", "gpl",
+          "identifier apache", "identifier mit", "lgpl", "license apache", "license mit", "mit license", "mozilla public",
+          "mpl", "public license", "spdx license"]
 
 
 def words_of(text: Column) -> Column:
@@ -127,12 +139,11 @@ def train(docs: DataFrame) -> Scanner:
     plain = settle(lines, "licence-sample").withColumn("runs", runs_of(words_of(F.col("text"))))
     pairs = {r.run for r in forms.select(F.explode("runs").alias("run")).distinct().collect()}
     two = F.lit(sorted(x for x in pairs if " " in x))
-    # A sampled paragraph that repeats several of the templates' word pairs is not evidence for "none".
-    plain = plain.where(F.size(F.array_intersect("runs", two)) < 3)
-    used = {r.run for r in plain.select(F.explode("runs").alias("run")).distinct()
-            .where(F.col("run").isin(sorted(pairs))).collect()}
-    vocabulary = sorted(run for run in pairs - used if not set(run.split(" ")) <= _FREQUENT)
-    counted = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="runs", outputCol="features", minTF=1.0)
+    # A sampled paragraph that repeats several of the templates' word pairs, or names a family, is not evidence for "none".
+    plain = plain.where((F.size(F.array_intersect("runs", two)) < 3) & ~F.arrays_overlap("runs", F.lit(NAMING)))
+    vocabulary = sorted(run for run in pairs if not set(run.split(" ")) <= _FREQUENT)
+    counted = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="runs", outputCol="features", minTF=1.0,
+                                                   binary=True)
     cases = (" ".join(f"WHEN '{f}' THEN {i}.0D" for i, f in enumerate(FAMILIES)))
     number = SQLTransformer(statement=f"SELECT *, CASE family {cases} END AS label, "
                                       f"CASE family WHEN '{NONE}' THEN 0.1D ELSE 1.0D END AS weight FROM __THIS__")
