@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandlab.llm import decontam, jaccard, langid, licenses, lm, pieces, quality, secrets, spotsigs, warc
+from demandlab.llm import decontam, jaccard, langid, licenses, lm, merkle, pieces, quality, secrets, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.query,
@@ -19,10 +19,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality.query,
     "op9_sentencepiece": pieces.query,
     "op10_spot_signatures": spotsigs.query,
+    "op12_merkle": merkle.query,
 }
 
 SQL: dict[str, str] = {
     "op1_warc": warc.SQL,
     "op5_decontamination": decontam.SQL,
     "op10_spot_signatures": spotsigs.SQL,
+    "op12_merkle": merkle.SQL,
 }
