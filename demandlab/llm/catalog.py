@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandlab.llm import decontam, jaccard, langid, licenses, lm, merkle, pieces, quality, secrets, spotsigs, warc
+from demandlab.llm import decontam, jaccard, langid, licenses, lm, merkle, pieces, quality, ranked, secrets, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.query,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": pieces.query,
     "op10_spot_signatures": spotsigs.query,
     "op12_merkle": merkle.query,
+    "op13_ranked_search": ranked.query,
 }
 
 SQL: dict[str, str] = {
@@ -27,4 +28,5 @@ SQL: dict[str, str] = {
     "op5_decontamination": decontam.SQL,
     "op10_spot_signatures": spotsigs.SQL,
     "op12_merkle": merkle.SQL,
+    "op13_ranked_search": ranked.SQL,
 }
