@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandlab.llm import decontam, jaccard, langid, licenses, lm, merkle, pieces, quality, ranked, secrets, spotsigs, warc
+from demandlab.llm import decontam, jaccard, langid, licenses, lm, merkle, neighbours, pieces, quality, ranked, secrets, spotsigs, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.query,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality.query,
     "op9_sentencepiece": pieces.query,
     "op10_spot_signatures": spotsigs.query,
+    "op11_nearest_neighbours": neighbours.query,
     "op12_merkle": merkle.query,
     "op13_ranked_search": ranked.query,
 }
