@@ -1,8 +1,8 @@
 """Language-model scores from a log-frequency Bloom filter of quantised n-gram counts.
 
 Counting. Tasks hash words and pairs of neighbouring words (a text begins and ends with
-an end token), count them per task, and send each reducer one sorted packet of
-(hash, count), so a frequent word is one entry per task. The leading bits of an entry
+an end token), count them, and after ``TASK_ENTRIES`` of them send each reducer one sorted packet of
+(hash, count), so a frequent word is one entry per packet. The leading bits of an entry
 are those of its last word; a reducer owns a range of these bits and so holds a
 word together with all pairs that end in it.
 
@@ -12,8 +12,8 @@ factor of two. Reducers make filters of at most ``FILTER_BYTES`` each, with the
 counts of their words; larger ranges give several filters, cut by pair.
 
 Scoring. Filters are sent to the tasks in blocks of at most ``BLOCK_BYTES``, measured before
-they are sent; each block is one pass over the texts and yields sums per text that are
-added up, so a corpus of any size is scored with bounded memory, in as many passes as
+they are sent, one at a time; each block is one pass over the texts and yields sums per text that are
+written and added up, so a corpus of any size is scored with bounded memory, in as many passes as
 its filter has blocks.
 
     p(w | v) = (c(v w) + S * p(w)) / (c(v) + S),  p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1))
@@ -41,9 +41,10 @@ BITS_PER_ENTRY = 10
 PROBES = 6
 LEAD_BITS = 16
 REDUCER_ENTRIES = 3_000_000
-TASK_ENTRIES = 4_000_000
+TASK_ENTRIES = 500_000
+COUNT_BYTES = 2 << 20
 FILTER_BYTES = 8 << 20
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 32 << 20
 LEAD = np.uint64(64 - LEAD_BITS)
 
 
@@ -79,20 +80,19 @@ PACKETS_ARROW = pa.schema([("lead", pa.int32()), ("words", pa.binary()), ("word_
                            ("pairs", pa.binary()), ("pair_counts", pa.binary())])
 
 
-def _packets(words, pairs, ranges: int) -> pa.RecordBatch:
-    """One packet per range of leading bits."""
+def _packets(words, pairs, ranges: int) -> Iterator[pa.RecordBatch]:
+    """One packet, and so one row, per range of leading bits, a batch for each."""
     bounds = np.arange(1, ranges, dtype=np.uint64) << np.uint64(64 - (ranges.bit_length() - 1)) \
         if ranges > 1 else np.zeros(0, np.uint64)
     cut_w = [0, *np.searchsorted(words[0], bounds), len(words[0])]
     cut_p = [0, *np.searchsorted(pairs[0], bounds), len(pairs[0])]
-    rows = [(r, slice(cut_w[r], cut_w[r + 1]), slice(cut_p[r], cut_p[r + 1])) for r in range(ranges)
-            if cut_w[r + 1] > cut_w[r] or cut_p[r + 1] > cut_p[r]]
-    return pa.RecordBatch.from_pydict({
-        "lead": [r for r, _, _ in rows],
-        "words": [words[0][w].tobytes() for _, w, _ in rows],
-        "word_counts": [words[1][w].astype(np.uint32).tobytes() for _, w, _ in rows],
-        "pairs": [pairs[0][p].tobytes() for _, _, p in rows],
-        "pair_counts": [pairs[1][p].astype(np.uint32).tobytes() for _, _, p in rows]}, schema=PACKETS_ARROW)
+    for r in range(ranges):
+        w, p = slice(cut_w[r], cut_w[r + 1]), slice(cut_p[r], cut_p[r + 1])
+        if w.stop > w.start or p.stop > p.start:
+            yield pa.RecordBatch.from_pydict({
+                "lead": [r], "words": [words[0][w].tobytes()], "word_counts": [words[1][w].astype(np.uint32).tobytes()],
+                "pairs": [pairs[0][p].tobytes()], "pair_counts": [pairs[1][p].astype(np.uint32).tobytes()]},
+                schema=PACKETS_ARROW)
 
 
 def count(texts: DataFrame, ranges: int) -> DataFrame:
@@ -107,18 +107,15 @@ def count(texts: DataFrame, ranges: int) -> DataFrame:
                     for k in (0, 1)]
 
         for batch in batches:
-            for part in steps(batch):
+            for part in steps(batch, limit=COUNT_BYTES):
                 tokens, first = _tokens(part.column("text"))
                 held.append((_counted(tokens), _counted(_pairs(tokens, first))))
                 size += len(held[-1][0][0]) + len(held[-1][1][0])
                 if size > TASK_ENTRIES:
-                    held = [tuple(merged())]
-                    size = len(held[0][0][0]) + len(held[0][1][0])
-                    if size > TASK_ENTRIES // 2:
-                        yield _packets(*held[0], ranges)
-                        held, size = [], 0
+                    yield from _packets(*merged(), ranges)
+                    held, size = [], 0
         if held:
-            yield _packets(*merged(), ranges)
+            yield from _packets(*merged(), ranges)
 
     return texts.select("text").mapInArrow(run, PACKETS)
 
@@ -178,7 +175,7 @@ FILTERS_ARROW = pa.schema([("lead", pa.int32()), ("part", pa.int32()), ("parts",
 
 
 def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x, dtype=kind) for x in column.to_pylist()] or [np.zeros(0, kind)])
+    return np.concatenate([np.frombuffer(x.as_buffer(), dtype=kind) for x in column] or [np.zeros(0, kind)])
 
 
 def _reduce(bits_per_entry: int, filter_bytes: int):
@@ -194,10 +191,10 @@ def _reduce(bits_per_entry: int, filter_bytes: int):
             mine = of == part
             packed = build_filter(pairs[mine], pair_counts[mine], bits_per_entry)
             rows.append({"lead": packets["lead"][0].as_py(), "part": part, "parts": parts, "words": words.tobytes(),
-                         "word_counts": counts.astype(np.uint32).tobytes(),
+                         "word_counts": counts.astype(np.int64).tobytes(),
                          "bits": filter_bits(pair_counts[mine], bits_per_entry), "filter": packed.tobytes(),
                          "n_tokens": int(counts.sum()) if part == 0 else 0, "n_words": len(words) if part == 0 else 0,
-                         "size": 12 * len(words) + len(packed)})
+                         "size": 16 * len(words) + len(packed)})
         return pa.Table.from_pylist(rows, schema=FILTERS_ARROW)
 
     return run
@@ -233,20 +230,19 @@ SCORED_ARROW = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n
                           ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def _pass(docs: DataFrame, held: list[tuple], ranges: int, n: int, v: int, orphans: set[int]) -> DataFrame:
+def _pass(docs: DataFrame, shared, ranges: int, n: int, v: int, orphans: set[int]) -> DataFrame:
     """Sums over the tokens whose leading bits the held filters own, or are ``orphans``, owned by none.
 
     A word is once predicted and once what the next word is predicted from (the end token
     stands for both ends of a text), so both its terms are added where it is owned.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(held)
     low = PLUS / (n + PLUS * (v + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine: dict[int, list[tuple]] = {}
         for lead, part, parts, words, counts, bits, packed in shared.value:
             mine.setdefault(lead, []).append((part, parts, np.frombuffer(words, np.uint64),
-                                              np.frombuffer(counts, np.uint32), bits, np.frombuffer(packed, np.uint8)))
+                                              np.frombuffer(counts, np.int64), bits, np.frombuffer(packed, np.uint8)))
         shift = np.uint64(64 - (ranges.bit_length() - 1))
         for batch in batches:
             for step in steps(batch, limit=4 << 20):
@@ -301,7 +297,12 @@ def score(docs: DataFrame, filters: DataFrame, n: int, v: int, ranges: int,
             wanted = (place >= F.struct(F.lit(low), F.lit(low_part))) & (place <= F.struct(F.lit(high), F.lit(high_part)))
         held = [tuple(r) for r in filters.where(wanted).select(
             "lead", "part", "parts", "words", "word_counts", "bits", "filter").collect()]
-        one = _pass(rows, held, ranges, n, v, set(range(ranges)) - owned if k == 0 else set()).withColumn("pass", F.lit(k))
+        shared = docs.sparkSession.sparkContext.broadcast(held)
+        del held
+        # Written before the next block is made: one block is alive at a time, here and in the tasks.
+        one = settle(_pass(rows, shared, ranges, n, v, set(range(ranges)) - owned if k == 0 else set())
+                     .withColumn("pass", F.lit(k)), "lm-pass")
+        shared.destroy()
         found = one if found is None else found.unionByName(one)
     each = found.groupBy("doc_id", "text_hash", "pass").agg(
         F.count(F.lit(1)).alias("times"), *(F.max(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")))
