@@ -11,9 +11,10 @@
    similarity, binomial agreement) of reaching the threshold falls below the
    tolerance, and what is left is decided by exact set intersection.
 
-Groups larger than ``BLOCK`` classes are cut into blocks and each pair of blocks is a
-task of its own, so a task holds at most two blocks whatever the group's size. Tasks
-return sums per class, not pairs: rows stay in proportion to the documents.
+Groups larger than ``BLOCK`` classes or ``BLOCK_BYTES`` of text are cut into blocks and each pair of
+blocks is a task of its own, so a task holds about two blocks whatever the group's size; inside it pairs
+are compared ``CHUNK`` by ``CHUNK``. A group of b blocks ships each text b times and compares all its pairs.
+Tasks return sums per class, not pairs, so results stay in proportion to the documents.
 
 With 24 bands of 4 a pair at exactly 0.8 shares no band with probability 3e-6, and even
 then is found if both are linked through others. A class is known by 64 bits of a hash
@@ -21,7 +22,9 @@ of its words.
 
 Defined cases: null text is empty; texts without words are one class per exact
 text; fewer than five words are one run of all of them; null or repeated doc_id
-rows stay rows of their own; an empty table gives no rows.
+rows stay rows of their own, however many share an id: a class has its text from rows that agree in
+id and text hash, and takes it once; input columns beyond doc_id and text are not looked at, whatever
+their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlab.llm.common import WORDS, components, settle, shingle_hashes, steps, table, text_bytes, word_hashes
+from demandlab.llm.common import WORDS, components, settle, shingle_hashes, steps, table, text_bytes, token, word_hashes
 
 RUN = 5
 THRESHOLD = 0.8
@@ -44,7 +47,9 @@ BANDS, ROWS = 24, 4
 HASHES = BANDS * ROWS
 STEP = 16
 TOLERANCE = 1e-9
-BLOCK = 256
+BLOCK = 1024
+BLOCK_BYTES = 4 << 20
+CHUNK = 256
 
 _rng = np.random.default_rng(5)
 MULTIPLIERS = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -68,8 +73,8 @@ def min_hashes(runs: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
     return np.minimum.reduceat((runs * MULTIPLIERS[k] + ADDENDS[k]) >> np.uint64(32), first)
 
 
-SIGNED = "doc_id long, text_hash long, key long, bands array<long>"
-SIGNED_ARROW = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("key", pa.int64()),
+SIGNED = "doc_id long, text_hash long, size long, key long, bands array<long>"
+SIGNED_ARROW = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("size", pa.int64()), ("key", pa.int64()),
                           ("bands", pa.list_(pa.int64()))])
 
 
@@ -96,10 +101,12 @@ def sign(docs: DataFrame) -> DataFrame:
                     for i, row in zip(full, made.view(np.int64).tolist(), strict=True):
                         bands[i] = row
                 yield pa.RecordBatch.from_pydict(
-                    {"doc_id": part.column("doc_id"), "text_hash": part.column("text_hash"), "key": keys,
-                     "bands": bands}, schema=SIGNED_ARROW)
+                    {"doc_id": part.column("doc_id"), "text_hash": part.column("text_hash"),
+                     "size": part.column("size"), "key": keys, "bands": bands}, schema=SIGNED_ARROW)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash()).mapInArrow(run, SIGNED)
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), text_hash(),
+                       F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("size")).mapInArrow(run, SIGNED)
 
 
 def text_hash() -> Column:
@@ -147,18 +154,24 @@ def _intersections(runs: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.n
     return np.rint(total[a, b]).astype(np.int64)
 
 
+def signatures(runs: list[np.ndarray]) -> np.ndarray:
+    """All MinHash values of each set, a row per set."""
+    joined = np.concatenate(runs)
+    first = np.concatenate([[0], np.cumsum([len(r) for r in runs])[:-1]])
+    return np.stack([min_hashes(joined, first, k) for k in range(HASHES)], axis=1).astype(np.uint32)
+
+
 def compare(runs: list[np.ndarray], a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD,
-            tolerance: float = TOLERANCE) -> np.ndarray:
+            tolerance: float = TOLERANCE, signed: np.ndarray | None = None) -> np.ndarray:
     """Which pairs (a[i], b[i]) of sets reach the threshold: Bayesian pruning, then exact."""
-    joined = np.concatenate(runs)
+    signed = signatures(runs) if signed is None else signed
     sizes = np.array([len(r) for r in runs])
-    first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     least = fewest_matches(threshold, tolerance)
     alive, matches = np.arange(len(a)), np.zeros(len(a), dtype=np.int64)
     for low in range(0, HASHES, STEP):
         if not len(alive):
             break
-        values = np.stack([min_hashes(joined, first, k) for k in range(low, low + STEP)], axis=1)
+        values = signed[:, low:low + STEP]
         matches = matches + (values[a[alive]] == values[b[alive]]).sum(axis=1)
         kept = matches >= least[low + STEP]
         alive, matches = alive[kept], matches[kept]
@@ -174,9 +187,10 @@ VERIFIED = "key long, links long, low long"
 VERIFIED_ARROW = pa.schema([("key", pa.int64()), ("links", pa.int64()), ("low", pa.int64())])
 
 
-def _group_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest member that each of n members is connected to."""
-    root = np.arange(n)
+def _group_roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest member that each member is connected to, by what ``root`` knows and the links (a, b)."""
+    mine = np.arange(len(root))
+    a, b = np.concatenate([a, mine]), np.concatenate([b, root])
     while True:
         before = root.copy()
         np.minimum.at(root, a, root[b])
@@ -186,39 +200,48 @@ def _group_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
+def _chunks(left: np.ndarray, right: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """All pairs of two lists, or within one, in pieces: (rows, a, b) with a and b places in rows."""
+    for i in range(0, len(left), CHUNK):
+        some = left[i:i + CHUNK]
+        if right is None:
+            yield some, *np.triu_indices(len(some), 1)
+        others = left[i + CHUNK:] if right is None else right
+        for j in range(0, len(others), CHUNK):
+            more = others[j:j + CHUNK]
+            a, b = np.meshgrid(np.arange(len(some)), np.arange(len(more)))
+            yield np.concatenate([some, more]), a.ravel(), b.ravel() + len(some)
+
+
 def _verify(threshold: float, tolerance: float):
     def run(task: pa.Table) -> pa.Table:
         wanted = task.column("key").to_pylist()
         found, runs = _keys_and_runs(task.column("text").combine_chunks())
-        seen: dict[int, int] = {}
-        for i, key in enumerate(wanted):
-            if found[i] == key and len(runs[i]):  # rows of another text under a repeated doc_id fall out here
-                seen.setdefault(key, i)
-        rows = [seen[k] for k in sorted(seen)]
+        # Sorted, so that a group's result does not depend on the order in which its rows arrive.
+        rows = sorted((i for i, key in enumerate(wanted) if found[i] == key and len(runs[i])), key=wanted.__getitem__)
         if not rows:
             return VERIFIED_ARROW.empty_table()
         keys = np.array([wanted[i] for i in rows])
         copies = np.array(task.column("n_copies").to_pylist())[rows]
         side = np.array(task.column("side").to_pylist())[rows]
         sets = [np.unique(runs[i]) for i in rows]
+        signed = signatures(sets)
         low, high = task.column("lo")[0].as_py(), task.column("hi")[0].as_py()
-        if low == high:
-            a, b = np.triu_indices(len(rows), 1)
-        else:
-            a, b = (x.ravel() for x in np.meshgrid(np.flatnonzero(side == low), np.flatnonzero(side == high)))
-        linked = compare(sets, a, b, threshold, tolerance)
-        a, b = a[linked], b[linked]
-        links = np.zeros(len(rows), dtype=np.int64)
-        np.add.at(links, a, copies[b])
-        np.add.at(links, b, copies[a])
-        return pa.table({"key": keys, "links": links, "low": keys[_group_roots(len(rows), a, b)]},
-                        schema=VERIFIED_ARROW)
+        left, right = np.flatnonzero(side == low), np.flatnonzero(side == high) if low != high else None
+        links, root = np.zeros(len(rows), dtype=np.int64), np.arange(len(rows))
+        for place, a, b in _chunks(left, right):
+            linked = compare([sets[i] for i in place], a, b, threshold, tolerance, signed[place])
+            a, b = place[a[linked]], place[b[linked]]
+            np.add.at(links, a, copies[b])
+            np.add.at(links, b, copies[a])
+            root = _group_roots(root, a, b)
+        return pa.table({"key": keys, "links": links, "low": keys[root]}, schema=VERIFIED_ARROW)
 
     return run
 
 
 def join_near_copies(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
-                     block: int = BLOCK) -> DataFrame:
+                     block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row per document: doc_id, class_id (smallest doc_id with the same words), n_copies
     (documents of the class), n_links (other documents that reach the threshold, copies
     included) and group_id (smallest doc_id that links lead to); text_hash and group_key (the
@@ -227,7 +250,8 @@ def join_near_copies(docs: DataFrame, threshold: float = THRESHOLD, tolerance: f
     lowest = -(1 << 63)
     classes = settle(signed.groupBy("key").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_copies"),
-        F.max(F.coalesce("doc_id", F.lit(lowest))).alias("fetch_id")), "jaccard-classes")
+        F.max("size").alias("size"), F.max(F.struct(F.coalesce("doc_id", F.lit(lowest)).alias("fetch_id"), "text_hash"))
+        .alias("fetch")).select("key", "class_id", "n_copies", "size", "fetch.*"), "jaccard-classes")
 
     buckets = signed.select("key", F.explode("bands").alias("bucket"))
     # Tables of one row per bucket, group or root are written before rows meet them: a join of two plain
@@ -238,15 +262,19 @@ def join_near_copies(docs: DataFrame, threshold: float = THRESHOLD, tolerance: f
              .select("a", F.col("key").alias("b")).distinct())
     groups = settle(components(edges, "jaccard-candidates"), "jaccard-groups")
 
-    sizes = settle(groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")),
-                   "jaccard-sizes")
-    members = groups.join(sizes, "root").select(
-        F.col("node").alias("key"), "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("side"))
-    members = members.join(classes, "key")
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)).alias("fetch_id"),
+    placed = settle(groups.withColumnRenamed("node", "key").join(classes, "key"), "jaccard-placed")
+    parts = F.greatest(F.count(F.lit(1)) / block, F.sum("size") / block_bytes)
+    sizes = settle(placed.groupBy("root").agg(F.ceil(parts).cast("int").alias("blocks")), "jaccard-sizes")
+    members = placed.join(sizes, "root").select(
+        "key", "n_copies", "root", "blocks", "fetch_id", "text_hash",
+        F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("side"))
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)).alias("fetch_id"), text_hash(),
                         F.col("text").cast("string").alias("text"))
-    tasks = (members.join(texts, "fetch_id")
-             .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    # Rows that repeat both id and text give the class its text as often as they occur; one is kept, before
+    # they are shuffled again.
+    held = members.join(texts, ["fetch_id", "text_hash"]).groupBy("key").agg(
+        *(F.first(c).alias(c) for c in ("n_copies", "side", "root", "blocks", "text")))
+    tasks = (held.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
              .select("key", "n_copies", "side", "text", "root", F.least("side", "other").alias("lo"),
                      F.greatest("side", "other").alias("hi")))
     verified = settle(tasks.groupBy("root", "lo", "hi").applyInArrow(_verify(threshold, tolerance), VERIFIED),
@@ -263,13 +291,15 @@ def join_near_copies(docs: DataFrame, threshold: float = THRESHOLD, tolerance: f
 
 
 def keep_one_per_group(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each group the row with the smallest doc_id."""
-    row = {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), "_text": text_hash()}
+    """The rows of ``docs`` without near copies, with their own columns: of each group the row with the smallest
+    doc_id, null last; of rows that agree in doc_id and text, any one."""
+    id_, hash_ = f"id_{token()}", f"hash_{token()}"
     found = join_near_copies(docs, **options)
+    last = F.lit((1 << 63) - 1)
     kept = found.groupBy("group_key").agg(F.min(F.struct(
-        F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("_id"), F.col("text_hash").alias("_text"))).alias("first"))
-    return (docs.withColumns(row).join(kept.select("first._id", "first._text"), ["_id", "_text"], "left_semi")
-            .dropDuplicates(["_id", "_text"]).drop("_id", "_text"))
+        F.coalesce("doc_id", last).alias(id_), F.col("text_hash").alias(hash_))).alias("first"))
+    mine = docs.withColumns({id_: F.coalesce(F.col("doc_id").cast("long"), last), hash_: text_hash()})
+    return mine.join(kept.select("first.*"), [id_, hash_], "left_semi").dropDuplicates([id_, hash_]).drop(id_, hash_)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

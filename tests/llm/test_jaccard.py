@@ -57,10 +57,12 @@ def corpus(seed=1, copies=40):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("block", [256, 7])
-def test_links_and_groups_against_all_pairs(make_docs, block):
+@pytest.mark.parametrize("options", [{}, {"block": 7}, {"block_bytes": 3000}])
+def test_links_and_groups_against_all_pairs(make_docs, options, monkeypatch):
+    if "block_bytes" in options:
+        monkeypatch.setattr(jaccard, "CHUNK", 5)
     rows = corpus()
-    got = jaccard.join_near_copies(make_docs(rows, clash=True), block=block)
+    got = jaccard.join_near_copies(make_docs(rows, clash=True), **options)
     assert sorted((r.doc_id, r.n_links, r.group_id) for r in got.collect()) == brute(rows)
 
 
@@ -80,6 +82,34 @@ def test_null_and_repeated_ids(make_docs):
     assert jaccard.keep_one_per_group(make_docs(rows)).count() == 3
 
 
+def test_thousands_of_null_ids(make_docs):
+    """Classes without an id, near and equal, are as cheap as others and lose no link."""
+    base = [f"a{i}" for i in range(60)]
+    near = [" ".join(base[:k] + [f"x{k}"] + base[k + 1:]) for k in range(40)]
+    rows = [(None, t) for t in near * 50] + [(None, f"alone {k} with five words more {k}") for k in range(3000)]
+    got = jaccard.join_near_copies(make_docs(rows)).groupBy("n_copies", "n_links").count().collect()
+    sets = [runs(t) for t in near]
+    linked = [sum(len(a & b) >= 0.8 * len(a | b) for b in sets) for a in sets]
+    want = {(1, 0): 3000}
+    for n in linked:
+        want[(50, 50 * n - 1)] = want.get((50, 50 * n - 1), 0) + 50
+    assert {(r.n_copies, r.n_links): r["count"] for r in got} == want
+
+
+def test_own_columns_are_kept(make_docs):
+    docs = make_docs(["one two three four five six", "quite another text of six words"]).selectExpr(
+        "*", "'mine' AS _id", "doc_id AS _text", "'k' AS text_hash")
+    kept = jaccard.keep_one_per_group(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_query_against_all_pairs(spark, sf_dir):
+    small = sf_dir.replace("sf0.01", "sf0.001")
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    got = jaccard.query(spark, small)
+    assert sorted((r.doc_id, r.n_links, r.group_id) for r in got.collect()) == brute(rows)
+
+
 def test_empty_table(make_docs):
     assert jaccard.join_near_copies(make_docs([])).count() == 0
 

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from demandlab.llm import pieces, quality
 from demandlab.llm.common import crc_remainder, settle
 
@@ -40,12 +42,24 @@ def test_stages(spark, sf_dir):
     assert set(went) == set(came) and all(r.round_trip and r.parity and r.n_tokens == len(r.ids) for r in came.values())
 
 
-def test_odd_rows_pass_through(spark, sf_dir, make_docs):
+def test_odd_rows_keep_their_columns(spark, sf_dir, make_docs):
+    """All stages on odd rows: what stays has the values it came with, under names that operators use as well."""
     small = sf_dir.replace("sf0.01", "sf0.001")
-    docs = make_docs([(None, None), (1, ""), (1, ""), (2, "word " * 30_000), (3, None)], clash=True)
-    for name, stage in corpus_pipeline.STAGES[1:]:
-        docs = settle(stage(spark, docs, small), "test-odd")
-    assert docs.count() == 2
+    good = spark.read.parquet(f"{small}/documents.parquet").where("text IS NOT NULL").orderBy("doc_id")
+    texts = [(None, None), (1, ""), (1, ""), (2, "word " * 30_000), (3, None), (4, 'password: "abcdefgh1234"')]
+    docs = make_docs(texts + [(100 + r.doc_id, r.text) for r in good.limit(60).collect()], clash=True)
+    docs = docs.withColumns({"_id": F.lit("mine"), "_text": F.lit("own"), "a.b`c": F.lit("dot"),
+                             "score": F.concat(F.lit("s"), F.xxhash64("text").cast("string"))})
+    columns, before = docs.columns, docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = settle(stage(spark, before, small), "test-odd")
+        assert after.columns == columns, name
+        was = {tuple(r) for r in before.drop("text", "n_chars").collect()}
+        now = [tuple(r) for r in after.drop("text", "n_chars").collect()]
+        assert now and set(now) <= was, name
+        before = after
+    last = corpus_pipeline.STAGES[-1][1](spark, before, small)
+    assert last.count() == before.count() and "_id" in last.columns
 
 
 def test_empty_documents(spark, sf_dir, make_docs):
