@@ -7,9 +7,11 @@ descent in numpy, on the driver, from a bounded sample of labelled rows. Part of
 sample is kept out of training; it calibrates a temperature, so that scores are
 probabilities, and the smallest score that is not rejected.
 
-The sample holds at most ``SAMPLE_ROWS`` texts with at most ``SAMPLE_BYTES`` bytes of
-each (from a place that depends on the row's hash); predictions read whole texts. The
-model that goes to the tasks has a fixed size (buckets x languages).
+Labels are counted over all rows, then the sample takes each language's first rows in the order of a hash:
+``SAMPLE_ROWS`` in all, shared evenly, but ``LEAST_ROWS`` of a language if there are many of them, so a
+rare language is learned like a frequent one. Tasks turn a sampled text, the whole of it, into counts
+of its subword buckets, and only these, at most ``BUCKETS`` a text, come to the driver. Predictions read
+whole texts. The model that goes to the tasks has a fixed size (buckets x languages).
 
 Defined cases: null text, and text without a letter, is ``und`` with score 0 and
 counts as rejected; null labels are not learned; without any label everything is
@@ -24,17 +26,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from demandlab.llm.common import bounded_sample, crc_remainder, steps, table, text_bytes
+from demandlab.llm.common import crc_remainder, steps, table, text_bytes
 
 BUCKETS = 1 << 15
 SIZES = (2, 3, 4)
 WIDTH = 16
-SAMPLE_ROWS = 4000
-SAMPLE_BYTES = 1500
+SAMPLE_ROWS = 2000
+LEAST_ROWS = 40
 EPOCHS = 6
 RATE = 0.5
 KEPT_SHARE = 0.99  # of held-back texts that the rejection keeps
@@ -76,10 +78,21 @@ def subwords(data: np.ndarray) -> np.ndarray:
     return np.concatenate(out).astype(np.int64) if out else np.zeros(0, dtype=np.int64)
 
 
-def train(rows: list[tuple[str, str, int]], seed: int = 7) -> Model | None:
-    """Trains on (text, language, hash); one fifth, by hash, calibrates."""
-    rows = [(subwords(LOWERED[np.frombuffer(t.encode(), dtype=np.uint8)]), lang, h) for t, lang, h in rows]
-    rows = [r for r in rows if len(r[0])]
+Bag = tuple[np.ndarray, np.ndarray]
+
+
+def bag(clean: np.ndarray) -> Bag:
+    """Buckets of a cleaned text and their shares of all its subwords; a very long text is read in pieces."""
+    total = np.zeros(BUCKETS, dtype=np.int64)
+    for at in range(0, len(clean), STEP):
+        total += np.bincount(subwords(clean[at:at + STEP]), minlength=BUCKETS)
+    seen = np.flatnonzero(total)
+    return seen, (total[seen] / max(total.sum(), 1)).astype(np.float32)
+
+
+def train(rows: list[tuple[Bag, str, int]], seed: int = 7) -> Model | None:
+    """Trains on (bag, language, hash); one fifth, by hash, calibrates."""
+    rows = [r for r in rows if len(r[0][0])]
     langs = sorted({lang for _, lang, _ in rows})
     if not langs:
         return None
@@ -96,8 +109,8 @@ def train(rows: list[tuple[str, str, int]], seed: int = 7) -> Model | None:
         rate = RATE * (1 - epoch / EPOCHS)
         rng.shuffle(order)
         for i in order:
-            ids = rows[i][0]
-            mean = embed[ids].mean(axis=0)
+            seen, part = rows[i][0]
+            mean = part @ embed[seen]
             logits = mean @ layer + bias
             p = np.exp(logits - logits.max())
             p /= p.sum()
@@ -105,11 +118,10 @@ def train(rows: list[tuple[str, str, int]], seed: int = 7) -> Model | None:
             pull = layer @ p
             layer -= rate * np.outer(mean, p)
             bias -= rate * 0.1 * p
-            seen, count = np.unique(ids, return_counts=True)
-            embed[seen] -= (rate * count / len(ids))[:, None].astype(np.float32) * pull * 10
+            embed[seen] -= (rate * part)[:, None] * pull * 10
     votes = embed @ layer
     check = np.flatnonzero(back) if back.any() else np.arange(len(rows))
-    logits = np.stack([votes[rows[i][0]].mean(axis=0) + bias for i in check])
+    logits = np.stack([rows[i][0][1] @ votes[rows[i][0][0]] + bias for i in check])
 
     def chances(t: float) -> np.ndarray:
         e = np.exp((logits - logits.max(axis=1, keepdims=True)) / t)
@@ -121,14 +133,32 @@ def train(rows: list[tuple[str, str, int]], seed: int = 7) -> Model | None:
     return Model(langs, votes.astype(np.float32), bias, float(temperature), float(np.quantile(best, 1 - KEPT_SHARE)))
 
 
-def learn(docs: DataFrame) -> Model | None:
-    """Trains on the labelled rows of ``docs`` (text, lang), at most SAMPLE_ROWS of them."""
-    room = F.greatest(F.length("text") - SAMPLE_BYTES, F.lit(0))
-    part = F.substring("text", (F.pmod(F.xxhash64("text"), room + 1) + 1).cast("int"), F.lit(SAMPLE_BYTES))
+def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, least_rows: int = LEAST_ROWS) -> Model | None:
+    """Trains on the labelled rows of ``docs`` (text, lang), a bounded number per language."""
     names = [c for c in ("doc_id", "lang") if c in docs.columns]
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(*names, part.alias("text"))
-    rows = bounded_sample(known, SAMPLE_ROWS).select("text", "lang", F.pmod("h", F.lit(1000)).alias("h")).collect()
-    return train(sorted((r.text, r.lang, r.h) for r in rows))
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(*names, "text")
+    known = known.withColumn("h", F.xxhash64(*names, "text"))
+    languages = known.select(F.count_distinct("lang")).first()[0]
+    room = max(least_rows, sample_rows // max(languages, 1))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # All but a little more than the wanted rows fall out by their hash before any are sorted.
+    near = F.col("h").cast("double") <= (2.5 * room / F.col("n") - 1) * F.lit(2.0 ** 63)
+    first = known.join(counts, "lang").where(near | (F.col("n") <= room))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", *[c for c in names if c != "lang"]))
+    chosen = first.withColumn("place", place).where(F.col("place") <= room).select("lang", "h", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = text_bytes(batch.column("text"))
+            for i in range(batch.num_rows):
+                seen, part = bag(LOWERED[raw[offsets[i]:offsets[i + 1]]])
+                yield pa.RecordBatch.from_pydict({
+                    "lang": batch.column("lang").slice(i, 1), "h": batch.column("h").slice(i, 1),
+                    "buckets": [seen.astype(np.uint16).tobytes()], "shares": [part.tobytes()]})
+
+    rows = chosen.mapInArrow(run, "lang string, h long, buckets binary, shares binary").collect()
+    return train([((np.frombuffer(r.buckets, np.uint16).astype(np.int64), np.frombuffer(r.shares, np.float32)),
+                   r.lang, r.h % 1000) for r in sorted(rows, key=lambda r: (r.lang, r.h))])
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -149,12 +179,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                     low, high = int(offsets[i]), int(offsets[i + 1])
                     best, p = UNKNOWN, 0.0
                     if model is not None and _has_letter(clean[low:high], raw[low:high]):
-                        total, n = np.zeros(len(model.langs)), 0
-                        for at in range(low, high, STEP):  # a very long text in pieces
-                            ids = subwords(clean[at:min(high, at + STEP)])
-                            total += np.bincount(ids, minlength=BUCKETS) @ model.votes
-                            n += len(ids)
-                        logits = (total / max(n, 1) + model.bias) / model.temperature
+                        seen, share = bag(clean[low:high])
+                        logits = (share @ model.votes[seen] + model.bias) / model.temperature
                         e = np.exp(logits - logits.max())
                         k = int(e.argmax())
                         best, p = model.langs[k], float(e[k] / e.sum())

@@ -29,3 +29,23 @@ def test_nothing_learned(spark, make_docs):
     one = spark.createDataFrame([("some words here", "en")] * 3, "text string, lang string")
     assert [r.lang_pred for r in langid.predict(make_docs(["text"]), langid.learn(one)).collect()] == ["en"]
     assert langid.predict(make_docs([]), None).count() == 0
+
+
+def test_a_rare_language_is_learned(spark, make_docs):
+    lines = {"en": "the and of with that this is for you", "de": "der die und das mit nicht ist auch ein",
+             "hu": "egy nem hogy csak meg volt ezt mint azt"}
+    rows = [(f"{lines[lang]} {i % 50}", lang) for lang, n in (("en", 6000), ("de", 3000), ("hu", 12)) for i in range(n)]
+    model = langid.learn(spark.createDataFrame(rows, "text string, lang string"), sample_rows=200)
+    assert model.langs == ["de", "en", "hu"]
+    got = langid.predict(make_docs([f"{lines['hu']} {k}" for k in range(60, 70)]), model).collect()
+    assert [r.lang_pred for r in got] == ["hu"] * 10
+
+
+def test_whole_texts_are_learned():
+    """What tells two languages apart may stand at the end of a long text."""
+    ends = [("zzyzx", "a"), ("qwrtp", "b")]
+    rows = [(langid.bag(langid.LOWERED[langid.np.frombuffer(f"{'word ' * 400}{(end + ' ') * 40}".encode(), "u1")]), lang, i)
+            for i in range(40) for end, lang in ends]
+    model = langid.train(rows)
+    seen, share = rows[0][0]
+    assert model.langs[int((share @ model.votes[seen] + model.bias).argmax())] == "a"
