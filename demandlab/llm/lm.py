@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlab.llm.common import BLANKS, crc_remainder, mix, settle, steps, table, word_hashes
+from demandlab.llm.common import BLANKS, crc_remainder, give_back, mix, settle, steps, table, word_hashes
 
 END = np.uint64(0x5851F42D4C957F2D)
 PLUS = 0.1
@@ -40,10 +40,10 @@ STRENGTH = 20.0
 BITS_PER_ENTRY = 10
 PROBES = 6
 LEAD_BITS = 16
-REDUCER_ENTRIES = 3_000_000
+REDUCER_ENTRIES = 1_000_000
 TASK_ENTRIES = 500_000
-COUNT_BYTES = 2 << 20
-FILTER_BYTES = 8 << 20
+STEP_BYTES = 1 << 20
+FILTER_BYTES = 4 << 20
 BLOCK_BYTES = 32 << 20
 LEAD = np.uint64(64 - LEAD_BITS)
 
@@ -107,7 +107,7 @@ def count(texts: DataFrame, ranges: int) -> DataFrame:
                     for k in (0, 1)]
 
         for batch in batches:
-            for part in steps(batch, limit=COUNT_BYTES):
+            for part in steps(batch, limit=STEP_BYTES):
                 tokens, first = _tokens(part.column("text"))
                 held.append((_counted(tokens), _counted(_pairs(tokens, first))))
                 size += len(held[-1][0][0]) + len(held[-1][1][0])
@@ -116,6 +116,8 @@ def count(texts: DataFrame, ranges: int) -> DataFrame:
                     held, size = [], 0
         if held:
             yield from _packets(*merged(), ranges)
+        held.clear()
+        give_back()
 
     return texts.select("text").mapInArrow(run, PACKETS)
 
@@ -195,6 +197,8 @@ def _reduce(bits_per_entry: int, filter_bytes: int):
                          "bits": filter_bits(pair_counts[mine], bits_per_entry), "filter": packed.tobytes(),
                          "n_tokens": int(counts.sum()) if part == 0 else 0, "n_words": len(words) if part == 0 else 0,
                          "size": 16 * len(words) + len(packed)})
+        del words, counts, pairs, pair_counts
+        give_back()
         return pa.Table.from_pylist(rows, schema=FILTERS_ARROW)
 
     return run
@@ -245,7 +249,7 @@ def _pass(docs: DataFrame, shared, ranges: int, n: int, v: int, orphans: set[int
                                               np.frombuffer(counts, np.int64), bits, np.frombuffer(packed, np.uint8)))
         shift = np.uint64(64 - (ranges.bit_length() - 1))
         for batch in batches:
-            for step in steps(batch, limit=4 << 20):
+            for step in steps(batch, limit=STEP_BYTES):
                 tokens, first = _tokens(step.column("text"))
                 pairs = _pairs(tokens, first)
                 lead = (tokens >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(tokens), np.int64)
@@ -273,6 +277,7 @@ def _pass(docs: DataFrame, shared, ranges: int, n: int, v: int, orphans: set[int
                 yield pa.RecordBatch.from_arrays([
                     step.column("doc_id"), step.column("text_hash"), pa.array(np.diff(first), pa.int64()),
                     *(pa.array(np.add.reduceat(x, first[:-1])) for x in (known, base, full))], schema=SCORED_ARROW)
+            give_back()
 
     return docs.mapInArrow(run, SCORED)
 
