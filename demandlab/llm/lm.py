@@ -26,6 +26,7 @@ learned, and scored, as often as they occur; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ REDUCER_ENTRIES = 1_000_000
 TASK_ENTRIES = 500_000
 STEP_BYTES = 1 << 20
 FILTER_BYTES = 4 << 20
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 64 << 20
 LEAD = np.uint64(64 - LEAD_BITS)
 
 
@@ -126,11 +127,11 @@ def _levels(counts: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64)
 
 
-def _probe_places(entries: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
+def _probe_places(entries: np.ndarray, level: int, bits: np.ndarray | np.uint64) -> Iterator[np.ndarray]:
     h = mix(entries + np.uint64(level * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF))
     low, high = h & np.uint64(0xFFFFFFFF), h >> np.uint64(32)
     for k in range(PROBES):
-        yield ((low + np.uint64(k) * high + np.uint64(k * k)) & np.uint64(0xFFFFFFFF)) * np.uint64(bits) >> np.uint64(32)
+        yield ((low + np.uint64(k) * high + np.uint64(k * k)) & np.uint64(0xFFFFFFFF)) * bits >> np.uint64(32)
 
 
 def filter_bits(counts: np.ndarray, bits_per_entry: int = BITS_PER_ENTRY) -> int:
@@ -142,21 +143,23 @@ def build_filter(entries: np.ndarray, counts: np.ndarray, bits_per_entry: int =
     levels, bits = _levels(counts), filter_bits(counts, bits_per_entry)
     flags = np.zeros((bits + 7) // 8 * 8, dtype=bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        for place in _probe_places(entries[levels >= level], level, bits):
+        for place in _probe_places(entries[levels >= level], level, np.uint64(bits)):
             flags[place] = True
     return np.packbits(flags, bitorder="little")
 
 
-def look_up(packed: np.ndarray, bits: int, entries: np.ndarray) -> np.ndarray:
-    """Level of each entry, 0 where it is not in the filter."""
+def look_up(packed: np.ndarray, bits: np.ndarray | int, entries: np.ndarray, begin: np.ndarray | int = 0) -> np.ndarray:
+    """Level of each entry, 0 where it is not in its filter, which begins at byte ``begin`` and has ``bits`` bits."""
+    bits = np.broadcast_to(np.asarray(bits, dtype=np.uint64), entries.shape)
+    begin = np.broadcast_to(np.asarray(begin, dtype=np.uint64), entries.shape)
     found = np.zeros(len(entries), dtype=np.int64)
     alive, level = np.arange(len(entries)), 0
     while len(alive):
         level += 1
-        mine = np.arange(len(alive))
-        for place in _probe_places(entries[alive], level, bits):
+        mine, first = np.arange(len(alive)), begin[alive]
+        for place in _probe_places(entries[alive], level, bits[alive]):
             at = place[mine]
-            mine = mine[(packed[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+            mine = mine[(packed[first[mine] + (at >> np.uint64(3))] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
             if not len(mine):
                 break
         alive = alive[mine]
@@ -217,66 +220,114 @@ def train(texts: DataFrame, bits_per_entry: int = BITS_PER_ENTRY, filter_bytes:
     return filters, sums["n"] or 0, sums["v"] or 0, ranges
 
 
-def _blocks(filters: DataFrame, block_bytes: int) -> list[list[tuple[int, int]]]:
-    """Filters, named by (lead, part), gathered in blocks of measured size."""
+def _blocks(filters: DataFrame, block_bytes: int) -> list[list]:
+    """Filters (lead, part, parts, words, bytes, bits) gathered in blocks of measured size, in order."""
     out, size = [[]], 0
-    for r in filters.select("lead", "part", "size").orderBy("lead", "part").collect():
+    for r in filters.select("lead", "part", "parts", (F.octet_length("words") / 8).cast("long").alias("n"),
+                            F.octet_length("filter").alias("bytes"), "bits", "size").orderBy("lead", "part").collect():
         if out[-1] and size + r["size"] > block_bytes:
             out.append([])
             size = 0
-        out[-1].append((r["lead"], r["part"]))
+        out[-1].append(r)
         size += r["size"]
     return out
 
 
+@dataclass
+class Block:
+    """Filters side by side: words of ascending ranges are one sorted array, bits one array of bytes."""
+
+    words: np.ndarray
+    counts: np.ndarray
+    packed: np.ndarray
+    begin: np.ndarray  # first byte of each filter
+    bits: np.ndarray
+    number: np.ndarray  # of the filter of (lead, part), at first_of[lead] + part; -1 if it is in another block
+    first_of: np.ndarray
+    parts: np.ndarray  # of each lead, 0 if the block has none of it
+    heads: np.ndarray  # leads whose part 0 is here
+    orphans: np.ndarray  # leads that no filter has; the first block answers for them
+
+
+def _block(filters: DataFrame, chosen: list, ranges: int, orphans: np.ndarray) -> Block:
+    """Reads the chosen filters one file after another into their places."""
+    leads = {r["lead"]: r for r in chosen}
+    word_at, n_words = {}, 0
+    for lead in sorted(leads):
+        word_at[lead] = n_words
+        n_words += leads[lead]["n"]
+    sizes = np.array([r["bytes"] for r in chosen], dtype=np.int64)
+    begin = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    made = Block(np.zeros(n_words, np.uint64), np.zeros(n_words, np.int64), np.zeros(begin[-1], np.uint8),
+                 begin[:-1].astype(np.uint64), np.array([r["bits"] for r in chosen], dtype=np.uint64),
+                 np.zeros(0), np.zeros(ranges, np.int64), np.zeros(ranges, np.int64), np.zeros(ranges, bool), orphans)
+    for lead, r in leads.items():
+        made.parts[lead] = r["parts"]
+    made.first_of[1:] = np.cumsum(made.parts)[:-1]
+    made.number = np.full(int(made.parts.sum()), -1)
+    place = {}
+    for i, r in enumerate(chosen):
+        place[r["lead"], r["part"]] = i
+        made.number[made.first_of[r["lead"]] + r["part"]] = i
+        made.heads[r["lead"]] |= r["part"] == 0
+    if chosen:
+        low, high = (F.struct(F.lit(r["lead"]), F.lit(r["part"])) for r in (chosen[0], chosen[-1]))
+        mine = filters.where((F.struct("lead", "part") >= low) & (F.struct("lead", "part") <= high))
+        for r in mine.select("lead", "part", "words", "word_counts", "filter").toLocalIterator():
+            i, at = place[r["lead"], r["part"]], word_at[r["lead"]]
+            words = np.frombuffer(r["words"], np.uint64)
+            made.words[at:at + len(words)] = words
+            made.counts[at:at + len(words)] = np.frombuffer(r["word_counts"], np.int64)
+            made.packed[begin[i]:begin[i + 1]] = np.frombuffer(r["filter"], np.uint8)
+    return made
+
+
 SCORED = "doc_id long, text_hash long, n_tokens long, n_known long, base_score double, score double"
 SCORED_ARROW = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_tokens", pa.int64()),
                           ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def _pass(docs: DataFrame, shared, ranges: int, n: int, v: int, orphans: set[int]) -> DataFrame:
-    """Sums over the tokens whose leading bits the held filters own, or are ``orphans``, owned by none.
+def _pass(docs: DataFrame, shared, ranges: int, n: int, v: int) -> DataFrame:
+    """Sums over the tokens whose leading bits the block's filters own, or are orphans, owned by none.
 
     A word is once predicted and once what the next word is predicted from (the end token
     stands for both ends of a text), so both its terms are added where it is owned.
     """
-    low = PLUS / (n + PLUS * (v + 1))
+
+    def terms(tokens: np.ndarray, pairs: np.ndarray, held: Block) -> tuple[np.ndarray, ...]:
+        known, base, full = np.zeros(len(tokens), np.int64), np.zeros(len(tokens)), np.zeros(len(tokens))
+        lead = (tokens >> np.uint64(64 - (ranges.bit_length() - 1))).astype(np.int64) if ranges > 1 \
+            else np.zeros(len(tokens), np.int64)
+        none = held.orphans[lead]
+        base[none] = full[none] = np.log10(PLUS / (n + PLUS * (v + 1)))
+        at = np.flatnonzero(held.parts[lead] > 0)
+        if not len(at) or not len(held.words):
+            return known, base, full
+        mine, lead = tokens[at], lead[at]
+        place = np.minimum(np.searchsorted(held.words, mine), len(held.words) - 1)
+        c = np.where(held.words[place] == mine, held.counts[place], 0).astype(np.float64)
+        p = (c + PLUS) / (n + PLUS * (v + 1))
+        head = held.heads[lead]
+        known[at] = head & (c > 0)
+        base[at] = np.where(head, np.log10(p), 0.0)
+        more = np.where(head, np.log10(STRENGTH * p) - np.log10(c + STRENGTH), 0.0)
+        part = (pairs[at] % held.parts[lead].astype(np.uint64)).astype(np.int64)
+        number = held.number[held.first_of[lead] + part]
+        some = np.flatnonzero(number >= 0)
+        number = number[some]
+        seen = expected_count(look_up(held.packed, held.bits[number], pairs[at][some], held.begin[number]))
+        more[some] += np.log10(1 + seen / (STRENGTH * p[some]))
+        full[at] = more
+        return known, base, full
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine: dict[int, list[tuple]] = {}
-        for lead, part, parts, words, counts, bits, packed in shared.value:
-            mine.setdefault(lead, []).append((part, parts, np.frombuffer(words, np.uint64),
-                                              np.frombuffer(counts, np.int64), bits, np.frombuffer(packed, np.uint8)))
-        shift = np.uint64(64 - (ranges.bit_length() - 1))
         for batch in batches:
             for step in steps(batch, limit=STEP_BYTES):
                 tokens, first = _tokens(step.column("text"))
-                pairs = _pairs(tokens, first)
-                lead = (tokens >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(tokens), np.int64)
-                order = np.argsort(lead, kind="stable")
-                cuts = np.searchsorted(lead[order], np.arange(ranges + 1))
-                known, base, full = np.zeros(len(tokens), np.int64), np.zeros(len(tokens)), np.zeros(len(tokens))
-                for r in range(ranges):
-                    at = order[cuts[r]:cuts[r + 1]]
-                    if r in orphans:
-                        base[at] = full[at] = np.log10(low)
-                    if r not in mine or not len(at):
-                        continue
-                    words, counts = mine[r][0][2:4]
-                    place = np.minimum(np.searchsorted(words, tokens[at]), len(words) - 1)
-                    c = np.where(words[place] == tokens[at], counts[place], 0).astype(np.float64)
-                    p = (c + PLUS) / (n + PLUS * (v + 1))
-                    for part, parts, _, _, bits, packed in mine[r]:
-                        if part == 0:
-                            known[at] = c > 0
-                            base[at] = np.log10(p)
-                            full[at] += np.log10(STRENGTH * p) - np.log10(c + STRENGTH)
-                        some = pairs[at] % np.uint64(parts) == np.uint64(part)
-                        seen = expected_count(look_up(packed, bits, pairs[at[some]]))
-                        full[at[some]] += np.log10(1 + seen / (STRENGTH * p[some]))
+                sums = terms(tokens, _pairs(tokens, first), shared.value)
                 yield pa.RecordBatch.from_arrays([
                     step.column("doc_id"), step.column("text_hash"), pa.array(np.diff(first), pa.int64()),
-                    *(pa.array(np.add.reduceat(x, first[:-1])) for x in (known, base, full))], schema=SCORED_ARROW)
+                    *(pa.array(np.add.reduceat(x, first[:-1])) for x in sums)], schema=SCORED_ARROW)
             give_back()
 
     return docs.mapInArrow(run, SCORED)
@@ -292,21 +343,14 @@ def score(docs: DataFrame, filters: DataFrame, n: int, v: int, ranges: int,
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
     blocks = _blocks(filters, block_bytes)
-    owned = {lead for block in blocks for lead, _ in block}
+    orphans = np.ones(ranges, dtype=bool)
+    orphans[[r["lead"] for block in blocks for r in block]] = False
     found = None
     for k, block in enumerate(blocks):
-        wanted = F.lit(False)
-        if block:
-            (low, low_part), (high, high_part) = block[0], block[-1]
-            place = F.struct("lead", "part")
-            wanted = (place >= F.struct(F.lit(low), F.lit(low_part))) & (place <= F.struct(F.lit(high), F.lit(high_part)))
-        held = [tuple(r) for r in filters.where(wanted).select(
-            "lead", "part", "parts", "words", "word_counts", "bits", "filter").collect()]
-        shared = docs.sparkSession.sparkContext.broadcast(held)
-        del held
+        shared = docs.sparkSession.sparkContext.broadcast(
+            _block(filters, block, ranges, orphans if k == 0 else np.zeros(ranges, dtype=bool)))
         # Written before the next block is made: one block is alive at a time, here and in the tasks.
-        one = settle(_pass(rows, shared, ranges, n, v, set(range(ranges)) - owned if k == 0 else set())
-                     .withColumn("pass", F.lit(k)), "lm-pass")
+        one = settle(_pass(rows, shared, ranges, n, v).withColumn("pass", F.lit(k)), "lm-pass")
         shared.destroy()
         found = one if found is None else found.unionByName(one)
     each = found.groupBy("doc_id", "text_hash", "pass").agg(
