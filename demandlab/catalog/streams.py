@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +20,13 @@ from demandlab.schemas import (
 from demandlab.session import scratch_path
 from demandlab.streaming.checks import check_stream, quarantine_stream
 from demandlab.streaming.demand import (
-    demand_stream, distinct_stream, running_score_stream, score_stream, sliding_error_rates,
+    demand_stream, distinct_stream, running_score_stream, score_stream, sliding_error_rates, sliding_latency,
+    sustained_errors, sustained_latency,
 )
 from demandlab.streaming.features import feature_stream, moving_average_stream
-from demandlab.streaming.io import append_to_table, file_stream, newest_snapshot, snapshots_to_table
+from demandlab.streaming.io import (
+    append_to_table, closable, close_stream, file_stream, newest_snapshot, open_for_closing, snapshots_to_table,
+)
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +39,39 @@ def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "ts", ZONE,
         F.when(F.col("event_id") % 2 == 0, "single").otherwise("batch").alias("endpoint"),
         F.when(F.col("event_type") == "error", "error").otherwise("success").alias("status"),
-        F.get_json_object("props", "$.k").cast("double").alias("k"), "value")
+        F.get_json_object("props", "$.k").cast("double").alias("k"), "value",
+        (F.col("value") / 100).alias("latency_seconds"))
+
+
+def files_in_order(rows: DataFrame, ts: str, label: str, parts: int = 3) -> str:
+    """``rows`` as files that arrive in the order of their times: ``parts`` spans of equal length."""
+    path = scratch_path(rows.sparkSession, label)
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    span = rows.agg(F.min(at).alias("low"), F.max(at).alias("high")).first()
+    if span["low"] is None:
+        rows.write.parquet(path)
+        return path
+    width = (span["high"] - span["low"]) // parts + 1
+    for k in range(parts):
+        begin = span["low"] + k * width
+        rows.filter((at >= begin) & (at < begin + width)).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def drained(spark: SparkSession, source: DataFrame, ts: str, build, label: str) -> DataFrame:
+    """Runs ``build(source)`` over all that is there, then closes the stream and runs again: nothing stays open."""
+    path, checkpoint, end = (scratch_path(spark, f"{label}-{part}") for part in ("table", "checkpoint", "end"))
+    result = build(closable(source, open_for_closing(spark, source.schema, end)))
+    append_to_table(result, path, checkpoint)
+    close_stream(spark, source.schema, ts, end)
+    append_to_table(result, path, checkpoint)
+    return spark.read.schema(result.schema).parquet(path)
+
+
+def requests_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The request stream from three files, one a batch."""
+    rows = ad.requests(spark, sf_dir).select("event_id", "ts", "endpoint", "status", "latency_seconds")
+    return file_stream(spark, files_in_order(rows, "ts", "request-files"), rows.schema, files_per_trigger=1)
 
 
 def demand_files(spark: SparkSession, sf_dir: str) -> str:
@@ -63,6 +100,13 @@ def streaming_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(DEMAND_TABLE).parquet(demand_files(spark, sf_dir))
 
 
+@query("t2_drained_demand", sql_over("demand", body="SELECT * FROM demand"))
+def drained_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ad.events(spark, sf_dir).select("event_id", "ts", ZONE)
+    source = file_stream(spark, files_in_order(rows, "ts", "event-files"), rows.schema, files_per_trigger=1)
+    return drained(spark, source, "ts", lambda events: demand_stream(events, "ts"), "drained-demand")
+
+
 @query("t3_streaming_scores")
 def streaming_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ad.features(spark, sf_dir)
@@ -103,6 +147,28 @@ def online_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.parquet(path))
 
 
+# A zone that is silent for longer than this starts a new series.
+LIFETIME = timedelta(minutes=30)
+SERIES = {
+    "gaps": f"""SELECT *, coalesce(pickup_window - lag(pickup_window) OVER z > INTERVAL {LIFETIME.seconds // 60} MINUTE, false)
+    AS fresh FROM demand WINDOW z AS (PARTITION BY PULocationID ORDER BY pickup_window)""",
+    "lives": """SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY PULocationID ORDER BY pickup_window) AS life
+    FROM gaps""",
+}
+
+
+@query("t6_moving_average_lifetime", sql_over("demand", extra=SERIES, body="""
+SELECT pickup_window, PULocationID, CAST(actual_demand AS DOUBLE) AS actual_demand, false AS late,
+  round(avg(actual_demand) OVER (PARTITION BY PULocationID, life ORDER BY pickup_window
+  ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS moving_average FROM lives"""))
+def moving_average_with_lifetime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ad.demand(spark, sf_dir).select(WINDOW, ZONE, DEMAND)
+    source = file_stream(spark, files_in_order(rows, WINDOW, "demand-files"), rows.schema, files_per_trigger=1)
+    path = scratch_path(spark, "moving-average")
+    append_to_table(moving_average_stream(source, DEMAND, lifetime=LIFETIME), path, scratch_path(spark, "stream-checkpoint"))
+    return rounded(spark.read.parquet(path))
+
+
 @query("t6_moving_average", sql_over("demand", extra=EMITTED, body="""
 SELECT pickup_window, PULocationID, CAST(actual_demand AS DOUBLE) AS actual_demand, false AS late,
   round(avg(actual_demand) OVER (PARTITION BY PULocationID ORDER BY pickup_window
@@ -148,6 +214,23 @@ def latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(latency_alerts(ad.requests(spark, sf_dir), "ts", "latency_seconds", LATENCY_BOUNDS))
 
 
+@query("t7_streaming_latency", LATENCY_SQL + """ SELECT window_start, window_end, endpoint,
+round(estimate, 6) AS estimate, estimate > 1.0 AS violating FROM picked WHERE rn = 1
+AND window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM requests) - INTERVAL 30 MINUTE""")
+def streaming_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "latency")
+    rows = sliding_latency(requests_in_order(spark, sf_dir), "ts", "latency_seconds", LATENCY_BOUNDS)
+    append_to_table(rows, path, scratch_path(spark, "stream-checkpoint"))
+    return rounded(spark.read.schema(rows.schema).parquet(path))
+
+
+@query("t7_drained_latency", LATENCY_SQL + """ SELECT window_start, window_end, endpoint,
+round(estimate, 6) AS estimate, estimate > 1.0 AS violating FROM picked WHERE rn = 1""")
+def drained_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(drained(spark, requests_in_order(spark, sf_dir), "ts", lambda log: sliding_latency(
+        log, "ts", "latency_seconds", LATENCY_BOUNDS), "drained-latency"))
+
+
 @query("t8_batch_checks")
 def batch_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference, production = ad.reference_and_production(spark, sf_dir)
@@ -184,12 +267,34 @@ def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("event_id", "ts", "event_type", "value")
 
 
+SUSTAINED = """SELECT endpoint, min(window_end) AS first_at, max(window_end) AS last_at, count(*) AS windows,
+  CAST(max(no) - min(no) AS BIGINT) AS minutes FROM bad GROUP BY endpoint, no - rn HAVING max(no) - min(no) >= 5"""
+BAD_WINDOWS = """SELECT endpoint, window_end, epoch(window_end)::BIGINT // 60 AS no,
+    row_number() OVER (PARTITION BY endpoint ORDER BY window_end) AS rn FROM {src}"""
+
+
 @query("l1_sustained_alerts", sql_over("requests", extra={
-    **SLIDING, "rates": ERROR_RATES,
-    "bad": """SELECT endpoint, window_end, epoch(window_end)::BIGINT // 60 AS no,
-    row_number() OVER (PARTITION BY endpoint ORDER BY window_end) AS rn FROM rates WHERE violating""",
-}, body="""SELECT endpoint, min(window_end) AS first_at, max(window_end) AS last_at, count(*) AS windows,
-  CAST(max(no) - min(no) AS BIGINT) AS minutes FROM bad GROUP BY endpoint, no - rn HAVING max(no) - min(no) >= 5"""))
+    **SLIDING, "rates": ERROR_RATES, "bad": BAD_WINDOWS.format(src="rates WHERE violating"),
+}, body=SUSTAINED))
 def sustained_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = error_rate_alerts(ad.requests(spark, sf_dir), "ts", F.col("status") == "error")
     return sustained(rates, ["endpoint"], 5)
+
+
+# A run is closed when the watermark has passed its last window by more than the step.
+@query("l1_streaming_alerts", sql_over("requests", extra={
+    **SLIDING, "rates": ERROR_RATES, "bad": BAD_WINDOWS.format(src="rates WHERE violating"), "runs": SUSTAINED,
+}, body="""SELECT * FROM runs WHERE last_at + INTERVAL 61 SECOND - INTERVAL 1 MICROSECOND
+  <= (SELECT date_trunc('millisecond', max(ts)) FROM requests) - INTERVAL 30 MINUTE"""))
+def streaming_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "sustained")
+    rows = sustained_errors(requests_in_order(spark, sf_dir), "ts", F.col("status") == "error")
+    append_to_table(rows, path, scratch_path(spark, "stream-checkpoint"))
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@query("l1_drained_latency_alerts", LATENCY_SQL + ", " + f"""bad AS (
+{BAD_WINDOWS.format(src="picked WHERE rn = 1 AND estimate > 1.0")}) {SUSTAINED}""")
+def drained_latency_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drained(spark, requests_in_order(spark, sf_dir), "ts", lambda log: sustained_latency(
+        log, "ts", "latency_seconds", LATENCY_BOUNDS), "drained-alerts")

@@ -76,6 +76,26 @@ def histogram_quantiles(buckets: DataFrame, shares: Sequence[float], labels: Seq
     return hit.groupBy(*labels, "q").agg(F.min_by("estimate", "le").alias("estimate"))
 
 
+def folded_quantile(bounds: Sequence[float], cumulative: Sequence[Column], share: float) -> Column:
+    """``histogram_quantiles`` of one row that holds all its cumulative counts, the last one being that of +Inf.
+
+    Only columns of the row are used, so it works where windows over bounds do not, as on streams.
+    """
+    total = cumulative[-1]
+    rank = F.lit(float(share)) * total
+    steps, lower, below = [], F.lit(0.0), F.lit(0)
+    for bound, count in zip([*map(float, bounds), INFINITY], cumulative, strict=True):
+        if bound == INFINITY:
+            inside = lower
+        elif bound <= 0:
+            inside = F.lit(bound)
+        else:
+            inside = lower + (F.lit(bound) - lower) * safe_ratio(rank - below, count - below)
+        steps.append(F.when(count >= rank, inside))
+        lower, below = F.lit(bound), count
+    return F.coalesce(*steps)
+
+
 def feature_summary(log: DataFrame, features: Sequence[str]) -> DataFrame:
     """Count and sum of observed values per feature."""
     wide = log.select(*[F.col(f).cast("double").alias(f) for f in features])

@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 from demandlab.functions.calendar import with_window_parts
 from demandlab.operators.metrics import with_rates
 from demandlab.operators.models import score
+from demandlab.operators.observability import folded_quantile
 from demandlab.operators.quality import request_errors
 from demandlab.schemas import DEMAND, WINDOW, ZONE
-from demandlab.streaming.io import event_time
+from demandlab.streaming.io import event_time, kept
 
 
 def demand_stream(trips: DataFrame, ts: str, zone: str = ZONE, delay: str = "30 minutes",
                   minutes: int = 15) -> DataFrame:
     """Tumbling demand counts; a window is emitted once the watermark passed its end, later rows are dropped."""
-    timed = event_time(trips.filter(F.col(zone).isNotNull()), ts, delay)
+    timed = event_time(kept(trips, ts, F.col(zone).isNotNull()), ts, delay)
     counted = timed.groupBy(F.window(ts, f"{minutes} minutes").alias("_w"), F.col(zone).cast("int").alias(ZONE)).agg(
         F.count(F.lit(1)).alias(DEMAND))
     flat = counted.select(F.col("_w.start").cast("timestamp_ntz").alias(WINDOW), ZONE, DEMAND)
@@ -43,18 +44,80 @@ def running_score_stream(rows: DataFrame, actual: str, predicted: str, succeeded
     return with_rates(totals)
 
 
+def _spans(log: DataFrame, ts: str, width: int, step: int, delay: str) -> tuple[DataFrame, Column]:
+    return event_time(log, ts, delay), F.window(ts, f"{width} minutes", f"{step} minutes").alias("_w")
+
+
+def _flat(windows: DataFrame, *columns: str | Column) -> DataFrame:
+    return windows.select(F.col("_w.start").cast("timestamp_ntz").alias("window_start"),
+                          F.col("_w.end").cast("timestamp_ntz").alias("window_end"), *columns)
+
+
+def _error_windows(log: DataFrame, ts: str, failed: Column, labels: Sequence[str], limit: float, width: int, step: int,
+                   delay: str) -> DataFrame:
+    timed, span = _spans(log, ts, width, step, delay)
+    counted = timed.groupBy(span, *labels).agg(
+        F.count(F.lit(1)).alias("requests"), F.sum(failed.cast("long")).alias("errors"))
+    share = F.col("errors") / F.col("requests")
+    return counted.withColumns({"error_rate": share, "violating": share > limit})
+
+
 def sliding_error_rates(log: DataFrame, ts: str, failed: Column, labels: Sequence[str] = ("endpoint",),
                         limit: float = 0.05, width: int = 5, step: int = 1, delay: str = "30 minutes") -> DataFrame:
     """Streaming twin of ``observability.error_rate_alerts``."""
-    span = F.window(ts, f"{width} minutes", f"{step} minutes")
-    counted = event_time(log, ts, delay).groupBy(span.alias("_w"), *labels).agg(
-        F.count(F.lit(1)).alias("requests"), F.sum(failed.cast("long")).alias("errors"))
-    share = F.col("errors") / F.col("requests")
-    return counted.select(
-        F.col("_w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("_w.end").cast("timestamp_ntz").alias("window_end"), *labels,
-        "requests", "errors", share.alias("error_rate"), (share > limit).alias("violating"),
-    )
+    rates = _error_windows(log, ts, failed, labels, limit, width, step, delay)
+    return _flat(rates, *labels, "requests", "errors", "error_rate", "violating")
+
+
+def _latency_windows(log: DataFrame, ts: str, latency: str, bounds: Sequence[float], labels: Sequence[str], share: float,
+                     limit: float, width: int, step: int, delay: str) -> DataFrame:
+    x = F.col(latency)
+    timed, span = _spans(kept(log, ts, x.isNotNull()), ts, width, step, delay)
+    names = [f"_b{i}" for i in range(len(bounds))]
+    # The state of a window is one count per bound, whatever the number of requests.
+    counted = timed.groupBy(span, *labels).agg(
+        *[F.count_if(x <= float(b)).alias(n) for n, b in zip(names, bounds, strict=True)], F.count(F.lit(1)).alias("_all"))
+    estimate = folded_quantile(bounds, [F.col(n) for n in (*names, "_all")], share)
+    return counted.withColumn("estimate", estimate).withColumn("violating", F.col("estimate") > limit)
+
+
+def sliding_latency(log: DataFrame, ts: str, latency: str, bounds: Sequence[float], labels: Sequence[str] = ("endpoint",),
+                    share: float = 0.95, limit: float = 1.0, width: int = 5, step: int = 1,
+                    delay: str = "30 minutes") -> DataFrame:
+    """Streaming twin of ``observability.latency_alerts``: a histogram quantile per label and closed window."""
+    rows = _latency_windows(log, ts, latency, bounds, labels, share, limit, width, step, delay)
+    return _flat(rows, *labels, "estimate", "violating")
+
+
+def _sustained(windows: DataFrame, labels: Sequence[str], minutes: int, step: int) -> DataFrame:
+    """Runs of back-to-back violating windows as sessions of a second stateful operator.
+
+    A window stands at its last microsecond. Sessions take up what begins within a step and a second of the row
+    before, which is the next window and never the one after it. The ends of a run are aggregates: a filter on the
+    session's own bounds would be moved below the operator that merges sessions.
+    """
+    placed = windows.filter("violating").withColumn("_at", F.window_time("_w"))
+    runs = placed.groupBy(F.session_window("_at", f"{step * 60 + 1} seconds").alias("_run"), *labels).agg(
+        F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.count(F.lit(1)).alias("windows"))
+    tick = F.expr("INTERVAL 1 MICROSECOND")
+    lasted = F.floor((F.unix_micros("_last") - F.unix_micros("_first")) / 60_000_000)
+    return runs.filter(lasted >= minutes).select(
+        *labels, (F.col("_first") + tick).cast("timestamp_ntz").alias("first_at"),
+        (F.col("_last") + tick).cast("timestamp_ntz").alias("last_at"), "windows", lasted.alias("minutes"))
+
+
+def sustained_errors(log: DataFrame, ts: str, failed: Column, labels: Sequence[str] = ("endpoint",), minutes: int = 5,
+                     limit: float = 0.05, width: int = 5, step: int = 1, delay: str = "30 minutes") -> DataFrame:
+    """Streaming twin of ``observability.sustained`` over error rates: a run is emitted once it cannot go on."""
+    return _sustained(_error_windows(log, ts, failed, labels, limit, width, step, delay), labels, minutes, step)
+
+
+def sustained_latency(log: DataFrame, ts: str, latency: str, bounds: Sequence[float], labels: Sequence[str] = ("endpoint",),
+                      minutes: int = 5, share: float = 0.95, limit: float = 1.0, width: int = 5, step: int = 1,
+                      delay: str = "30 minutes") -> DataFrame:
+    """The same over latency quantiles."""
+    rows = _latency_windows(log, ts, latency, bounds, labels, share, limit, width, step, delay)
+    return _sustained(rows, labels, minutes, step)
 
 
 def score_stream(model: PipelineModel, requests: DataFrame) -> DataFrame:

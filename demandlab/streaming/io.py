@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,12 +20,46 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: s
     return reader.parquet(path)
 
 
+# Event time of a closing row: later than any real one, so the watermark passes every open window.
+END_OF_STREAM = "9000-01-01 00:00:00"
+
+
+def closable(stream: DataFrame, path: str) -> DataFrame:
+    """``stream`` that ends when ``close_stream`` has written its row to ``path``."""
+    return stream.unionByName(stream.sparkSession.readStream.schema(stream.schema).parquet(path))
+
+
+def close_stream(spark: SparkSession, schema: T.StructType, ts: str, path: str) -> None:
+    """Writes the closing row: the next run emits all open windows and runs, once; rows that come later are too late."""
+    end = F.lit(END_OF_STREAM).cast(schema[ts].dataType)
+    values = [end.alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    spark.range(1).select(*values).coalesce(1).write.mode("append").parquet(path)
+
+
+def open_for_closing(spark: SparkSession, schema: T.StructType, path: str) -> str:
+    """The empty folder that a closing row will go to."""
+    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    return path
+
+
+def kept(df: DataFrame, ts: str, condition: Column) -> DataFrame:
+    """Rows that meet the condition, and the closing row, which ``event_time`` must see.
+
+    Goes before ``event_time``: Spark moves filters on other columns there in any case.
+    """
+    return df.filter(condition | (F.col(ts) >= F.lit(END_OF_STREAM).cast(df.schema[ts].dataType)))
+
+
 def event_time(df: DataFrame, ts: str, delay: str = "30 minutes") -> DataFrame:
-    """Watermarks need a TIMESTAMP, so the naive time is cast; only in UTC does no clock change move it."""
+    """Watermarks need a TIMESTAMP, so the naive time is cast; only in UTC does no clock change move it.
+
+    A closing row moves the watermark and goes no further.
+    """
     zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
         raise ValueError(f"streams over naive times need the session time zone UTC, not {zone}")
-    return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    return timed.filter(F.col(ts).isNull() | (F.col(ts) < F.lit(END_OF_STREAM).cast("timestamp")))
 
 
 def append_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:

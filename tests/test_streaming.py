@@ -12,11 +12,18 @@ from pyspark.sql import functions as F
 from demandlab.operators.demand import build_demand
 from demandlab.operators.features import with_history
 from demandlab.operators.metrics import running_score
-from demandlab.schemas import DEMAND, DEMAND_TABLE, NTZ, ROLLING_FEATURES, WINDOW, ZONE, lag_features, table, INT, LONG
+from demandlab.operators.observability import (
+    error_rate_alerts, folded_quantile, histogram, histogram_quantiles, latency_alerts, sustained,
+)
+from demandlab.schemas import DEMAND, DEMAND_TABLE, NTZ, ROLLING_FEATURES, WINDOW, ZONE, lag_features, table, DBL, INT, LONG, STR
 from demandlab.session import scratch_path
-from demandlab.streaming.demand import demand_stream, distinct_stream, running_score_stream
+from demandlab.streaming.demand import (
+    demand_stream, distinct_stream, running_score_stream, sliding_latency, sustained_errors, sustained_latency,
+)
 from demandlab.streaming.features import feature_stream, moving_average_stream
-from demandlab.streaming.io import append_to_table, file_stream, newest_snapshot, snapshots_to_table
+from demandlab.streaming.io import (
+    append_to_table, closable, close_stream, file_stream, newest_snapshot, open_for_closing, snapshots_to_table,
+)
 
 START = datetime(2024, 1, 1)
 EVENT = table(id=LONG, ts=NTZ, PULocationID=INT)
@@ -183,3 +190,97 @@ def test_another_time_zone_is_refused(spark):
             event_time(spark.range(1), "id")
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+LOG = table(ts=NTZ, endpoint=STR, status=STR, seconds=DBL)
+
+
+def log_part(begin, minutes, bad, endpoint="a"):
+    """Ten requests a minute; in bad minutes all fail and take two seconds."""
+    import pandas as pd
+
+    rows = [(START + timedelta(minutes=begin + m, seconds=5 * i), endpoint, "error" if begin + m in bad else "success",
+             2.0 if begin + m in bad else 0.01 * i) for m in range(minutes) for i in range(10)]
+    return pd.DataFrame(rows, columns=["ts", "endpoint", "status", "seconds"])
+
+
+def test_alerts_over_files_with_late_rows_a_restart_and_a_close(spark, tmp_path):
+    bounds = (0.05, 0.5, 1.0, 5.0)
+    bad = {*range(20, 29), *range(60, 62), *range(100, 112)}
+    parts = [log_part(0, 40, bad), log_part(40, 40, bad), log_part(80, 40, bad)]
+    folder = write_files(tmp_path, parts[:2])
+    end = open_for_closing(spark, LOG, str(tmp_path / "end"))
+    source = closable(file_stream(spark, folder, LOG, files_per_trigger=1), end)
+    failed = F.col("status") == "error"
+    streams = {
+        "latency": sliding_latency(source, "ts", "seconds", bounds, delay="10 minutes"),
+        "errors": sustained_errors(source, "ts", failed, delay="10 minutes"),
+        "slow": sustained_latency(source, "ts", "seconds", bounds, delay="10 minutes"),
+    }
+    paths = {name: scratch_path(spark, name) for name in streams}
+
+    def run():
+        for name, stream in streams.items():
+            append_to_table(stream, paths[name], f"{paths[name]}-checkpoint")
+
+    run()
+    late = log_part(1, 3, set(range(4)))  # far behind the watermark: must change nothing
+    for i, pdf in enumerate((late, parts[2]), 2):
+        pdf.to_parquet(f"{folder}/{i:03d}.parquet", index=False, coerce_timestamps="us")
+        os.utime(f"{folder}/{i:03d}.parquet", (1_700_000_000 + i, 1_700_000_000 + i))
+    run()
+    before = {name: spark.read.schema(s.schema).parquet(paths[name]).count() for name, s in streams.items()}
+    close_stream(spark, LOG, "ts", end)
+    run()
+    run()
+
+    import pandas as pd
+
+    whole = spark.createDataFrame(pd.concat(parts)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    rates, slow = error_rate_alerts(whole, "ts", failed), latency_alerts(whole, "ts", "seconds", bounds)
+    want = {"latency": slow, "errors": sustained(rates, ["endpoint"], 5), "slow": sustained(slow, ["endpoint"], 5)}
+    for name, batch in want.items():
+        got = spark.read.schema(streams[name].schema).parquet(paths[name])
+        assert before[name] <= got.count()
+        rows = [sorted(map(tuple, df.select(sorted(batch.columns)).collect())) for df in (got, batch)]
+        assert rows[0] == rows[1], name
+    assert before["latency"] < want["latency"].count() and want["errors"].count() == 3
+
+
+def test_state_of_an_idle_zone_is_evicted(spark, tmp_path):
+    import pandas as pd
+
+    def rows(zone, begin, n):
+        return [(START + timedelta(minutes=15 * (begin + i)), zone, float(begin + i)) for i in range(n)]
+
+    parts = [rows(1, 0, 6) + rows(2, 0, 6), rows(1, 6, 30), rows(1, 36, 4) + rows(2, 36, 3), rows(2, 50, 2) + rows(1, 40, 14)]
+    frames = [pd.DataFrame(p, columns=[WINDOW, ZONE, "x"]).astype({ZONE: "int32"}) for p in parts]
+    folder = write_files(tmp_path, frames)
+    schema = table(**{WINDOW: NTZ, ZONE: INT, "x": DBL})
+    stream = moving_average_stream(file_stream(spark, folder, schema, files_per_trigger=1), "x", 5, lifetime=timedelta(hours=3))
+    path, kept = scratch_path(spark, "lifetime"), []
+    query = stream.writeStream.outputMode("append").format("parquet").option("path", path).option(
+        "checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 1 in kept and max(kept) == 2  # the silent zone's state went while the other went on
+    want = {}
+    for zone in (1, 2):
+        series = pd.concat(frames).query(f"{ZONE} == {zone}").sort_values(WINDOW)
+        life = (series[WINDOW].diff() > pd.Timedelta(hours=3)).cumsum()
+        mean = series.x.groupby(life).transform(lambda v: v.rolling(5, min_periods=1).mean())
+        want.update({(zone, t.to_pydatetime()): m for t, m in zip(series[WINDOW], mean)})
+    got = {(r[ZONE], r[WINDOW]): r["moving_average"] for r in spark.read.parquet(path).collect()}
+    assert got == pytest.approx(want) and len(got) == sum(map(len, parts))
+
+
+def test_folded_quantiles_equal_the_windowed_ones(spark):
+    rng, bounds = np.random.default_rng(5), (-1.0, 0.0, 0.1, 0.5, 2.0)
+    log = spark.createDataFrame([(int(i % 7), float(x)) for i, x in enumerate(rng.normal(0.5, 1, 400))], "k int, x double")
+    wide = log.groupBy("k").agg(*[F.count_if(F.col("x") <= b).alias(f"b{i}") for i, b in enumerate(bounds)],
+                                F.count(F.lit(1)).alias("total"))
+    counts = [F.col(f"b{i}") for i in range(len(bounds))] + [F.col("total")]
+    for share in (0.0, 0.3, 0.95, 1.0):
+        got = {r.k: r.q for r in wide.select("k", folded_quantile(bounds, counts, share).alias("q")).collect()}
+        want = histogram_quantiles(histogram(log, "x", bounds, ["k"]), [share], ["k"]).collect()
+        assert got == pytest.approx({r.k: r.estimate for r in want})
