@@ -83,13 +83,13 @@ def psi_sql(source_ref: str, source_prod: str, edges: str, floor: bool = False)
 
 
 _DECILES = "[" + ", ".join(str(i / 10) for i in range(11)) + "]"
-_ZONE_EDGES = f"""SELECT CASE WHEN count(DISTINCT value) < 10 THEN list_sort(list(DISTINCT value))
-  ELSE list_sort(list_distinct(quantile_cont(value, {_DECILES}))) END AS e FROM lref WHERE feature = 'PULocationID'"""
+ZONE_EDGES = f"""SELECT CASE WHEN count(DISTINCT value) < 10 THEN list_sort(list(DISTINCT value))
+  ELSE list_sort(list_distinct(quantile_cont(value, {_DECILES}))) END AS e FROM {{src}}"""
 ZONE_PSI = {
     **LONG_SQL,
     "zref": "SELECT value FROM lref WHERE feature = 'PULocationID'",
     "zprod": "SELECT value FROM lprod WHERE feature = 'PULocationID'",
-    **psi_sql("zref", "zprod", _ZONE_EDGES),
+    **psi_sql("zref", "zprod", ZONE_EDGES.format(src="zref")),
 }
 
 
@@ -169,15 +169,24 @@ SUMMARY_SQL = f"""SELECT total_features, drifted_features, drifted_features > 0
   coalesce(list(feature) FILTER (WHERE drift_detected), []) AS hits FROM tab)"""
 
 
-@query("d6_drift_report", sql_over("ref", "prod", extra=DRIFT_STEPS, body=f"""
-SELECT *, (SELECT count(*) FROM prod) AS production_data_size FROM ({SUMMARY_SQL})"""))
+@query("d6_drift_report", sql_over("ref", "prod", extra={
+    **DRIFT_STEPS, "errs": """SELECT (lag_1 + lag_4) / 2 AS f, (lag_1 + lag_4) / 2 - actual_demand AS e,
+    CAST(actual_demand AS DOUBLE) AS y FROM prod""",
+}, body=f"""
+SELECT *, (SELECT count(*) FROM prod) AS production_data_size FROM ({SUMMARY_SQL}), (
+  SELECT round(avg(f), 6) AS mean, round(stddev_pop(f), 6) AS std, round(min(f), 6) AS min, round(max(f), 6) AS max,
+  round(median(f), 6) AS median, round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse,
+  round(avg(abs(e / (y + 1e-8))) * 100, 6) AS mape, round(avg(e), 6) AS bias FROM errs)"""))
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, (in_reference, in_production) = ad.features(spark, sf_dir), reference_or_production()
     size = rows.agg(F.count_if(in_production).alias("n")).scalar()
-    nested = drift_report(feature_drift_within(rows, in_reference, in_production), F.lit("2024-02-01"), size)
-    return nested.select(
+    scored = ad.with_forecasts(rows.filter(in_production))
+    nested = drift_report(feature_drift_within(rows, in_reference, in_production), F.lit("2024-02-01"), size,
+                          predictions=scored, predicted="by_challenger")
+    return rounded(nested.select(
         "summary.total_features", "summary.drifted_features", "summary.drift_detected",
-        F.array_join("summary.drifted_feature_names", ", ").alias("drifted_feature_names"), "production_data_size")
+        F.array_join("summary.drifted_feature_names", ", ").alias("drifted_feature_names"), "production_data_size",
+        *[f"prediction_drift.{n}" for n in ("mean", "std", "min", "max", "median")], "prediction_drift.performance.*"))
 
 
 @query("d7_drift_check", sql_over("features", extra={

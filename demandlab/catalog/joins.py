@@ -13,7 +13,7 @@ from demandlab.operators.demand import hour_profile
 from demandlab.operators.geo import against_history, align_distributions, flag_manhattan, with_zone, zone_layer
 from demandlab.operators.metrics import compare_models
 from demandlab.operators.observability import trailing_means
-from demandlab.operators.sampling import label_by_month
+from demandlab.operators.sampling import label_by_month, split_by_month
 from demandlab.schemas import DEMAND, MANHATTAN_ZONES, WINDOW, ZONE
 
 
@@ -47,6 +47,20 @@ def zone_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flag_manhattan(ad.demand(spark, sf_dir)).select(WINDOW, ZONE, "is_manhattan")
 
 
+_MONTHS = {"months": "SELECT DISTINCT date_trunc('month', pickup_window) AS m FROM daily ORDER BY m LIMIT 10"}
+
+
+@query("j4_month_split", sql_over("daily", extra=_MONTHS, body="""
+SELECT daily.*, 'train' AS part FROM daily WHERE date_trunc('month', pickup_window) IN (SELECT m FROM months)
+UNION ALL SELECT daily.*, 'validation' FROM daily WHERE date_trunc('month', pickup_window) NOT IN (SELECT m FROM months)"""))
+def month_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of both sides of the split that training uses."""
+    demand = ad.demand_orders(spark, sf_dir)
+    parts = [side.select(*demand.columns, F.lit(name).alias("part"))
+             for side, name in zip(split_by_month(demand, 10), ("train", "validation"), strict=True)]
+    return parts[0].unionByName(parts[1])
+
+
 @query("j4_month_semi_join", sql_over("daily", extra={
     "months": "SELECT DISTINCT date_trunc('month', pickup_window) AS m FROM daily ORDER BY m LIMIT 10",
 }, body="""SELECT CASE WHEN m IS NULL THEN 'validation' ELSE 'train' END AS part, count(*) AS n,

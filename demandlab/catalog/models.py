@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from demandlab.catalog import adapters as ad
 from demandlab.catalog.adapters import sql_over
 from demandlab.catalog.columns import ZONES
-from demandlab.catalog.drift import DRIFT_STEPS, SUMMARY_SQL
+from demandlab.catalog.drift import DRIFT_STEPS, SUMMARY_SQL, ZONE_EDGES
 from demandlab.catalog.joins import COMPARE_SQL
 from demandlab.catalog.registry import query, rounded
 from demandlab.catalog.scans import REGISTRY_SQL, stored_registry
@@ -174,7 +174,7 @@ def continual_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     save_model(champion, settings.model_path)
     report = run_check(spark, demand, "2024-01-30 23:45:00", "2024-01-26", "2024-02-01T00:00:00", settings,
                        boosted_trees())
-    return report.select("status", F.array_join("actions_taken", ", ").alias("actions"), "production_data_records",
+    return report.select("config.*", "status", F.array_join("actions_taken", ", ").alias("actions"), "production_data_records",
                          "should_retrain", "new_model_version", "model_comparison.winner", "error")
 
 
@@ -187,15 +187,14 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 START, WEEKS, BASELINE = date(2024, 1, 9), 4, 0.5
 _ENDS = ", ".join(f"(TIMESTAMP '{e}', '{e}')" for e in week_ends(START, WEEKS))
-BACKTEST_FEATURES = ["lag_1", "lag_96", "rolling_mean_4"]
+_columns = ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in FEATURES)
+_long = f"UNPIVOT (SELECT week_end, {_columns} FROM {{src}}) ON " + ", ".join(FEATURES) + " INTO NAME feature VALUE value"
 BACKTEST_STEPS = {
     "weekly": f"""SELECT w.name AS week_end, p.* FROM preds p, (VALUES {_ENDS}) AS w(stop, name)
     WHERE pickup_window <= stop AND pickup_window >= stop - INTERVAL 7 DAY""",
-    "lprod": "UNPIVOT (SELECT week_end, " + ", ".join(BACKTEST_FEATURES) + " FROM weekly) ON "
-             + ", ".join(BACKTEST_FEATURES) + " INTO NAME feature VALUE value",
-    "lref": "UNPIVOT (SELECT w.name AS week_end, " + ", ".join(BACKTEST_FEATURES)
-            + f" FROM ref, (VALUES {_ENDS}) AS w(stop, name)) ON " + ", ".join(BACKTEST_FEATURES)
-            + " INTO NAME feature VALUE value",
+    "repeated": f"SELECT w.name AS week_end, ref.* FROM ref, (VALUES {_ENDS}) AS w(stop, name)",
+    "lprod": _long.format(src="weekly"),
+    "lref": _long.format(src="repeated"),
 }
 # A week without rows has no distribution to compare and no performance row.
 BACKTEST_KS = {
@@ -203,6 +202,22 @@ BACKTEST_KS = {
     SELECT week_end, feature, value, 1 AS r, 0 AS p FROM lref WHERE week_end IN (SELECT week_end FROM lprod)
     UNION ALL SELECT week_end, feature, value, 0, 1 FROM lprod) GROUP BY ALL""",
 }
+# The zone is compared by PSI: one set of edges, the bins of every week against those of the reference.
+_in_bins = """SELECT {key} len(list_filter(e, lambda x: x < value)) + CASE WHEN value = e[1] THEN 1 ELSE 0 END AS bin,
+    count(*) AS c FROM {src}, edges WHERE value >= e[1] AND value <= e[len(e)] AND len(e) > 1 GROUP BY ALL"""
+BACKTEST_PSI = {
+    "zref": f"SELECT CAST({ZONE} AS DOUBLE) AS value FROM ref",
+    "zweek": f"SELECT week_end, CAST({ZONE} AS DOUBLE) AS value FROM weekly",
+    "edges": ZONE_EDGES.format(src="zref"),
+    "rbin": _in_bins.format(key="", src="zref"),
+    "wbin": _in_bins.format(key="week_end,", src="zweek"),
+    "slots": "SELECT week_end, bin FROM (SELECT DISTINCT week_end FROM wbin), (SELECT unnest(range(1, len(e))) AS bin FROM edges)",
+    "parts": """SELECT week_end, coalesce(a.c, 0) / (SELECT sum(c) FROM rbin) AS r,
+    coalesce(b.c, 0) / sum(coalesce(b.c, 0)) OVER (PARTITION BY week_end) AS p
+    FROM slots LEFT JOIN rbin a USING (bin) LEFT JOIN wbin b USING (week_end, bin)""",
+    "psi": """SELECT week_end, sum(CASE WHEN r = 0 AND p = 0 THEN 0 WHEN r = 0 OR p = 0 THEN 'inf'::DOUBLE
+    ELSE (p - r) * ln(p / r) END) AS psi FROM parts GROUP BY 1""",
+}
 
 
 def _backtest_sql(body: str) -> str:
@@ -210,13 +225,15 @@ def _backtest_sql(body: str) -> str:
 
     steps = {**ks_steps("week_end, feature"), **BACKTEST_KS}
     return sql_over("preds", "ref", extra={
-        **BACKTEST_STEPS, **steps,
+        **BACKTEST_STEPS, **steps, **BACKTEST_PSI,
         "perf": f"""SELECT week_end, avg(abs(e)) AS mae, (avg(abs(e)) - {BASELINE}) / {BASELINE} * 100
         AS mae_increase_pct, count(*) AS samples
         FROM (SELECT week_end, by_challenger - actual_demand AS e FROM weekly) GROUP BY 1""",
-        "drift": "SELECT week_end, count(*) FILTER (WHERE p_value < 0.05) AS drifted_features FROM ksp GROUP BY 1",
+        "drift": f"""SELECT week_end, count(*) AS total_features,
+        count(*) FILTER (CASE WHEN feature = '{ZONE}' THEN psi > 0.1 ELSE p_value < 0.05 END) AS drifted_features
+        FROM ksp JOIN psi USING (week_end) GROUP BY 1""",
         "checks": """SELECT week_end, round(mae, 6) AS mae, round(mae_increase_pct, 6) AS mae_increase_pct, samples,
-        drifted_features, mae > 2.5 OR mae_increase_pct > 20 OR drifted_features > 0 AS should_retrain
+        total_features, drifted_features, mae > 2.5 OR mae_increase_pct > 20 OR drifted_features > 0 AS should_retrain
         FROM perf JOIN drift USING (week_end)""",
     }, body=body)
 
@@ -224,13 +241,13 @@ def _backtest_sql(body: str) -> str:
 def _weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference, _ = ad.reference_and_production(spark, sf_dir)
     return weekly_checks(ad.predictions(spark, sf_dir), reference, week_ends(START, WEEKS), BASELINE,
-                         "by_challenger", BACKTEST_FEATURES, categorical=())
+                         "by_challenger")
 
 
 @query("m14_weekly_checks", _backtest_sql("SELECT * FROM checks"))
 def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_weekly(spark, sf_dir).select(
-        "week_end", "mae", "mae_increase_pct", "samples", "drifted_features", "should_retrain"))
+        "week_end", "mae", "mae_increase_pct", "samples", "total_features", "drifted_features", "should_retrain"))
 
 
 @query("m14_backtest_summary", _backtest_sql(f"""
@@ -241,13 +258,13 @@ def backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("m15_error_table", sql_over("preds", extra=ZONES, body="""
-SELECT pickup_window AS "Time", name AS "Location", round(y, 1) AS "Actual", round(by_challenger, 1) AS "Predicted",
+SELECT pickup_window AS "Time", coalesce(name, 'Unknown') AS "Location", round(y, 1) AS "Actual", round(by_challenger, 1) AS "Predicted",
   round(y - by_challenger, 2) AS "Error", round(abs(y - by_challenger), 2) AS "Abs Error",
   round(abs(y - by_challenger) / (y + 1e-10) * 100, 1) AS "Error %"
-FROM (SELECT *, CAST(actual_demand AS DOUBLE) AS y FROM preds) JOIN zones USING (PULocationID)
+FROM (SELECT *, CAST(actual_demand AS DOUBLE) AS y FROM preds) LEFT JOIN zones USING (PULocationID)
 ORDER BY pickup_window DESC, PULocationID LIMIT 20"""))
 def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = error_table(with_zone(ad.predictions(spark, sf_dir)), predicted="by_challenger")
+    rows = error_table(with_zone(ad.predictions(spark, sf_dir), how="left"), predicted="by_challenger")
     newest = head(rows, 20, F.desc(WINDOW), ZONE)
     return newest.select(
         F.col(WINDOW).alias("Time"), F.col("name").alias("Location"),

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandlab.functions.numeric import safe_ratio
+from demandlab.operators.metrics import prediction_performance
 from demandlab.operators.ranking import (
     exact_quantiles, held_ranks, interpolated, rank_map, running_totals, settle, value_counts,
 )
-from demandlab.schemas import FEATURES, ZONE
+from demandlab.schemas import DEMAND, FEATURES, PREDICTION_DRIFT, ZONE
 
 PSI_LIMIT = 0.1
 P_VALUE_LIMIT = 0.05
@@ -245,9 +246,25 @@ def drift_summary(table: DataFrame, groups: Sequence[str] = (), order: Sequence[
     ).withColumn("drift_detected", F.col("drifted_features") > 0)
 
 
-def drift_report(table: DataFrame, run_at: Column, production_size: Column,
-                 order: Sequence[str] = FEATURES) -> DataFrame:
-    """The nested report row, ready for a JSON sink."""
+def prediction_drift(predictions: DataFrame, predicted: str = "predicted", actual: str | None = DEMAND) -> DataFrame:
+    """One row: the predictions' distribution, and ``performance`` where an actual value is at hand (null otherwise)."""
+    stats = prediction_stats(predictions, predicted)
+    known = prediction_performance(predictions, actual, predicted) if actual else None
+    row = F.struct("mae", "rmse", "mape", "bias")
+    measured = F.lit(None).cast(PREDICTION_DRIFT["performance"].dataType) if known is None else \
+        known.select(F.when(F.col("mae").isNotNull(), row)).scalar()
+    return stats.withColumn("performance", measured)
+
+
+def drift_report(table: DataFrame, run_at: Column, production_size: Column, order: Sequence[str] = FEATURES,
+                 predictions: DataFrame | None = None, predicted: str = "predicted",
+                 actual: str | None = DEMAND) -> DataFrame:
+    """The nested report row, ready for a JSON sink; ``prediction_drift`` is null without predictions."""
+    if predictions is None:
+        about = F.lit(None).cast(PREDICTION_DRIFT)
+    else:
+        about = prediction_drift(predictions, predicted, actual).select(F.struct(
+            "mean", "std", "min", "max", "median", "performance")).scalar()
     rolled = table.agg(
         F.count(F.lit(1)).alias("total_features"), F.count_if("drift_detected").alias("drifted_features"),
         drifted_names(order).alias("drifted_feature_names"),
@@ -256,7 +273,7 @@ def drift_report(table: DataFrame, run_at: Column, production_size: Column,
     return rolled.select(
         run_at.cast("string").alias("timestamp"),
         F.struct("total_features", "drifted_features", "drift_detected", "drifted_feature_names").alias("summary"),
-        "feature_drift", production_size.alias("production_data_size"),
+        "feature_drift", about.alias("prediction_drift"), production_size.alias("production_data_size"),
     )
 
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,10 @@ from demandlab.schemas import CHECK_REPORT, FEATURES, LAGS
 from demandlab.sources.reports import read_registry
 
 
+# What data, storage or a deployment can do to a check.
+FAILURES = (PySparkException, Py4JError, OSError, ValueError, RuntimeError)
+
+
 @dataclass
 class CheckSettings:
     """Where the model lives and what triggers retraining."""
@@ -52,11 +58,13 @@ def run_check(spark: SparkSession, demand: DataFrame, end: str, reference_end: s
     Only single-row metric tables reach the driver; the feature rows of the
     checked window are persisted because four steps read them.
     """
-    report: dict = {"timestamp": run_at, "actions_taken": []}
+    report: dict = {"timestamp": run_at, "actions_taken": [], "config": {
+        "days_back": settings.days_back, "end_date": end, "dry_run": settings.dry_run,
+        "force_retrain": settings.force_retrain, "reference_days": settings.reference_days}}
     rows = range_rows(demand, _back(end, settings.days_back), end, settings.lags).persist()
     try:
         _steps(spark, demand, rows, end, reference_end, run_at, settings, learner, deploy, report)
-    except Exception as problem:  # the report must say what went wrong
+    except FAILURES as problem:  # the report must say what went wrong; mistakes in the code are raised
         report["status"] = "error"
         report["error"] = f"{type(problem).__name__}: {problem}"
     finally:
@@ -125,7 +133,7 @@ def _deploy(spark, version, path, run_at, settings, deploy, report) -> None:
         if deploy is not None:
             deploy(path)
         append_deployment(read_registry(spark, settings.registry_path), version, run_at, settings.deployments_path)
-    except Exception as problem:
+    except FAILURES as problem:
         report["actions_taken"].append("deployment_failed")
         report["status"] = "failure_deployment"
         report["error"] = f"{type(problem).__name__}: {problem}"

@@ -135,15 +135,19 @@ FEATURE_DRIFT = table(
     feature=STR, drift_detected=BOOL, test=STR, drift_score=DBL, p_value=DBL, reference_mean=DBL,
     production_mean=DBL, mean_shift=DBL, reference_std=DBL, production_std=DBL,
 )
+PREDICTION_DRIFT = table(mean=DBL, std=DBL, min=DBL, max=DBL, median=DBL,
+                         performance=table(mae=DBL, rmse=DBL, mape=DBL, bias=DBL))
 DRIFT_REPORT = table(
     timestamp=STR,
     summary=table(total_features=LONG, drifted_features=LONG, drift_detected=BOOL,
                   drifted_feature_names=T.ArrayType(STR)),
     feature_drift=T.ArrayType(FEATURE_DRIFT),
+    prediction_drift=PREDICTION_DRIFT,
     production_data_size=LONG,
 )
 CHECK_REPORT = table(
-    timestamp=STR, status=STR, actions_taken=T.ArrayType(STR), production_data_records=LONG,
+    timestamp=STR, config=table(days_back=INT, end_date=STR, dry_run=BOOL, force_retrain=BOOL, reference_days=INT),
+    status=STR, actions_taken=T.ArrayType(STR), production_data_records=LONG,
     performance_metrics=table(mae=DBL, rmse=DBL, r2=DBL, mae_increase_pct=DBL, samples=LONG),
     drift_summary=table(total_features=LONG, drifted_features=LONG, drift_detected=BOOL,
                         drifted_feature_names=T.ArrayType(STR)),
