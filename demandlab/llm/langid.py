@@ -37,6 +37,7 @@ SIZES = (2, 3, 4)
 WIDTH = 16
 SAMPLE_ROWS = 2000
 LEAST_ROWS = 40
+BROADCAST_LANGUAGES = 10_000
 EPOCHS = 6
 RATE = 0.5
 KEPT_SHARE = 0.99  # of held-back texts that the rejection keeps
@@ -143,7 +144,9 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, least_rows: int = LEA
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     # All but a little more than the wanted rows fall out by their hash before any are sorted.
     near = F.col("h").cast("double") <= (2.5 * room / F.col("n") - 1) * F.lit(2.0 ** 63)
-    first = known.join(counts, "lang").where(near | (F.col("n") <= room))
+    # A row per language, and their number is known: texts fall out where they are read, and are not dealt by language.
+    small = F.broadcast(counts) if languages <= BROADCAST_LANGUAGES else counts
+    first = known.join(small, "lang").where(near | (F.col("n") <= room))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", *[c for c in names if c != "lang"]))
     chosen = first.withColumn("place", place).where(F.col("place") <= room).select("lang", "h", "text")
 
