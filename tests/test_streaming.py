@@ -253,7 +253,7 @@ def test_state_of_an_idle_zone_is_evicted(spark, tmp_path):
     def rows(zone, begin, n):
         return [(START + timedelta(minutes=15 * (begin + i)), zone, float(begin + i)) for i in range(n)]
 
-    parts = [rows(1, 0, 6) + rows(2, 0, 6), rows(1, 6, 30), rows(1, 36, 4) + rows(2, 36, 3), rows(2, 50, 2) + rows(1, 40, 14)]
+    parts = [rows(1, 0, 6) + rows(2, 0, 6), rows(1, 6, 20), rows(1, 26, 10), rows(1, 36, 4) + rows(2, 36, 3), rows(2, 50, 2) + rows(1, 40, 14)]
     frames = [pd.DataFrame(p, columns=[WINDOW, ZONE, "x"]).astype({ZONE: "int32"}) for p in parts]
     folder = write_files(tmp_path, frames)
     schema = table(**{WINDOW: NTZ, ZONE: INT, "x": DBL})
