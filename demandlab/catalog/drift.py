@@ -10,13 +10,15 @@ from demandlab.catalog.adapters import REFERENCE_END, sql_over
 from demandlab.catalog.joins import DEMAND_LOG, TRAILING_SQL, demand_log
 from demandlab.catalog.registry import query, rounded
 from demandlab.operators.drift import (
-    drift_report, feature_drift_within, feature_stats, ks_table, prediction_stats, psi_table,
+    drift_report, feature_drift, feature_drift_within, feature_stats, ks_table, prediction_stats, psi_table,
     ranked_counts, sample_counts, shifted_means, split_sample_counts,
 )
 from demandlab.operators.metrics import prediction_performance
 from demandlab.operators.observability import trailing_means
 from demandlab.plans.drift_check import check_drift, production_rows, reference_rows
-from demandlab.schemas import FEATURES, WINDOW, ZONE
+from demandlab.schemas import DRIFT_LOG, FEATURES, WINDOW, ZONE
+from demandlab.session import scratch_path
+from demandlab.sources.logs import append_log, drift_log_rows
 
 _long = "UNPIVOT (SELECT {cols} FROM {src}) ON " + ", ".join(FEATURES) + " INTO NAME feature VALUE value"
 _cols = ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in FEATURES)
@@ -189,6 +191,22 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[f"prediction_drift.{n}" for n in ("mean", "std", "min", "max", "median")], "prediction_drift.performance.*"))
 
 
+@query("s13_drift_log", sql_over("ref", "prod", extra=DRIFT_STEPS, body=f"""
+SELECT CAST(1 AS BIGINT) AS id, TIMESTAMP '2024-02-01' AS timestamp, 'data_drift' AS report_type, drift_detected,
+  round(drifted_features / total_features, 6) AS drift_score, drifted_feature_names AS features_affected,
+  (SELECT count(*) FROM prod) AS production_data_size FROM ({SUMMARY_SQL})"""))
+def drift_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "drift-log")
+    reference, production = ad.reference_and_production(spark, sf_dir)
+    size = production.agg(F.count(F.lit(1)).alias("n")).scalar()
+    report = drift_report(feature_drift(reference, production), F.lit("2024-02-01 00:00:00"), size)
+    append_log(drift_log_rows(report), path, DRIFT_LOG)
+    return rounded(spark.read.schema(DRIFT_LOG).parquet(path).select(
+        "id", "timestamp", "report_type", "drift_detected", "drift_score",
+        F.array_join("features_affected", ", ").alias("features_affected"),
+        F.get_json_object("report_json", "$.production_data_size").cast("long").alias("production_data_size")))
+
+
 @query("d7_drift_check", sql_over("features", extra={
     "ref": "SELECT * FROM features",
     "prod": "SELECT * FROM features WHERE pickup_window >= (SELECT max(pickup_window) FROM features) - INTERVAL 3 DAY",

@@ -16,15 +16,18 @@ from demandlab.catalog.registry import query, rounded
 from demandlab.catalog.scans import REGISTRY_SQL, stored_registry
 from demandlab.operators.geo import with_zone
 from demandlab.operators.lifecycle import (
-    append_deployment, append_version, current_version, model_history, next_version, registry_row, retrain_decision,
+    append_deployment, append_version, claim_version, current_version, model_history, next_version, registry_row,
+    retrain_decision,
 )
 from demandlab.operators.metrics import basic_metrics, compare_models, error_table, performance_check
 from demandlab.operators.models import (
-    boosted_trees, compare_learners, feature_vectors, linear_model, load_model, random_forest, save_model, score, train,
+    boosted_trees, compare_learners, feature_vectors, learning_curve, linear_model, load_model, random_forest,
+    save_model, score, train,
 )
 from demandlab.operators.sampling import head, label_by_month, label_by_position, label_by_time
-from demandlab.plans.backtest import backtest_summary, week_ends, weekly_checks
+from demandlab.plans.backtest import backtest_summary, week_ends, weekly_checks, weekly_retraining
 from demandlab.plans.continual import CheckSettings, run_check
+from demandlab.plans.drift_check import range_rows, window_index
 from demandlab.plans.training import retrain
 from demandlab.schemas import COMPARISON_FEATURES, DEMAND, FEATURES, WINDOW, ZONE
 from demandlab.session import scratch_path
@@ -82,6 +85,12 @@ def boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(metrics)
 
 
+@query("m4_learning_curve")
+def boosting_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    training, validation = _split(spark, sf_dir)
+    return rounded(learning_curve(train(training), validation))
+
+
 @query("m5_batch_scoring")
 def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     training, validation = _split(spark, sf_dir)
@@ -120,6 +129,19 @@ def registered_version(spark: SparkSession, sf_dir: str) -> DataFrame:
         "is_deployed", next_version(stored).scalar().alias("next_version")))
 
 
+@query("m8_claimed_versions", sql_over("preds", body="""
+SELECT 'v1' AS version, 'models/v1' AS model_path, round(avg(abs(by_champion - actual_demand)), 6) AS mae FROM preds
+UNION ALL SELECT 'v2', 'models/v2', round(avg(abs(by_challenger - actual_demand)), 6) FROM preds"""))
+def claimed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, rows = scratch_path(spark, "registry"), ad.predictions(spark, sf_dir)
+    # Two runs, the first of them repeated.
+    for run in ("by_champion", "by_challenger", "by_champion"):
+        version = claim_version(spark, path, run)
+        metrics = basic_metrics(rows, predicted=run)
+        append_version(registry_row(metrics, F.lit(version), f"models/{version}", "2024-02-01T00:00:00"), path)
+    return rounded(read_registry(spark, path).select("version", "model_path", F.col("performance.mae").alias("mae")))
+
+
 @query("m9_champion_challenger", sql_over("preds", body=f"SELECT winner, champion_mae, challenger_mae, mae_improvement_pct, test_samples FROM ({COMPARE_SQL})"))
 def champion_challenger(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = compare_models(ad.predictions(spark, sf_dir), "by_champion", "by_challenger")
@@ -257,6 +279,67 @@ def backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(backtest_summary(_weekly(spark, sf_dir), WEEKS))
 
 
+# One-feature regressions have a closed form, so the chain of champions can be followed in SQL.
+FIRST_END, LEARNED, LIMIT = "2024-01-09", "rolling_mean_4", 0.4
+_weeks = ", ".join(f"({n}, TIMESTAMP '{e}', '{e}')" for n, e in enumerate(week_ends(START, WEEKS), 1))
+
+
+def _retraining_sql() -> str:
+    from demandlab.catalog.drift import ks_steps
+
+    return sql_over("history", extra={
+        "rowsx": f"""SELECT pickup_window AS t, CAST(actual_demand AS DOUBLE) AS y, {LEARNED} AS x FROM history
+    WHERE lag_4 IS NOT NULL AND rolling_max_24 IS NOT NULL""",
+        "wk": f"SELECT * FROM (VALUES {_weeks}) AS w(n, stop, week_end)",
+        "week_rows": "SELECT n, week_end, y, x FROM rowsx, wk WHERE t <= stop AND t >= stop - INTERVAL 7 DAY",
+        "learnable": "SELECT n, t, y, x FROM rowsx, wk WHERE t <= stop AND t >= stop - INTERVAL 30 DAY",
+        "ranks": """SELECT n, t, percent_rank() OVER (PARTITION BY n ORDER BY t) AS r
+    FROM (SELECT DISTINCT n, t FROM learnable)""",
+        "fits": f"""SELECT n AS model, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM learnable JOIN ranks USING (n, t)
+    WHERE r <= 0.8 GROUP BY n UNION ALL
+    SELECT 0, regr_slope(y, x), regr_intercept(y, x) FROM rowsx WHERE t <= TIMESTAMP '{FIRST_END}'""",
+        "errors": """SELECT n, model, avg(abs(greatest(0, a * x + b) - y)) AS mae, count(*) AS records
+    FROM week_rows, fits WHERE model <= n GROUP BY ALL""",
+        "lprod": "SELECT week_end, 'x' AS feature, x AS value FROM week_rows",
+        "lref": f"""SELECT week_end, 'x' AS feature, x AS value FROM rowsx, (SELECT DISTINCT week_end FROM week_rows)
+    WHERE t <= TIMESTAMP '{FIRST_END}' AND t >= TIMESTAMP '{FIRST_END}' - INTERVAL 30 DAY""",
+        **ks_steps("week_end, feature"),
+        "steps": "SELECT wk.n, week_end, coalesce(p_value < 0.05, false) AS drifted FROM wk LEFT JOIN ksp USING (week_end)",
+    }, body=f"""
+SELECT week_end, CASE WHEN records IS NULL THEN 'no_data' WHEN NOT retrain THEN 'success_no_retrain'
+  WHEN won THEN 'success_deployed' ELSE 'success_no_deployment' END AS status, coalesce(records, 0) AS records,
+  round(mae, 6) AS mae, CASE WHEN records IS NOT NULL THEN retrain END AS should_retrain, 'v' || judged AS champion,
+  CASE WHEN retrain THEN 'v' || versions END AS new_version,
+  CASE WHEN retrain THEN CASE WHEN won THEN 'new' ELSE 'current' END END AS winner,
+  CASE WHEN retrain THEN round(mae, 6) END AS champion_mae, CASE WHEN retrain THEN round(other, 6) END AS challenger_mae
+FROM (WITH RECURSIVE chain AS (
+  SELECT 0 AS n, '' AS week_end, 0 AS model, 0 AS version, 0 AS versions, 0 AS judged, false AS retrain, false AS won,
+    CAST(NULL AS BIGINT) AS records, CAST(NULL AS DOUBLE) AS mae, CAST(NULL AS DOUBLE) AS other
+  UNION ALL
+  SELECT n, week_end, CASE WHEN won THEN n ELSE before END, CASE WHEN won THEN versions ELSE judged END, versions, judged,
+    retrain, won, records, mae, other
+  FROM (SELECT *, had + CAST(retrain AS INTEGER) AS versions, retrain AND other < mae AS won
+    FROM (SELECT s.n, s.week_end, k.model AS before, k.version AS judged, k.versions AS had, c.records, c.mae, m.mae AS other,
+      coalesce(c.mae > {LIMIT} OR (c.mae - {BASELINE}) / {BASELINE} * 100 > 20 OR s.drifted, false) AS retrain
+      FROM chain k JOIN steps s ON s.n = k.n + 1 LEFT JOIN errors c ON c.n = s.n AND c.model = k.model
+      LEFT JOIN errors m ON m.n = s.n AND m.model = s.n)))
+  SELECT * FROM chain WHERE n > 0)""")
+
+
+@query("m14_weekly_retraining", _retraining_sql())
+def retraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, path = scratch_path(spark, "retraining"), scratch_path(spark, "demand")
+    ad.demand(spark, sf_dir).write.parquet(path)
+    demand = spark.read.parquet(path)
+    window_index(demand).write.parquet(f"{base}/index")
+    settings = CheckSettings(
+        f"{base}/champion", f"{base}/registry", f"{base}/deployments", f"{base}/models", baseline_mae=BASELINE,
+        mae_limit=LIMIT, features=[LEARNED], lags=(1, 4), index_path=f"{base}/index")
+    save_model(train(range_rows(demand, None, FIRST_END, settings.lags), linear_model(), [LEARNED]), settings.model_path)
+    weeks = weekly_retraining(spark, demand, week_ends(START, WEEKS), FIRST_END, settings, linear_model())
+    return rounded(weeks.drop("error"))
+
+
 @query("m15_error_table", sql_over("preds", extra=ZONES, body="""
 SELECT pickup_window AS "Time", coalesce(name, 'Unknown') AS "Location", round(y, 1) AS "Actual", round(by_challenger, 1) AS "Predicted",
   round(y - by_challenger, 2) AS "Error", round(abs(y - by_challenger), 2) AS "Abs Error",

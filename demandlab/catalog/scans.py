@@ -11,13 +11,13 @@ from demandlab.catalog.adapters import sql_over
 from demandlab.catalog.registry import query, rounded
 from demandlab.operators.drift import feature_drift, drift_report
 from demandlab.operators.metrics import METRIC_NAMES, regression_metrics
-from demandlab.plans.drift_check import production_rows, reference_rows
+from demandlab.plans.drift_check import production_rows, range_rows, reference_rows, window_index
 from demandlab.schemas import (
-    CHECK_REPORT, DEMAND, DRIFT_REPORT, FEATURES, METRIC_LOG, MODEL_REGISTRY, PREDICTION_LOG, WINDOW, ZONE, table,
+    API_LOG, CHECK_REPORT, DEMAND, DRIFT_REPORT, FEATURES, METRIC_LOG, MODEL_REGISTRY, PREDICTION_LOG, WINDOW, ZONE, table,
     DBL, INT, NTZ, STR, TRIPS,
 )
 from demandlab.session import scratch_path
-from demandlab.sources.logs import append_log, metric_log
+from demandlab.sources.logs import api_log_rows, append_log, metric_log
 from demandlab.sources.reports import append_report, newest_reports, read_registry
 from demandlab.sources.trips import (
     between, check_columns, contract_counts, read_directory, read_table, read_trips, write_csv, write_table,
@@ -214,7 +214,7 @@ def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("s13_log_tables", sql_over("plog", body="""
-SELECT model_version, endpoint, count(*) AS n, count(actual_demand) AS with_actual, count(id) AS with_id,
+SELECT model_version, endpoint, count(*) AS n, count(actual_demand) AS with_actual, count(*) AS with_id,
   min(created_at) AS first_created, count(DISTINCT CAST(timestamp AS DATE)) AS days FROM plog GROUP BY 1, 2"""))
 def log_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "prediction-log")
@@ -225,6 +225,41 @@ def log_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("created_at").alias("first_created"), F.count_distinct("log_date").alias("days"))
 
 
+@query("s13_log_ids", sql_over("plog", body="""
+SELECT count(*) AS rows_logged, count(*) AS distinct_ids, CASE WHEN count(*) > 0 THEN CAST(1 AS BIGINT) END AS first_id,
+  nullif(count(*), 0) AS last_id FROM plog"""))
+def log_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, rows = scratch_path(spark, "prediction-log"), ad.prediction_log(spark, sf_dir)
+    # Two appends, the first of them repeated.
+    for endpoint in ("single", "batch", "single"):
+        append_log(rows.filter(F.col("endpoint") == endpoint), path, PREDICTION_LOG, append_id=endpoint)
+    stored = spark.read.schema(PREDICTION_LOG).parquet(path)
+    return stored.agg(F.count(F.lit(1)).alias("rows_logged"), F.count_distinct("id").alias("distinct_ids"),
+                      F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
+@query("s13_api_log", sql_over("requests", body="""
+SELECT endpoint, CASE WHEN status = 'success' THEN 200 ELSE 500 END AS status_code, count(*) AS n, count(*) AS with_id,
+  count(*) FILTER (WHERE status <> 'success') AS with_message, round(max(latency_seconds) * 1000, 6) AS max_latency_ms,
+  min(ts) AS first_at FROM requests GROUP BY 1, 2"""))
+def api_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "api-log")
+    append_log(api_log_rows(ad.requests(spark, sf_dir)), path, API_LOG)
+    return rounded(spark.read.schema(API_LOG).parquet(path).groupBy("endpoint", "status_code").agg(
+        F.count(F.lit(1)).alias("n"), F.count("id").alias("with_id"), F.count("error_message").alias("with_message"),
+        F.max("latency_ms").alias("max_latency_ms"), F.min("timestamp").alias("first_at")))
+
+
+@query("s7_bounded_range", sql_over("features", body=f"""
+SELECT pickup_window, {FEATURE_SQL} FROM features
+WHERE pickup_window >= TIMESTAMP '2024-01-27' AND pickup_window <= TIMESTAMP '2024-01-30'"""))
+def bounded_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, rows = scratch_path(spark, "window-index"), ad.demand(spark, sf_dir)
+    window_index(rows).write.parquet(index)
+    found = range_rows(rows, "2024-01-27", "2024-01-30", index=spark.read.parquet(index))
+    return rounded(found.select(WINDOW, *FEATURES))
+
+
 METRICS_SQL = """sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae,
     avg(abs(e) / greatest(abs(y), 2.220446049250313e-16)) * 100 AS mape,
     1 - sum(e * e) / (var_pop(y) * count(*)) AS r2_score, median(abs(e)) AS median_ae, avg(e) AS bias,

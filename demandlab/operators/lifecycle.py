@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from demandlab.functions.documents import join_reasons, nested_or
 from demandlab.schemas import MODEL_REGISTRY
+from demandlab.sources.claims import take_block
+from demandlab.sources.reports import read_registry
 
 
 def next_version(registry: DataFrame) -> DataFrame:
@@ -17,6 +19,12 @@ def next_version(registry: DataFrame) -> DataFrame:
     return registry.agg(F.concat(F.lit("v"), (F.coalesce(largest, F.lit(0)) + 1).cast("string")).alias("version"))
 
 
+def claim_version(spark: SparkSession, registry_path: str, key: str) -> str:
+    """A version that no other run gets: the next free number, or the one that the run ``key`` has already."""
+    least = int(next_version(read_registry(spark, registry_path)).first()["version"][1:])
+    return f"v{take_block(spark, f'{registry_path.rstrip("/")}_claims', key, least=least)['first']}"
+
+
 def registry_row(metrics: DataFrame, version: Column, model_path: str, trained_at: str,
                  start_date: str | None = None, end_date: str | None = None) -> DataFrame:
     """One registry row from a one-row metric table (mae, rmse, r2, samples; mape if present)."""
@@ -32,14 +40,21 @@ def registry_row(metrics: DataFrame, version: Column, model_path: str, trained_a
 
 
 def append_version(row: DataFrame, path: str) -> None:
-    """One registered version is one small JSON object."""
-    row.select(MODEL_REGISTRY.fieldNames()).coalesce(1).write.mode("append").json(path)
+    """One registered version is one small JSON object; registered again, it takes the place of its own."""
+    _put(row.select(MODEL_REGISTRY.fieldNames()), path, F.col("version"))
+
+
+def _put(event: DataFrame, path: str, name: Column) -> None:
+    """Writes a small row to a folder of its own name. Writers at the same time stage apart, which appends do not."""
+    (event.withColumn("entry", name).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("entry").json(path))
 
 
 def append_deployment(registry_rows: DataFrame, version: str, deployed_at: str, path: str) -> None:
-    """Deployment is an event; earlier versions stay in the registry."""
+    """Deployment is an event; earlier versions stay in the registry, and the same event is kept once."""
     event = registry_rows.filter(F.col("version") == version).limit(1)
-    event.select("version", F.lit(deployed_at).alias("deployed_at")).coalesce(1).write.mode("append").json(path)
+    _put(event.select("version", F.lit(deployed_at).alias("deployed_at")), path,
+         F.concat_ws(" ", "deployed_at", "version"))
 
 
 def current_version(deployments: DataFrame) -> DataFrame:

@@ -59,9 +59,21 @@ def score(model: PipelineModel, rows: DataFrame, predicted: str = "predicted") -
     return scored.drop("features", "raw_prediction")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """Refuses a path that holds a model already."""
-    model.write().save(path)
+def learning_curve(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """RMSE on ``rows`` after each boosting round, before clamping; one pass over the rows for all rounds.
+
+    One row per tree of the model.
+    """
+    vectors, trees = model.stages[0].transform(rows), model.stages[-1]
+    errors = [float(e) for e in trees.evaluateEachIteration(vectors, "squared")]
+    curve = rows.sparkSession.createDataFrame(list(enumerate(errors, 1)), "round int, squared double")
+    return curve.select("round", F.sqrt("squared").alias("rmse"))
+
+
+def save_model(model: PipelineModel, path: str, replace: bool = False) -> None:
+    """Refuses a path that holds a model already, unless it is to be replaced."""
+    writer = model.write()
+    (writer.overwrite() if replace else writer).save(path)
 
 
 def load_model(path: str) -> PipelineModel:

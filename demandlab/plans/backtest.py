@@ -1,17 +1,22 @@
-"""Weekly checks over past data in one grouped job."""
+"""Weekly checks over past data: in one grouped job, or in turn with retraining."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlab.operators.drift import drift_summary, drift_table, grouped_sample_counts, integer_features
 from demandlab.operators.lifecycle import retrain_decision
 from demandlab.operators.metrics import performance_check
-from demandlab.schemas import DEMAND, FEATURES, WINDOW, ZONE
+from demandlab.plans.continual import CheckSettings, run_check
+from demandlab.schemas import BOOL, DBL, DEMAND, FEATURES, LONG, STR, WINDOW, ZONE, table
+
+RETRAINED_WEEK = table(week_end=STR, status=STR, records=LONG, mae=DBL, should_retrain=BOOL, champion=STR,
+                       new_version=STR, winner=STR, champion_mae=DBL, challenger_mae=DBL, error=STR)
 
 
 def week_ends(start: date, weeks: int) -> list[date]:
@@ -43,6 +48,30 @@ def weekly_checks(rows: DataFrame, reference: DataFrame, ends: Sequence[date], b
     return retrain_decision(performance.join(F.broadcast(drift), "week_end"))
 
 
+def weekly_retraining(spark: SparkSession, demand: DataFrame, ends: Sequence[date], reference_end: str,
+                      settings: CheckSettings, learner=None) -> DataFrame:
+    """One row per week: the whole check with retraining, each week judging the champion the week before left.
+
+    Every week sees only rows up to its end; its training set is the trailing window of the settings.
+    The weeks are a short list and run in turn, since each needs the champion of the one before; what
+    reaches the driver is one report a week. ``champion`` is the version that was judged, ``v0`` the first model.
+    """
+    champion, weeks = "v0", []
+    for end in ends:
+        path = settings.model_path if champion == "v0" else f"{settings.models_dir.rstrip('/')}/{champion}"
+        report = run_check(spark, demand, f"{end} 00:00:00", reference_end, f"{end}T00:00:00",
+                           replace(settings, model_path=path), learner).first()
+        compared = report["model_comparison"]
+        weeks.append((
+            str(end), report["status"], report["production_data_records"],
+            report["performance_metrics"] and report["performance_metrics"]["mae"], report["should_retrain"], champion,
+            report["new_model_version"], compared and compared["winner"], compared and compared["champion_mae"],
+            compared and compared["challenger_mae"], report["error"]))
+        if report["status"] == "success_deployed":
+            champion = report["new_model_version"]
+    return spark.createDataFrame(weeks, RETRAINED_WEEK)
+
+
 def backtest_summary(checks: DataFrame, weeks: int) -> DataFrame:
     events = F.count_if("should_retrain")
     return checks.agg(

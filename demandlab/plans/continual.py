@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlab.operators.lifecycle import (
-    append_deployment, append_version, next_version, registry_row, retrain_decision,
+    append_deployment, append_version, claim_version, registry_row, retrain_decision,
 )
 from demandlab.operators.metrics import compare_models, performance_check
 from demandlab.operators.models import load_model, save_model, score
@@ -45,6 +45,7 @@ class CheckSettings:
     force_retrain: bool = False
     features: list[str] = field(default_factory=lambda: list(FEATURES))
     lags: tuple[int, ...] = LAGS
+    index_path: str | None = None  # a stored window_index of the demand table bounds how far back is read
 
 
 def _back(end: str, days: int) -> str:
@@ -61,9 +62,10 @@ def run_check(spark: SparkSession, demand: DataFrame, end: str, reference_end: s
     report: dict = {"timestamp": run_at, "actions_taken": [], "config": {
         "days_back": settings.days_back, "end_date": end, "dry_run": settings.dry_run,
         "force_retrain": settings.force_retrain, "reference_days": settings.reference_days}}
-    rows = range_rows(demand, _back(end, settings.days_back), end, settings.lags).persist()
+    index = spark.read.parquet(settings.index_path) if settings.index_path else None
+    rows = range_rows(demand, _back(end, settings.days_back), end, settings.lags, index).persist()
     try:
-        _steps(spark, demand, rows, end, reference_end, run_at, settings, learner, deploy, report)
+        _steps(spark, demand, index, rows, end, reference_end, run_at, settings, learner, deploy, report)
     except FAILURES as problem:  # the report must say what went wrong; mistakes in the code are raised
         report["status"] = "error"
         report["error"] = f"{type(problem).__name__}: {problem}"
@@ -72,7 +74,7 @@ def run_check(spark: SparkSession, demand: DataFrame, end: str, reference_end: s
     return spark.createDataFrame([{name: report.get(name) for name in CHECK_REPORT.fieldNames()}], CHECK_REPORT)
 
 
-def _steps(spark, demand, rows, end, reference_end, run_at, settings, learner, deploy, report) -> None:
+def _steps(spark, demand, index, rows, end, reference_end, run_at, settings, learner, deploy, report) -> None:
     actions = report["actions_taken"]
     report["production_data_records"] = rows.count()
     if report["production_data_records"] == 0:
@@ -80,7 +82,8 @@ def _steps(spark, demand, rows, end, reference_end, run_at, settings, learner, d
         return
     champion = load_model(settings.model_path)
     performance = performance_check(score(champion, rows), settings.baseline_mae)
-    reference = range_rows(demand, _back(reference_end, settings.reference_days), reference_end, settings.lags)
+    reference = range_rows(demand, _back(reference_end, settings.reference_days), reference_end, settings.lags,
+                           index)
     _, drift = check_drift(reference, rows, settings.features, p_limit=settings.p_limit)
     state = performance.withColumn("_d", drift.select(F.struct("*")).scalar()).select("*", "_d.*").drop("_d")
     decision = retrain_decision(state, settings.mae_limit).first()
@@ -99,16 +102,16 @@ def _steps(spark, demand, rows, end, reference_end, run_at, settings, learner, d
 
     window_start = _back(end, settings.training_days)
     # Splitting, fitting and validating all read the training rows.
-    training = range_rows(demand, window_start, end, settings.lags).persist()
+    training = range_rows(demand, window_start, end, settings.lags, index).persist()
     try:
         challenger, metrics = retrain(training, learner, settings.features)
         metrics = settle(metrics, "validation-metrics")
     finally:
         training.unpersist()
-    registry = read_registry(spark, settings.registry_path)
-    version = next_version(registry).first()["version"]
+    # The same run, repeated after a failure, takes its own version up again.
+    version = claim_version(spark, settings.registry_path, f"{run_at} {window_start} {end}")
     path = f"{settings.models_dir.rstrip('/')}/{version}"
-    save_model(challenger, path)
+    save_model(challenger, path, replace=True)
     append_version(registry_row(metrics, F.lit(version), path, run_at, window_start, end), settings.registry_path)
     report["new_model_version"] = version
     actions.append("model_retrained")

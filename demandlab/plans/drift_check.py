@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from demandlab.operators.drift import drift_summary, feature_drift
 from demandlab.operators.features import build_features
@@ -33,9 +35,47 @@ def production_rows(demand: DataFrame, days_back: int = 7, features: Sequence[st
     return recent.select(*features)
 
 
-def range_rows(demand: DataFrame, start: str | None, end: str | None, lags: Sequence[int] = LAGS) -> DataFrame:
-    """Features of a date range, built on the history before it and trimmed afterwards."""
-    return between(build_features(between(demand, end=end), lags), start=start)
+def window_index(demand: DataFrame) -> DataFrame:
+    """Observed windows per zone and day: small enough to be kept beside the demand table and added to day by day."""
+    return demand.groupBy(ZONE, F.to_date(WINDOW).alias("day")).agg(F.count(F.lit(1)).alias("windows"))
+
+
+def look_back(index: DataFrame, start: str, end: str | None, lags: Sequence[int] = LAGS) -> DataFrame:
+    """One row (zone, since) per zone that has windows in the range: the day its features need history from.
+
+    Lags count observed windows, so the day differs by zone: it is the newest one from which the
+    days before the range hold the longest look-back. A zone with less history needs all of it.
+    """
+    reach = max([*lags, 23])
+    first = F.to_date(F.lit(start))
+    inside = F.col("day") >= first
+    if end is not None:
+        inside = inside & (F.col("day") <= F.to_date(F.lit(end)))
+    # At most one row a day and zone.
+    newer = F.sum("windows").over(W.partitionBy(ZONE).orderBy(F.desc("day")))
+    before = index.filter(F.col("day") < first).withColumn("_n", newer)
+    enough = before.groupBy(ZONE).agg(
+        F.coalesce(F.max(F.when(F.col("_n") >= reach, F.col("day"))), F.min("day")).alias("since"))
+    active = index.filter(inside).select(ZONE).distinct()
+    return active.join(enough, ZONE, "left").select(ZONE, F.coalesce("since", first).alias("since"))
+
+
+def range_rows(demand: DataFrame, start: str | None, end: str | None, lags: Sequence[int] = LAGS,
+               index: DataFrame | None = None) -> DataFrame:
+    """Features of a date range, built on the history before it and trimmed afterwards.
+
+    With a ``window_index`` of the table, each zone is read from its ``look_back`` day on and the
+    scan starts at the earliest of them; without one, all history before ``end`` is read.
+    """
+    history = between(demand, end=end)
+    if index is not None and start is not None:
+        since = look_back(index, start, end, lags)
+        earliest = since.agg(F.min("since").cast("timestamp_ntz").alias("t")).scalar()
+        needed = history.filter(F.col(WINDOW) >= earliest)
+        # One row per zone.
+        kept = needed.join(F.broadcast(since), ZONE).filter(F.col(WINDOW) >= F.col("since").cast("timestamp_ntz"))
+        history = kept.select(*demand.columns)
+    return between(build_features(history, lags), start=start)
 
 
 def check_drift(reference: DataFrame, production: DataFrame, features: Sequence[str] = FEATURES,

@@ -28,7 +28,7 @@ def newest_reports(spark: SparkSession, path: str, schema: T.StructType, limit:
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """Registered model versions; no rows when nothing was registered yet."""
     try:
-        return spark.read.schema(MODEL_REGISTRY).json(path)
+        return spark.read.schema(MODEL_REGISTRY).option("recursiveFileLookup", True).json(path)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise

@@ -149,3 +149,65 @@ def test_versions_are_never_named_twice(spark):
     assert next_version(nothing).first()["version"] == "v1"
     some = nothing.select("version").union(spark.createDataFrame([("v1",), ("v10",), ("other",)], "version string"))
     assert next_version(some).first()["version"] == "v11"
+
+
+def uneven(demand):
+    """Zone 4 loses most of its windows, zone 161 ends early, zone 90 begins late."""
+    hole = (F.col(ZONE) == 4) & (F.col("hour") % 6 != 0)
+    late = demand.filter((F.col(ZONE) == 161) & (F.col(WINDOW) >= "2024-01-10")).withColumn(ZONE, F.lit(90))
+    early = demand.filter(~hole & ((F.col(ZONE) == 4) | (F.col(WINDOW) < "2024-01-06")))
+    return early.unionByName(late)
+
+
+@pytest.mark.parametrize("lags", [(1, 4), (1, 30), (1, 200), (1, 5000)])
+def test_a_bounded_look_back_gives_the_same_features(spark, demand, lags):
+    from demandlab.plans.drift_check import look_back, window_index
+
+    rows = uneven(demand)
+    index = window_index(rows)
+    whole = range_rows(rows, "2024-01-11", END, lags)
+    bounded = range_rows(rows, "2024-01-11", END, lags, index)
+    assert bounded.columns == whole.columns and bounded.exceptAll(whole).count() == 0
+    assert bounded.count() == whole.count()
+    since = {r[ZONE]: str(r["since"]) for r in look_back(index, "2024-01-11", END, lags).collect()}
+    assert set(since) == {4, 90} and since[90] == "2024-01-10"
+    # Zone 4 has 16 windows a day: 23 or 30 take two days, 200 more than there are.
+    assert since[4] == ("2024-01-09" if max(lags) <= 30 else "2024-01-01" if max(lags) > 160 else since[4])
+
+
+def test_the_look_back_reaches_the_scan(spark, demand):
+    from demandlab.plans.drift_check import window_index
+
+    path = scratch_path(spark, "demand")
+    demand.write.parquet(path)
+    stored = spark.read.parquet(path)
+    bounded = range_rows(stored, "2024-01-11", END, LAGS, window_index(stored))
+    text = bounded._sc._jvm.PythonSQLUtils.explainString(bounded._jdf.queryExecution(), "formatted")
+    assert f"GreaterThanOrEqual({WINDOW}," in text or f"({WINDOW}#" in text and "Subquery" in text
+
+
+def test_each_week_judges_the_champion_of_the_week_before(spark, demand, weak_model):
+    from demandlab.plans.backtest import weekly_retraining
+    from demandlab.plans.drift_check import window_index
+
+    index = scratch_path(spark, "index")
+    window_index(demand).write.parquet(index)
+    chosen = settings(spark, weak_model, index_path=index, baseline_mae=0.5, mae_limit=0.5, p_limit=0.0)
+    ends = [date(2024, 1, 6), date(2024, 1, 9), date(2024, 3, 1)]
+    weeks = weekly_retraining(spark, demand, ends, "2024-01-04", chosen, linear_model()).orderBy("week_end").collect()
+    assert [w["error"] for w in weeks] == [None] * 3
+    first, second, third = weeks
+    assert (first["champion"], first["new_version"], first["status"]) == ("v0", "v1", "success_deployed")
+    # What was deployed is judged next, on the later rows.
+    assert second["champion"] == "v1"
+    rows = range_rows(demand, "2024-01-07", "2024-01-09 00:00:00", LAGS)
+    judged = score(load_model(f"{chosen.models_dir}/v1"), rows).agg(
+        F.avg(F.abs(F.col("predicted") - F.col(DEMAND)))).first()[0]
+    assert second["mae"] == pytest.approx(judged) and second["mae"] < first["mae"]
+    assert (third["status"], third["records"]) == ("no_data", 0)
+
+
+def test_a_repeated_run_keeps_its_version(spark, demand, weak_model):
+    chosen = settings(spark, weak_model, dry_run=True)
+    versions = [check(spark, demand, chosen)["new_model_version"] for _ in range(2)]
+    assert versions == ["v1", "v1"] and read_registry(spark, chosen.registry_path).count() == 1

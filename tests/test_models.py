@@ -117,3 +117,17 @@ def test_registered_learners_have_the_operators_full_size(spark, sf_dir, monkeyp
     for args, named in seen[2:]:
         assert len(args) == 1 and not named
     assert train.__defaults__ == (None, FEATURES) and boosted_trees().getMaxIter() == 100
+
+
+def test_the_learning_curve_ends_at_the_error_of_the_model(parts):
+    from demandlab.operators.models import learning_curve
+
+    training, validation = parts
+    model = train(training, boosted_trees(trees=4))
+    curve = [r["rmse"] for r in learning_curve(model, validation).orderBy("round").collect()]
+    raw = model.transform(validation).agg(
+        F.sqrt(F.avg(F.pow(F.col("raw_prediction") - F.col(DEMAND), 2)))).first()[0]
+    assert len(curve) == 4 and curve[-1] == pytest.approx(raw, abs=1e-9)
+    shorter = train(training, boosted_trees(trees=2))
+    assert learning_curve(shorter, validation).agg(F.max("round")).first()[0] == 2
+    assert curve[1] == pytest.approx(learning_curve(shorter, validation).filter("round = 2").first()["rmse"])
