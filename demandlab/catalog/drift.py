@@ -21,10 +21,10 @@ from demandlab.session import scratch_path
 from demandlab.sources.logs import append_log, drift_log_rows
 
 _long = "UNPIVOT (SELECT {cols} FROM {src}) ON " + ", ".join(FEATURES) + " INTO NAME feature VALUE value"
-_cols = ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in FEATURES)
+FEATURE_COLUMNS = ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in FEATURES)
 LONG_SQL = {
-    "lref": _long.format(cols=_cols, src="ref"),
-    "lprod": _long.format(cols=_cols, src="prod"),
+    "lref": _long.format(cols=FEATURE_COLUMNS, src="ref"),
+    "lprod": _long.format(cols=FEATURE_COLUMNS, src="prod"),
 }
 
 

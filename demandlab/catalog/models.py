@@ -148,8 +148,9 @@ def champion_challenger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(compared.select("winner", "champion_mae", "challenger_mae", "mae_improvement_pct", "test_samples"))
 
 
-DECISION_SQL = f"""concat_ws(' | ',
-  CASE WHEN mae > 0.5 THEN printf('Performance degradation: MAE %.4f > threshold 0.5000', mae) END,
+def decision_sql(mae_limit: float) -> str:
+    return f"""concat_ws(' | ',
+  CASE WHEN mae > {mae_limit} THEN printf('Performance degradation: MAE %.4f > threshold {mae_limit:.4f}', mae) END,
   CASE WHEN mae_increase_pct > 20 THEN printf('MAE increased by %.1f%% (threshold: 20%%)', mae_increase_pct) END,
   CASE WHEN drifted_features > 0 THEN 'Data drift in ' || drifted_features || ' features: [''' ||
     replace(names, ', ', ''', ''') || ''']' END)"""
@@ -163,7 +164,7 @@ DECISION_SQL = f"""concat_ws(' | ',
     "perf": """SELECT avg(abs(e)) AS mae, (avg(abs(e)) - 0.6) / 0.6 * 100 AS mae_increase_pct
     FROM (SELECT (lag_1 + lag_4) / 2 - actual_demand AS e FROM prod)""",
 }, body=f"""SELECT reason <> '' AS should_retrain, CASE WHEN reason = '' THEN 'All checks passed' ELSE reason END AS reason
-FROM (SELECT {DECISION_SQL} AS reason FROM perf, summ)"""))
+FROM (SELECT {decision_sql(0.5)} AS reason FROM perf, summ)"""))
 def decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     from demandlab.plans.drift_check import check_drift, production_rows, reference_rows
 
@@ -224,22 +225,24 @@ BACKTEST_KS = {
     SELECT week_end, feature, value, 1 AS r, 0 AS p FROM lref WHERE week_end IN (SELECT week_end FROM lprod)
     UNION ALL SELECT week_end, feature, value, 0, 1 FROM lprod) GROUP BY ALL""",
 }
-# The zone is compared by PSI: one set of edges, the bins of every week against those of the reference.
-_in_bins = """SELECT {key} len(list_filter(e, lambda x: x < value)) + CASE WHEN value = e[1] THEN 1 ELSE 0 END AS bin,
+
+def grouped_psi_sql(key: str, rows: str) -> dict[str, str]:
+    """The zone is compared by PSI: one set of edges, the bins of every group against those of the reference."""
+    in_bins = """SELECT {key} len(list_filter(e, lambda x: x < value)) + CASE WHEN value = e[1] THEN 1 ELSE 0 END AS bin,
     count(*) AS c FROM {src}, edges WHERE value >= e[1] AND value <= e[len(e)] AND len(e) > 1 GROUP BY ALL"""
-BACKTEST_PSI = {
-    "zref": f"SELECT CAST({ZONE} AS DOUBLE) AS value FROM ref",
-    "zweek": f"SELECT week_end, CAST({ZONE} AS DOUBLE) AS value FROM weekly",
-    "edges": ZONE_EDGES.format(src="zref"),
-    "rbin": _in_bins.format(key="", src="zref"),
-    "wbin": _in_bins.format(key="week_end,", src="zweek"),
-    "slots": "SELECT week_end, bin FROM (SELECT DISTINCT week_end FROM wbin), (SELECT unnest(range(1, len(e))) AS bin FROM edges)",
-    "parts": """SELECT week_end, coalesce(a.c, 0) / (SELECT sum(c) FROM rbin) AS r,
-    coalesce(b.c, 0) / sum(coalesce(b.c, 0)) OVER (PARTITION BY week_end) AS p
-    FROM slots LEFT JOIN rbin a USING (bin) LEFT JOIN wbin b USING (week_end, bin)""",
-    "psi": """SELECT week_end, sum(CASE WHEN r = 0 AND p = 0 THEN 0 WHEN r = 0 OR p = 0 THEN 'inf'::DOUBLE
+    return {
+        "zref": f"SELECT CAST({ZONE} AS DOUBLE) AS value FROM ref",
+        "zrows": f"SELECT {key}, CAST({ZONE} AS DOUBLE) AS value FROM {rows}",
+        "edges": ZONE_EDGES.format(src="zref"),
+        "rbin": in_bins.format(key="", src="zref"),
+        "gbin": in_bins.format(key=f"{key},", src="zrows"),
+        "slots": f"SELECT {key}, bin FROM (SELECT DISTINCT {key} FROM gbin), (SELECT unnest(range(1, len(e))) AS bin FROM edges)",
+        "parts": f"""SELECT {key}, coalesce(a.c, 0) / (SELECT sum(c) FROM rbin) AS r,
+    coalesce(b.c, 0) / sum(coalesce(b.c, 0)) OVER (PARTITION BY {key}) AS p
+    FROM slots LEFT JOIN rbin a USING (bin) LEFT JOIN gbin b USING ({key}, bin)""",
+        "psi": f"""SELECT {key}, sum(CASE WHEN r = 0 AND p = 0 THEN 0 WHEN r = 0 OR p = 0 THEN 'inf'::DOUBLE
     ELSE (p - r) * ln(p / r) END) AS psi FROM parts GROUP BY 1""",
-}
+    }
 
 
 def _backtest_sql(body: str) -> str:
@@ -247,7 +250,7 @@ def _backtest_sql(body: str) -> str:
 
     steps = {**ks_steps("week_end, feature"), **BACKTEST_KS}
     return sql_over("preds", "ref", extra={
-        **BACKTEST_STEPS, **steps, **BACKTEST_PSI,
+        **BACKTEST_STEPS, **steps, **grouped_psi_sql("week_end", "weekly"),
         "perf": f"""SELECT week_end, avg(abs(e)) AS mae, (avg(abs(e)) - {BASELINE}) / {BASELINE} * 100
         AS mae_increase_pct, count(*) AS samples
         FROM (SELECT week_end, by_challenger - actual_demand AS e FROM weekly) GROUP BY 1""",

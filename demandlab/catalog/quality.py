@@ -15,7 +15,7 @@ from demandlab.schemas import QUALITY_RANGES, QUALITY_Z_STATS
 from demandlab.session import scratch_path
 
 
-def _rule_sql() -> str:
+def rule_sql() -> str:
     parts = []
     for name, (low, high) in QUALITY_RANGES.items():
         text = "inf" if high is None else high
@@ -31,7 +31,7 @@ def _rule_sql() -> str:
     return "concat_ws(' | ', " + ", ".join(parts) + ")"
 
 
-CHECKED = {"checked": f"SELECT event_id, {_rule_sql()} AS messages FROM quality"}
+CHECKED = {"checked": f"SELECT event_id, {rule_sql()} AS messages FROM quality"}
 
 
 @query("q1_row_rules", sql_over("quality", extra=CHECKED, body="SELECT * FROM checked"))

@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from demandlab.catalog import adapters as ad
 from demandlab.catalog.adapters import sql_over
 from demandlab.catalog.aggregates import LATENCY_BOUNDS, QUANTILE_STEPS
+from demandlab.catalog.drift import FEATURE_COLUMNS, LONG_SQL, NAMES_SQL, ks_steps
+from demandlab.catalog.models import decision_sql, grouped_psi_sql
+from demandlab.catalog.quality import CHECKED, rule_sql
 from demandlab.catalog.registry import query, rounded
 from demandlab.catalog.series import SLIDING
 from demandlab.operators.models import train
 from demandlab.operators.observability import error_rate_alerts, latency_alerts, sustained
+from demandlab.operators.profile import write_profile
 from demandlab.schemas import (
-    DEMAND, DEMAND_TABLE, LAGS, ROLLING_FEATURES, WINDOW, ZONE, lag_features,
+    DEMAND, DEMAND_TABLE, FEATURES, LAGS, ROLLING_FEATURES, WINDOW, ZONE, lag_features,
 )
 from demandlab.session import scratch_path
 from demandlab.streaming.checks import check_stream, quarantine_stream
@@ -25,7 +29,8 @@ from demandlab.streaming.demand import (
 )
 from demandlab.streaming.features import feature_stream, moving_average_stream
 from demandlab.streaming.io import (
-    append_to_table, closable, close_stream, file_stream, newest_snapshot, open_for_closing, snapshots_to_table,
+    append_to_table, closable, close_stream, file_stream, newest_rows, newest_snapshot, open_for_closing, snapshots_to_table,
+    upserts_to_table,
 )
 
 
@@ -134,6 +139,26 @@ def running_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(newest.withColumn("sum_sq_error", F.round("sum_sq_error", 2)), 4)
 
 
+@query("t4_endpoint_score", sql_over("requests", body="""
+SELECT endpoint, total_requests, successful, failed, round(sum_abs_error, 4) AS sum_abs_error,
+  round(sum_sq_error, 2) AS sum_sq_error, round(total_requests / greatest(span, 1.0), 4) AS requests_per_second,
+  round(successful / total_requests * 100, 4) AS success_rate_pct,
+  round(sum_abs_error / successful, 4) AS mae, round(sqrt(sum_sq_error / successful), 4) AS rmse
+FROM (SELECT endpoint, count(*) AS total_requests, count(*) FILTER (WHERE status = 'success') AS successful,
+  count(*) FILTER (WHERE status <> 'success') AS failed, sum(abs(value - k)) FILTER (WHERE status = 'success')
+  AS sum_abs_error, sum((value - k) * (value - k)) FILTER (WHERE status = 'success') AS sum_sq_error,
+  (epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000.0 AS span FROM requests GROUP BY endpoint)"""))
+def endpoint_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six files, one a batch; every fourth batch compacts the table."""
+    rows = ad.requests(spark, sf_dir).select("ts", "endpoint", "status", "value", "k")
+    source = file_stream(spark, files_in_order(rows, "ts", "request-files", 6), rows.schema, files_per_trigger=1)
+    score = running_score_stream(source, "value", "k", F.col("status") == "success", ["endpoint"], "ts")
+    path = scratch_path(spark, "endpoint-score")
+    upserts_to_table(score, path, scratch_path(spark, "stream-checkpoint"), ["endpoint"], compact_every=4)
+    newest = newest_rows(spark, path, score.schema, ["endpoint"])
+    return rounded(newest.withColumn("sum_sq_error", F.round("sum_sq_error", 2)), 4)
+
+
 ONLINE = [*lag_features(), *ROLLING_FEATURES]
 _online_sql = ", ".join(f"round({c}, 6) AS {c}" for c in ONLINE)
 
@@ -231,31 +256,52 @@ def drained_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
         log, "ts", "latency_seconds", LATENCY_BOUNDS), "drained-latency"))
 
 
-@query("t8_batch_checks")
+# The arriving rows in three spans of equal length, one a batch, each against the whole reference.
+BATCHES = {
+    "span": """SELECT epoch_us(min(pickup_window)) AS low,
+    (epoch_us(max(pickup_window)) - epoch_us(min(pickup_window))) // 3 + 1 AS width FROM prod""",
+    "arrived": f"""SELECT *, (epoch_us(pickup_window) - low) // width AS batch_id, (lag_1 + lag_4) / 2 - actual_demand AS e,
+    {rule_sql()} AS messages FROM prod, span""",
+    "lprod": f"UNPIVOT (SELECT batch_id, {FEATURE_COLUMNS} FROM arrived) ON {', '.join(FEATURES)} INTO NAME feature VALUE value",
+    "lone": LONG_SQL["lref"],
+    "lref": "SELECT batch_id, feature, value FROM lone, (SELECT DISTINCT batch_id FROM arrived)",
+    **ks_steps("batch_id, feature"),
+    **grouped_psi_sql("batch_id", "arrived"),
+    "tab": f"""SELECT batch_id, feature, coalesce(CASE WHEN feature = '{ZONE}' THEN psi > 0.1 ELSE p_value < 0.05 END, false) AS
+    drift_detected FROM ksp JOIN psi USING (batch_id)""",
+    "drift": f"""SELECT batch_id, drifted_features, {NAMES_SQL} AS names FROM (SELECT batch_id,
+    count(*) FILTER (WHERE drift_detected) AS drifted_features,
+    coalesce(list(feature) FILTER (WHERE drift_detected), []) AS hits FROM tab GROUP BY 1)""",
+    "perf": """SELECT batch_id, avg(abs(e)) AS mae, (avg(abs(e)) - 0.5) / 0.5 * 100 AS mae_increase_pct, count(*) AS samples,
+    count(*) FILTER (WHERE messages = '') AS valid_records FROM arrived GROUP BY 1""",
+}
+BATCH_SQL = f"""SELECT CAST(batch_id AS INTEGER) AS batch_id, round(mae, 6) AS mae, samples, drifted_features, valid_records,
+  reason <> '' AS should_retrain, CASE WHEN reason = '' THEN 'All checks passed' ELSE reason END AS reason
+FROM (SELECT *, {decision_sql(2.5)} AS reason FROM perf JOIN drift USING (batch_id))"""
+
+
+@query("t8_batch_checks", sql_over("ref", "prod", extra=BATCHES, body=BATCH_SQL))
 def batch_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference, production = ad.reference_and_production(spark, sf_dir)
-    source, base = scratch_path(spark, "feature-table"), scratch_path(spark, "reference-table")
-    path = scratch_path(spark, "batch-checks")
-    ad.with_forecasts(production).repartitionByRange(3, WINDOW).write.parquet(source)
-    reference.write.parquet(base)
-    stored = spark.read.parquet(source)
-    rows = file_stream(spark, source, stored.schema, files_per_trigger=1)
-    check_stream(rows, spark.read.parquet(base), 0.5, path, scratch_path(spark, "stream-checkpoint"), "by_challenger")
+    base, path = scratch_path(spark, "reference-profile"), scratch_path(spark, "batch-checks")
+    write_profile(reference, base)
+    arriving = ad.with_forecasts(production)
+    rows = file_stream(spark, files_in_order(arriving, WINDOW, "feature-files"), arriving.schema, files_per_trigger=1)
+    check_stream(rows, base, 0.5, path, scratch_path(spark, "stream-checkpoint"), "by_challenger")
     return rounded(spark.read.parquet(path).select(
         "batch_id", "mae", "samples", "drifted_features", "valid_records", "should_retrain", "reason"))
 
 
-@query("t8_quarantine_stream", sql_over("features", body="""
-SELECT 'good' AS part, count(*) AS n FROM features HAVING count(*) > 0"""))
+@query("t8_quarantine_stream", sql_over("quality", extra=CHECKED, body="""
+SELECT CASE WHEN messages = '' THEN 'good' ELSE 'bad' END AS part, count(*) AS n,
+  CAST(sum(event_id) AS BIGINT) AS id_sum FROM checked GROUP BY 1"""))
 def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = scratch_path(spark, "feature-table")
-    ad.features(spark, sf_dir).write.parquet(source)
-    stored = spark.read.parquet(source)
+    arriving = ad.quality_rows(spark, sf_dir)
+    rows = file_stream(spark, files_in_order(arriving, WINDOW, "quality-files"), arriving.schema, files_per_trigger=1)
     good, bad = scratch_path(spark, "good-stream"), scratch_path(spark, "bad-stream")
-    quarantine_stream(file_stream(spark, source, stored.schema), good, bad, scratch_path(spark, "stream-checkpoint"))
-    parts = [spark.read.parquet(p).withColumn("part", F.lit(n)).select("part") for p, n in
-             ((good, "good"), (bad, "bad"))]
-    return parts[0].unionByName(parts[1]).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    quarantine_stream(rows, good, bad, scratch_path(spark, "stream-checkpoint"))
+    parts = [spark.read.parquet(p).select("event_id", F.lit(n).alias("part")) for p, n in ((good, "good"), (bad, "bad"))]
+    return parts[0].unionByName(parts[1]).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))
 
 
 @query("t9_distinct_stream", "SELECT event_id, ts, event_type, value FROM events")

@@ -172,6 +172,11 @@ def psi_table(ranked: DataFrame, groups: Sequence[str] = ("feature",), integers:
     # Values outside the edges stay as a row without a bin, so a reference without bins still has a row.
     filled = binned.groupBy(*groups, bin_number(F.col("value"), F.col("edges")).alias("bin")).agg(
         F.sum("ref_n").alias("ref_n"), F.sum("prod_n").alias("prod_n"))
+    return psi_of_bins(filled, groups, empty_bin)
+
+
+def psi_of_bins(filled: DataFrame, groups: Sequence[str], empty_bin: str = "inf") -> DataFrame:
+    """The index from counts per bin; a row without a bin stands for values outside the edges."""
     inside = F.col("bin").isNotNull()
     whole = W.partitionBy(*groups)
     r = safe_ratio(F.col("ref_n"), F.sum(F.when(inside, F.col("ref_n"))).over(whole))
@@ -194,13 +199,22 @@ def drift_table(counts: DataFrame, categorical: Sequence[str] = (ZONE,), integer
     """One row per feature: PSI for the categorical ones, KS for the others, and how the moments moved."""
     groups = list(groups)
     ranked = ranked_counts(counts, groups)
-    joined = ks_table(ranked, groups)
+    psi = None
     if categorical:
         chosen = ranked.filter(F.col("feature").isin(*categorical))
         psi = psi_table(chosen, groups, integers, empty_bin=empty_bin)
-        joined = joined.join(F.broadcast(psi), groups, "left")
+    return drift_rows(ks_table(ranked, groups), psi, categorical, groups, p_limit, psi_limit)
+
+
+def drift_rows(measured: DataFrame, psi: DataFrame | None, categorical: Sequence[str],
+               groups: Sequence[str] = ("feature",), p_limit: float = P_VALUE_LIMIT,
+               psi_limit: float = PSI_LIMIT) -> DataFrame:
+    """The drift table from the measures of ``ks_table`` and, for the categorical features, the index."""
+    groups = list(groups)
+    if psi is None:
+        joined = measured.withColumn("psi", F.lit(None).cast("double"))
     else:
-        joined = joined.withColumn("psi", F.lit(None).cast("double"))
+        joined = measured.join(F.broadcast(psi), groups, "left")
     by_psi = F.col("feature").isin(*categorical) if categorical else F.lit(False)
     return joined.select(
         *groups,

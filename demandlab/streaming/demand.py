@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandlab.functions.calendar import with_window_parts
+from demandlab.functions.calendar import seconds_between, with_window_parts
 from demandlab.operators.metrics import with_rates
 from demandlab.operators.models import score
 from demandlab.operators.observability import folded_quantile
@@ -33,13 +33,19 @@ def distinct_stream(rows: DataFrame, ts: str, keys: Sequence[str], delay: str =
     return once.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
 
 
-def running_score_stream(rows: DataFrame, actual: str, predicted: str, succeeded: Column) -> DataFrame:
-    """Totals since the start of the stream; use with complete output mode."""
+def running_score_stream(rows: DataFrame, actual: str, predicted: str, succeeded: Column,
+                         labels: Sequence[str] = (), ts: str | None = None) -> DataFrame:
+    """Totals since the start of the stream, per label, with requests per second where ``ts`` is given.
+
+    The state is one row per label. Without labels use complete output mode, with labels update mode.
+    """
     e = F.when(succeeded, F.col(actual).cast("double") - F.col(predicted).cast("double"))
-    totals = rows.groupBy().agg(
+    rate = [(F.count(F.lit(1)) / F.greatest(seconds_between(F.min(ts), F.max(ts)), F.lit(1.0)))
+            .alias("requests_per_second")] if ts else []
+    totals = rows.groupBy(*labels).agg(
         F.count(F.lit(1)).alias("total_requests"), F.count_if(succeeded).alias("successful"),
         F.count_if(~succeeded).alias("failed"), F.sum(F.abs(e)).alias("sum_abs_error"),
-        F.sum(e * e).alias("sum_sq_error"),
+        F.sum(e * e).alias("sum_sq_error"), *rate,
     )
     return with_rates(totals)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +92,65 @@ def snapshots_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
     each_batch(stream, write, checkpoint, "complete")
 
 
+def upserts_to_table(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], compact_every: int = 16) -> None:
+    """Keeps the newest row per key of a stream in update mode; ``newest_rows`` reads the table.
+
+    A micro-batch adds the rows it changed and no others. Every ``compact_every``-th one writes all newest rows
+    instead, after which what is older than the base before it is deleted. A repeated batch replaces its own
+    folder; a base is made of older folders only, and those stay until the next one, so a restart at any point
+    loses nothing.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id % compact_every != compact_every - 1:
+            batch.write.mode("overwrite").parquet(f"{path}/kind=change/batch_id={batch_id}")
+            return
+        stored = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if batch_id > 0:
+            stored = _stored(batch.sparkSession, path, batch.schema, batch_id).drop("kind").unionByName(stored)
+        base = _newest(stored, keys, batch.columns)
+        base.write.mode("overwrite").parquet(f"{path}/kind=base/batch_id={batch_id}")
+        _delete_older(batch.sparkSession, path, batch_id)
+
+    each_batch(stream, write, checkpoint, "update")
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """Rows of the newest base and of the changes after it, of batches before ``before`` only."""
+    places = [T.StructField("kind", T.StringType()), T.StructField("batch_id", T.LongType())]
+    rows = spark.read.schema(T.StructType([*schema.fields, *places])).parquet(path)
+    if before is not None:
+        rows = rows.filter(F.col("batch_id") < before)
+    newest_base = rows.filter("kind = 'base'").agg(F.coalesce(F.max("batch_id"), F.lit(-1))).scalar()
+    return rows.filter(F.col("batch_id") >= newest_base)
+
+
+def _newest(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    row = F.max_by(F.struct(*columns), "batch_id").alias("_row")
+    return rows.groupBy(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)]).agg(row).select("_row.*")
+
+
+def _delete_older(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Deletes the folders of batches older than the base before ``batch_id``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    # Two bases at most, and the changes since the older one.
+    found = []
+    for kind in ("base", "change"):
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/kind={kind}")
+        files = folder.getFileSystem(conf)
+        for entry in files.listStatus(folder) if files.exists(folder) else []:
+            found.append((kind, int(entry.getPath().getName().split("=")[1]), files, entry.getPath()))
+    previous = max((number for kind, number, _, _ in found if kind == "base" and number < batch_id), default=0)
+    for _, number, files, folder in found:
+        if number < previous:
+            files.delete(folder, True)
+
+
+def newest_rows(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """The table of ``upserts_to_table``: one row per key, as the last batch that changed it left it."""
+    return _newest(_stored(spark, path, schema), keys, schema.fieldNames())
+
+
 def newest_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     kept = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
     return kept.filter(F.col("batch_id") == kept.agg(F.max("batch_id").alias("b")).scalar()).drop("batch_id")

@@ -10,6 +10,7 @@ from demandlab.operators.ranking import settle
 from demandlab.operators.sampling import label_by_time
 from demandlab.schemas import COMPARISON_FEATURES, DEMAND, WINDOW, ZONE
 from demandlab.session import scratch_path
+from demandlab.operators.profile import write_profile
 from demandlab.streaming.checks import check_stream
 from demandlab.streaming.demand import score_stream
 from demandlab.streaming.io import append_to_table, file_stream
@@ -81,7 +82,8 @@ def test_one_check_per_batch(spark, parts):
     rows = adapters.with_forecasts(validation).withColumnRenamed("by_champion", "predicted")
     rows.repartition(2).write.parquet(source)
     stream = file_stream(spark, source, rows.schema, files_per_trigger=1)
-    check_stream(stream, training, 0.5, path, f"{path}-checkpoint", features=["hour", "lag_1"])
+    write_profile(training, f"{path}-profile", ["hour", "lag_1"])
+    check_stream(stream, f"{path}-profile", 0.5, path, f"{path}-checkpoint", features=["hour", "lag_1"])
     checks = spark.read.parquet(path).collect()
     assert len(checks) == 2 and sum(c["samples"] for c in checks) == validation.count()
     assert all(c["total_features"] == 2 and c["valid_records"] == c["samples"] for c in checks)

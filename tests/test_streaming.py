@@ -22,7 +22,8 @@ from demandlab.streaming.demand import (
 )
 from demandlab.streaming.features import feature_stream, moving_average_stream
 from demandlab.streaming.io import (
-    append_to_table, closable, close_stream, file_stream, newest_snapshot, open_for_closing, snapshots_to_table,
+    append_to_table, closable, close_stream, file_stream, newest_rows, newest_snapshot, open_for_closing,
+    snapshots_to_table, upserts_to_table,
 )
 
 START = datetime(2024, 1, 1)
@@ -162,6 +163,47 @@ def test_running_score_snapshots(spark, tmp_path):
     assert spark.read.parquet(path).select("batch_id").distinct().count() == 4
 
 
+@pytest.mark.parametrize("every", [1, 3, 50])
+def test_grouped_totals_over_files_a_restart_and_a_repeated_batch(spark, tmp_path, every):
+    parts = event_parts(5)
+    folder, path = write_files(tmp_path, parts[:3]), scratch_path(spark, "upsert-test")
+    ok = F.col("id") % 7 != 0
+
+    def run():
+        stream = file_stream(spark, folder, EVENT, files_per_trigger=1)
+        score = running_score_stream(stream, ZONE, "id", ok, [ZONE], "ts")
+        upserts_to_table(score, path, f"{path}-checkpoint", [ZONE], every)
+        found = newest_rows(spark, path, score.schema, [ZONE])
+        return {r[ZONE]: r.asDict() for r in found.collect()}, found.count()
+
+    def want():
+        rows = spark.read.schema(EVENT).parquet(folder)
+        zones = [r[0] for r in rows.select(ZONE).distinct().collect()]
+        return {z: {ZONE: z, **running_score(rows.filter(F.col(ZONE).eqNullSafe(F.lit(z))), ZONE, "id", ok, "ts")
+                    .first().asDict()} for z in zones}
+
+    def equal(got, expected):
+        assert got.keys() == expected.keys() and all(got[z] == pytest.approx(expected[z]) for z in got)
+
+    got, n = run()
+    assert n == len(got)
+    equal(got, want())
+    # The checkpoint forgets the last batch, so it is run again over its own output.
+    for name in ("2", ".2.crc"):
+        commit = f"{path}-checkpoint/commits/{name}"
+        if os.path.exists(commit):
+            os.unlink(commit)
+    equal(run()[0], want())
+    for i, pdf in enumerate(parts[3:], 3):
+        file = tmp_path / "part" / f"{i:03d}.parquet"
+        pdf.to_parquet(file, index=False, coerce_timestamps="us")
+        os.utime(file, (1_700_000_000 + i, 1_700_000_000 + i))
+    equal(run()[0], want())
+    kinds = [k for k in ("base", "change") if os.path.exists(f"{path}/kind={k}")]
+    folders = {k: sorted(f for f in os.listdir(f"{path}/kind={k}")) for k in kinds}
+    assert len(folders.get("base", [])) <= 2 and len(folders.get("change", [])) <= 2 * every
+
+
 def test_a_later_run_adds_to_the_table_and_to_the_quarantine(spark):
     from demandlab.schemas import FEATURES
     from demandlab.streaming.checks import quarantine_stream
