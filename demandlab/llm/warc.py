@@ -4,8 +4,9 @@ Records are written as gzip members of ``.warc.gz`` files in the shared folder.
 The index has two levels: capture lines sorted by reversed-host URL key and packed
 into compressed blocks, and a sparse directory with the first key of each block.
 A lookup binary-searches the directory, range-reads one block, binary-searches
-that, and range-reads the records; reading everything back walks the same
-directory and blocks, so no archive is ever listed or read as a whole.
+that, and range-reads the records. The round trip looks up the URLs of its own pages;
+``read_index`` walks directory and blocks instead. No archive is ever listed or read as a whole.
+Keys are escaped before they are sorted, so the order of the index is that of the keys in it.
 
 Archive and index files are written by tasks under names of their own and become
 part of the result only through a table that Spark commits: a task that is run
@@ -38,6 +39,7 @@ from demandlab.session import scratch_path
 
 ARCHIVE_BYTES = 64 << 20
 BLOCK_LINES = 1000
+LOOKUP_ROWS = 10_000
 READ_BYTES = 4 << 20
 TASK_BYTES = 32 << 20
 WARC_DATE = "2024-01-01T00:00:00Z"
@@ -118,7 +120,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                 packed = _pack(_record(page_id, url, html.encode(), digest, first))
                 out.write(packed)
                 kind = "revisit" if first is not None and first != page_id else "response"
-                for k, v in zip(made, (url_key(url), page_id, name, at, len(packed), digest, kind), strict=True):
+                for k, v in zip(made, (_escape(url_key(url)), page_id, name, at, len(packed), digest, kind), strict=True):
                     made[k].append(v)
                 at += len(packed)
                 if at >= ARCHIVE_BYTES:
@@ -136,6 +138,7 @@ MANIFEST_ARROW = pa.schema([("key", pa.string()), ("page_id", pa.int64()), ("arc
                             ("kind", pa.string())])
 SHARDS_ARROW = pa.schema([("first_key", pa.string()), ("last_key", pa.string()), ("blocks", pa.string()),
                           ("directory", pa.string()), ("n_blocks", pa.int64()), ("n_rows", pa.int64())])
+ASKED_ARROW = pa.schema([(n, pa.string()) for n in ("key", "blocks", "directory")])
 RECORDS_ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
                            ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                            ("refers_to", pa.int64()), ("payload", pa.string())])
@@ -176,7 +179,6 @@ def build_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
                     files, base = _open(folder)
                     name = f"shard-{uuid.uuid4().hex}"
                     blocks = files.open_output_stream(f"{base}/{name}.idx.gz", compression=None)
-                key = _escape(key)
                 first, last, rows = first if rows else key, key, rows + 1
                 lines.append(f"{key}\t{'' if page_id is None else page_id}\t{archive}\t{offset}\t{length}\t{digest}\t{kind}")
                 if len(lines) >= block_lines:
@@ -228,36 +230,71 @@ def read_index(shards: DataFrame, folder: str) -> DataFrame:
     return blocks.mapInArrow(read, MANIFEST)
 
 
+class _Shard:
+    """One index shard: its directory is binary-searched, then a block, of which the last one stays unpacked."""
+
+    def __init__(self, files, base: str, blocks: str, directory: str):
+        self.data = files.open_input_file(f"{base}/{blocks}")
+        self.directory = _directory(files, f"{base}/{directory}")
+        self.firsts = [first.encode() for first, _, _ in self.directory]
+        self.held: tuple[int, list, list] = (-1, [], [])
+
+    def block(self, at: int) -> tuple[list, list]:
+        if self.held[0] != at:
+            lines = _block(self.data, *self.directory[at][1:])
+            self.held = at, lines, [line[0].encode() for line in lines]
+        return self.held[1:]
+
+    def find(self, key: bytes) -> Iterator[list]:
+        """The capture lines of a key, which may go on over many blocks."""
+        at = max(0, bisect.bisect_left(self.firsts, key) - 1)
+        while at < len(self.firsts) and self.firsts[at] <= key:
+            lines, keys = self.block(at)
+            yield from lines[bisect.bisect_left(keys, key):bisect.bisect_right(keys, key)]
+            at += 1
+
+
 def lookup(urls: DataFrame, shards: DataFrame, folder: str) -> DataFrame:
-    """Captures of the given ``url`` values.
+    """Captures of the given ``url`` values, each capture once however often its URL or another of its key is asked for.
 
-    A lookup meets the shards whose bounds hold its key (one row per index shard);
-    within a shard the directory and then one or a few blocks are binary-searched.
+    A key is binary-searched among the shards' bounds, then in the directory of each shard that can hold it and in
+    the blocks there. Keys meet a shard in order, so a block is read once. Equal URLs are merged before they move.
     """
-    keys = urls.select(F.udf(url_key)("url").alias("key")).select(F.udf(_escape)("key").alias("key")).distinct()
-    asked = keys.join(shards.select("first_key", "last_key", "blocks", "directory"),
-                      (F.col("key") >= F.col("first_key")) & (F.col("key") <= F.col("last_key")))
+    # One row per index shard: as many at most as build_index had shuffle partitions.
+    bounds = sorted((r.first_key.encode(), r.last_key.encode(), r.blocks, r.directory) for r in shards.select(
+        "first_key", "last_key", "blocks", "directory").collect())
+    lasts = [last for _, last, _, _ in bounds]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked = []
+            for key in {_escape(url_key(url)) for url in batch.column(0).to_pylist()}:
+                name = key.encode()
+                at = bisect.bisect_left(lasts, name)
+                while at < len(bounds) and bounds[at][0] <= name:
+                    asked.append({"key": key, "blocks": bounds[at][2], "directory": bounds[at][3]})
+                    at += 1
+            yield pa.RecordBatch.from_pylist(asked, schema=ASKED_ARROW)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = storage.FileSystem.from_uri(folder)
-        held: tuple[str, list] = ("", [])
+        shard, name, before, found = None, "", None, []
         for batch in batches:
-            for key, name, directory in zip(*(batch.column(c).to_pylist() for c in ("key", "blocks", "directory")),
-                                            strict=True):
-                if held[0] != directory:
-                    held = directory, _directory(files, f"{base}/{directory}")
-                firsts = [x[0].encode() for x in held[1]]
-                at = max(0, bisect.bisect_left(firsts, key.encode()) - 1)
-                with files.open_input_file(f"{base}/{name}") as data:
-                    while at < len(firsts) and firsts[at] <= key.encode():
-                        lines = _block(data, *held[1][at][1:])
-                        sorted_keys = [line[0].encode() for line in lines]
-                        found = lines[bisect.bisect_left(sorted_keys, key.encode()):
-                                      bisect.bisect_right(sorted_keys, key.encode())]
-                        if found:
-                            yield _capture_rows(found)
-                        at += 1
-
+            for key, blocks, directory in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if blocks != name:
+                    shard, name, before = _Shard(files, base, blocks, directory), blocks, None
+                if key == before:
+                    continue
+                before = key
+                for line in shard.find(key.encode()):
+                    found.append(line)
+                    if len(found) >= LOOKUP_ROWS:
+                        yield _capture_rows(found)
+                        found = []
+        if found:
+            yield _capture_rows(found)
+
+    asked = urls.select(F.col("url").cast("string")).distinct().mapInArrow(place, "key string, blocks string, directory string")
     return asked.repartition("blocks").sortWithinPartitions("blocks", "key").mapInArrow(read, MANIFEST)
 
 
@@ -320,12 +357,13 @@ def resolve(records: DataFrame) -> DataFrame:
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
-    """Writes, indexes and reads back ``pages``; a row per record."""
+    """Writes and indexes ``pages``, looks their URLs up and reads the records found; a row per record."""
     spark = pages.sparkSession
     folder = scratch_path(spark, "warc")
     captures = write_archives(pages, f"{folder}/archives")
     shards = build_index(captures, f"{folder}/index")
-    read = read_records(read_index(shards, f"{folder}/index"), f"{folder}/archives").drop("payload")
+    found = lookup(pages.select("url"), shards, f"{folder}/index")
+    read = read_records(settle(found, "warc-found"), f"{folder}/archives").drop("payload")
     return resolve(settle(read, "warc-records"))
 
 

@@ -4,6 +4,7 @@ import base64
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from demandlab.llm import warc
 from demandlab.session import scratch_path
@@ -56,6 +57,26 @@ def test_lookup_reads_the_records_of_a_url(spark):
     assert all(r.payload in (f"page {r.page_id}", f"capture {r.page_id - 1000}") for r in records)
 
 
+def test_lookup_of_all_urls_equals_the_walk(spark):
+    odd = ["http://a.example/x\ty", "http://a.example/x!y", "http://a.example/x%y", "http://a.example/X!y", None, "", "not a url",
+           "http://b\u00e9.example/\u4e2d", "http://www.a.example/x!y"]
+    rows = [(i, odd[i % len(odd)], f"page {i}", "s") for i in range(200)] + [
+        (1000 + i, "http://hot.example/", f"capture {i}", "s") for i in range(500)]
+    folder, pages = scratch_path(spark, "warc-test"), spark.createDataFrame(rows, PAGES)
+    captures = warc.write_archives(pages, f"{folder}/a")
+    # Small shards are kept apart, so that the hot key fills several.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = warc.build_index(captures, f"{folder}/i", block_lines=8)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    hot = warc.url_key("http://hot.example/")
+    assert shards.where((F.col("first_key") <= hot) & (F.col("last_key") >= hot)).count() > 1
+    walked = sorted(map(tuple, warc.read_index(shards, f"{folder}/i").collect()))
+    found = sorted(map(tuple, warc.lookup(pages.select("url"), shards, f"{folder}/i").collect()))
+    assert len(found) == 700 and found == walked
+
+
 def test_damage_is_noticed():
     record = warc._record(1, "http://a.example/", b"payload", "A" * 32, 1)
     with pytest.raises(ValueError, match="damaged"):
