@@ -1,6 +1,8 @@
 """Licence scan with a trained paragraph classifier, on DataFrame and MLlib operations only.
 
-A paragraph is a line of text; its features are the one and two word runs of a
+A paragraph is a line of text and the lines it is wrapped to: a line of over 50 characters that
+does not end a sentence goes on in the next one if that begins in lower case, with a digit, a quote or a
+bracket, comment marks left out. Its features are the one and two word runs of a
 vocabulary that it has, however often. The classifier is MLlib's multinomial logistic regression over licence
 families and ``none``. It is trained on the templates below, filled with versions and
 years and cut to shorter forms, and on a bounded sample of the corpus's own paragraphs
@@ -11,13 +13,15 @@ ones down. A paragraph without any of them is ``none`` whatever its length.
 
 A prediction counts as a family if its probability reaches a threshold calibrated on
 training forms held back, and if a template of that family confirms it: enough of
-the template's word pairs occur in the paragraph, or of the paragraph's in the template.
+the template's word pairs occur in the paragraph, or of the paragraph's in the template,
+and the paragraph has the family's name or a word pair of its templates that no other family's have.
 A paragraph that has licence vocabulary but does not pass both is ``unknown`` if the
-classifier prefers some family to ``none``.
+classifier holds the families together for likelier than ``none``.
 
 Defined cases: null and empty texts have no paragraphs; repeated paragraphs count as
 often as they occur; rows are kept by a row key made of doc_id and text, equal rows share
-their result; an empty table gives no rows.
+their result; an empty table gives no rows. Columns beside doc_id and text are left out, whatever
+they are called.
 """
 
 from __future__ import annotations
@@ -38,7 +42,11 @@ CONFIRM = 0.5
 KEPT_SHARE = 0.98
 # Short licence notices by family; {v} is a version, {y} a year.
 TEMPLATES = {
-    "apache": ["Licensed under the Apache License, Version {v}.",
+    "agpl": ["This program is licensed under the GNU Affero General Public License, version {v}.",
+             "Released under the GNU Affero General Public License, version {v}.",
+             "SPDX-License-Identifier: AGPL-{v}-or-later", "Licensed under the AGPL version {v}.",
+             "GNU Affero General Public License", "License: AGPL-{v}"],
+    "apache": ["Released under the Apache License, Version {v}.", "Licensed under the Apache License, Version {v}.",
                "Licensed under the Apache License, Version {v} (the \"License\"); you may not use this file except in "
                "compliance with the License.",
                "SPDX-License-Identifier: Apache-{v}",
@@ -47,35 +55,50 @@ TEMPLATES = {
             "that the following conditions are met:",
             "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
             "Licensed under the BSD {v}-Clause License.", "SPDX-License-Identifier: BSD-{v}-Clause",
-            "BSD License", "License: BSD-{v}-Clause"],
+            "Released under the BSD License.", "BSD License", "License: BSD-{v}-Clause"],
     "cc": ["Licensed under CC BY-NC {v}.", "Licensed under CC BY-SA {v}.", "Licensed under CC BY {v}.",
            "This work is licensed under a Creative Commons Attribution {v} International License.",
            "To the extent possible under law, the author has waived all copyright under CC0 {v}.",
            "Creative Commons License", "License: CC BY {v}"],
-    "gpl": ["This work is licensed under the GNU General Public License, version {v}.",
+    "epl": ["This program and the accompanying materials are made available under the terms of the Eclipse Public "
+            "License v{v}.", "Released under the Eclipse Public License, version {v}.",
+            "Licensed under the Eclipse Public License v{v}.", "SPDX-License-Identifier: EPL-{v}",
+            "Eclipse Public License", "License: EPL-{v}"],
+    "gpl": ["Released under the GNU General Public License, version {v}.", "This work is licensed under the GNU General Public License, version {v}.",
             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
             "Public License as published by the Free Software Foundation, either version {v} of the License, or any "
             "later version.", "Licensed under the GPL version {v}.",
             "SPDX-License-Identifier: GPL-{v}-or-later",
             "GNU General Public License", "License: GPL-{v}"],
-    "lgpl": ["This library is licensed under the GNU Lesser General Public License, version {v}.",
+    "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+            "Released under the ISC License.", "Licensed under the ISC License.", "SPDX-License-Identifier: ISC",
+            "ISC License", "License: ISC"],
+    "lgpl": ["Released under the GNU Lesser General Public License, version {v}.", "This library is licensed under the GNU Lesser General Public License, version {v}.",
              "SPDX-License-Identifier: LGPL-{v}-or-later",
              "GNU Lesser General Public License", "License: LGPL-{v}"],
     "mit": ["Released under the MIT License.", "Licensed under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files, to deal in the Software without restriction.",
             "SPDX-License-Identifier: MIT",
-            "MIT License", "License: MIT"],
+            "The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+            "the Software.", "MIT License", "License: MIT"],
     "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. {v}.",
             "SPDX-License-Identifier: MPL-{v}",
-            "Mozilla Public License", "License: MPL-{v}"],
+            "Released under the Mozilla Public License, version {v}.", "Mozilla Public License", "License: MPL-{v}"],
+    "unlicense": ["This is free and unencumbered software released into the public domain.",
+                  "Released under the Unlicense.", "SPDX-License-Identifier: Unlicense", "The Unlicense",
+                  "License: Unlicense"],
 }
 VERSIONS, YEARS = ("1.0", "1.1", "2", "2.0", "2.1", "3", "3.0", "4.0"), ("1999", "2015", "2024")
 FAMILIES = [NONE, *sorted(TEMPLATES)]
 # Runs that name a family. A lone "mit" or "apache" does not: both are words of ordinary text too.
-NAMING = ["apache 0", "apache license", "bsd", "cc by", "cc0", "creative commons", "general public", "gnu", "gpl",
-          "identifier apache", "identifier mit", "lgpl", "license apache", "license mit", "mit license", "mozilla public",
-          "mpl", "public license", "spdx license"]
+NAMING = ["affero general", "agpl", "apache 0", "apache license", "bsd", "cc by", "cc0", "creative commons", "eclipse public",
+          "general public", "gnu", "gpl", "identifier apache", "identifier isc", "identifier mit", "isc license", "lgpl",
+          "license apache", "license isc", "license mit", "mit license", "mozilla public", "mpl", "public license",
+          "spdx license", "unlicense"]
+# The end of a line that goes on in the next one; it starts at the line break, so that only breaks are looked at.
+WRAPPED = r"\n(?<=[^\n]{50}[^.:;!?\s][ \t]{0,2}\r?\n)[ \t]*(?:(?:#+|//+|[*]+|;+|--+|%+)[ \t]*)?(?=[a-z0-9(\"'])"
 
 
 def words_of(text: Column) -> Column:
@@ -112,16 +135,27 @@ def _forms(spark: SparkSession) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, *keep: str) -> DataFrame:
-    """A row per non-blank line, with its number."""
-    return docs.select(*keep, F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n")).alias(
-        "line", "text")).where(F.trim("text") != "")
+    """A row per paragraph that is not blank, with its number."""
+    text = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), WRAPPED, " ")
+    return docs.select(*keep, F.posexplode(F.split(text, "\n")).alias("line", "text")).where(F.trim("text") != "")
 
 
 class Scanner:
-    """The trained parts: vocabulary, classifier, threshold."""
+    """The trained parts: vocabulary, classifier, threshold, and the runs that tell a family from the others."""
 
-    def __init__(self, vocabulary: list[str], model: PipelineModel, threshold: float):
-        self.vocabulary, self.model, self.threshold = vocabulary, model, threshold
+    def __init__(self, vocabulary: list[str], model: PipelineModel, threshold: float, own: dict[str, list[str]]):
+        self.vocabulary, self.model, self.threshold, self.own = vocabulary, model, threshold, own
+
+
+def _own_runs(spark: SparkSession) -> dict[str, list[str]]:
+    """Per family its name and the word pairs that its templates alone have."""
+    texts = spark.createDataFrame([(f, t.replace("{v}", "1")) for f, every in TEMPLATES.items() for t in every],
+                                  "family string, text string")
+    families: dict[str, set[str]] = {}
+    for row in texts.select("family", F.explode(runs_of(words_of(F.col("text")))).alias("run")).distinct().collect():
+        families.setdefault(row.run, set()).add(row.family)
+    return {f: sorted({f, *(run for run, having in families.items() if having == {f} and " " in run
+                            and not set(run.split(" ")) <= _FREQUENT)}) for f in TEMPLATES}
 
 
 def _probability(rows: DataFrame) -> DataFrame:
@@ -156,7 +190,16 @@ def train(docs: DataFrame) -> Scanner:
     model = PipelineModel(fitted.stages[1:])
     held = _probability(model.transform(rows.where(back)))
     threshold = held.where("family = family_found").agg(F.percentile("p", F.lit(1 - KEPT_SHARE))).first()[0]
-    return Scanner(vocabulary, model, float(min(threshold if threshold is not None else 0.5, 0.9)))
+    return Scanner(vocabulary, model, float(min(threshold if threshold is not None else 0.5, 0.9)),
+                   _own_runs(spark))
+
+
+def _named(family: Column, runs: Column, own: dict[str, list[str]]) -> Column:
+    """Whether the paragraph has a run that tells the family from the others."""
+    named = F.lit(False)
+    for name, telling in own.items():
+        named = F.when(family == name, F.arrays_overlap(runs, F.lit(telling))).otherwise(named)
+    return named
 
 
 def _confirmed(family: Column, runs: Column) -> Column:
@@ -175,11 +218,12 @@ def _confirmed(family: Column, runs: Column) -> Column:
 
 
 def classify(lines: DataFrame, scanner: Scanner) -> DataFrame:
-    """Lines with licence vocabulary: ``family`` (or unknown), p, confirmed. Lines that are ``none`` are left out."""
+    """Paragraphs with licence vocabulary: ``family`` (or unknown), p, confirmed. Lines that are ``none`` are left out."""
     seen = lines.withColumn("runs", runs_of(words_of(F.col("text"))))
     seen = seen.where(F.arrays_overlap("runs", F.lit(scanner.vocabulary)))
-    found = _probability(scanner.model.transform(seen)).where("p > p_none").withColumn(
-        "confirmed", _confirmed(F.col("family_found"), F.col("runs")) >= CONFIRM)
+    found = _probability(scanner.model.transform(seen)).where("p_none < 0.5").withColumn(
+        "confirmed", _named(F.col("family_found"), F.col("runs"), scanner.own)
+        & (_confirmed(F.col("family_found"), F.col("runs")) >= CONFIRM))
     sure = (F.col("p") >= scanner.threshold) & F.col("confirmed")
     return found.withColumn("family", F.when(sure, F.col("family_found")).otherwise(UNKNOWN)).drop(
         "runs", "features", "rawPrediction", "probability", "prediction")

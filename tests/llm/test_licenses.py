@@ -25,6 +25,31 @@ def test_families(make_docs, scanner):
     assert rows[3].n_licensed == 2 and rows[7].n_unknown == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+
+
+def test_wrapped_notices_and_other_families(make_docs, scanner):
+    texts = {MIT: ["mit"], "\n".join("# " + line for line in MIT.split("\n")): ["mit"],
+             "Plain first line.\n" + MIT + "\nPlain last line.": ["mit"],
+             "Released under the ISC License.": ["isc"], "Licensed under the Eclipse Public License v2.0.": ["epl"],
+             "This program is licensed under the GNU Affero General Public License, version 3.": ["agpl"],
+             "This is free and unencumbered software released into the public domain.": ["unlicense"],
+             "Released under the GNU General Public License, version 2.": ["gpl"]}
+    rows = licenses.scan(make_docs(list(texts)), scanner).orderBy("doc_id").collect()
+    assert [r.families for r in rows] == list(texts.values())
+
+
+def test_licences_that_were_not_learned_are_unknown(make_docs, scanner):
+    texts = ["Licensed under the Boost Software License, Version 1.0.", "Released under the Zope Public License, version 2.1."]
+    for r in licenses.scan(make_docs(texts), scanner).collect():
+        assert (r.n_licensed, r.n_unknown, r.families) == (0, 1, [])
+
+
 def test_repeated_and_null_ids(make_docs, scanner):
     text = "Released under the MIT License."
     rows = licenses.scan(make_docs([(1, text), (1, text), (None, text), (1, "plain")]), scanner).collect()
