@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,9 +15,13 @@ def join_reasons(*conditional: Column, separator: str = " | ", default: str | No
 
 
 def texts_if(conditions: list[tuple[Column, Column]]) -> Column:
-    """Array of the texts whose condition holds, in order."""
-    candidates = F.array(*[F.when(cond, text) for cond, text in conditions])
-    return F.filter(candidates, lambda t: t.isNotNull())
+    """Array of the texts whose condition holds, in order; a text that is null is left out.
+
+    Arrays of one text or none are joined: a filter with a lambda would leave Spark's compiled code, with
+    every expression below it.
+    """
+    none, null = F.array().cast("array<string>"), F.array(F.lit(None).cast("string"))
+    return F.concat(none, *[F.when(cond, F.array_except(F.array(text), null)).otherwise(none) for cond, text in conditions])
 
 
 def nested_or(path: str, default) -> Column:
@@ -30,17 +36,16 @@ def two_decimals(x: Column) -> Column:
     """A non-negative double with two decimals, rounded on its exact binary value.
 
     ``format_string`` rounds the shortest decimal text instead, so 5.255, which is
-    stored slightly below that, would become 5.26. Scaling by a power of two turns
-    the double into an integer without loss; the rest is integer arithmetic.
+    stored slightly below that, would become 5.26. What is after the point, scaled by a
+    power of two, is an integer without loss, and a hundred times that fits a long.
     """
-    scale = (F.when(x < 8, F.lit(2**60)).when(x < 2**12, F.lit(2**50)).when(x < 2**22, F.lit(2**40))
-             .when(x < 2**32, F.lit(2**30)).otherwise(F.lit(2**20)))
-    unit = scale.cast("decimal(20,0)")
-    hundredfold = (x * scale).try_cast("bigint").cast("decimal(20,0)") * 100
-    rest = F.pmod(hundredfold, unit)
-    whole = ((hundredfold - rest) / unit).cast("bigint")
-    up = (rest * 2 > unit) | ((rest * 2 == unit) & (whole % 2 == 1))
-    hundredths = whole + up.cast("bigint")
-    exact = F.concat(F.floor(hundredths / 100).cast("string"), F.lit("."),
-                     F.lpad((hundredths % 100).cast("string"), 2, "0"))
+
+    def hundredths(bits: int) -> Column:
+        scaled = ((x - F.floor(x)) * float(2**bits)).cast("bigint") * 100
+        to_even = F.shiftright(scaled, bits).bitwiseAND(1)
+        return F.floor(x) * 100 + F.shiftright(scaled + (2 ** (bits - 1) - 1) + to_even, bits)
+
+    # Doubles from 1/16 on are multiples of 2**-56; below it 60 bits are as many as a long takes.
+    found = F.when(x < 0.0625, hundredths(60)).otherwise(hundredths(56))
+    exact = (found.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("string")
     return F.when(x < 2**42, exact).otherwise(F.format_string("%.2f", x))

@@ -4,7 +4,7 @@ import pytest
 
 from demandlab.operators.quality import (
     consistency_check, quality_profile, split_valid, valid_rows, validated_requests, validation_summary,
-    with_rule_errors,
+    with_rule_errors, write_split,
 )
 
 COLUMNS = ("PULocationID int, hour int, day_of_week int, month int, lag_1 double, lag_4 double, lag_96 double, "
@@ -91,3 +91,23 @@ def test_profile_counts_outliers_and_missing(spark):
     row = {r["feature"]: r for r in quality_profile(df).collect()}["lag_1"]
     assert (row["missing_count"], row["outlier_count"], row["median"], row["data_type"]) == (1, 1, 3.0, "double")
     assert row["outlier_pct"] == pytest.approx(100 / 6)
+
+
+def test_split_makes_every_row_once_and_keeps_all(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    source = rows(spark, {}, {"month": 13}, {"lag_96": None}, {"lag_1": 67.55}, {})
+    write_split(source.mapInArrow(seen, source.schema), f"{tmp_path}/good", f"{tmp_path}/bad")
+    assert made.value == 5
+    assert spark.read.parquet(f"{tmp_path}/good").columns == source.columns
+    assert spark.read.parquet(f"{tmp_path}/good").count() == 2
+    bad = spark.read.parquet(f"{tmp_path}/bad")
+    assert sorted(r["errors"] for r in bad.collect()) == [
+        ["lag_1: Statistical anomaly detected (z-score: 5.25)"], ["lag_96: Value is None or NaN"],
+        ["month: Value 13.0 out of range [1, 12]"]]
+    assert "lambda" not in with_rule_errors(source)._jdf.queryExecution().toString()
