@@ -49,17 +49,25 @@ def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files_in_order(rows: DataFrame, ts: str, label: str, parts: int = 3) -> str:
-    """``rows`` as files that arrive in the order of their times: ``parts`` spans of equal length."""
+    """``rows`` as files that arrive in the order of their times: ``parts`` spans of equal length, a file each.
+
+    The rows are made once, by all tasks; small row groups let a stream read a file by many tasks.
+    """
     path = scratch_path(rows.sparkSession, label)
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    span = rows.agg(F.min(at).alias("low"), F.max(at).alias("high")).first()
-    if span["low"] is None:
-        rows.write.parquet(path)
-        return path
-    width = (span["high"] - span["low"]) // parts + 1
-    for k in range(parts):
-        begin = span["low"] + k * width
-        rows.filter((at >= begin) & (at < begin + width)).coalesce(1).write.mode("append").parquet(path)
+    made = rows.persist()
+    try:
+        span = made.agg(F.min(at).alias("low"), F.max(at).alias("high")).first()
+        if span["low"] is None:
+            made.write.parquet(path)
+            return path
+        width = (span["high"] - span["low"]) // parts + 1
+        for k in range(parts):
+            begin = span["low"] + k * width
+            made.filter((at >= begin) & (at < begin + width)).repartition(1).write.mode("append").option(
+                "parquet.block.size", 16 << 20).parquet(path)
+    finally:
+        made.unpersist()
     return path
 
 
