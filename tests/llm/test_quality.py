@@ -39,3 +39,21 @@ def test_ranking_prefers_the_better_rows():
     model = quality.rank(x, label, np.arange(400) % 5 == 0)
     score = model.score(x)
     assert ((score >= 0.5) == label).mean() > 0.85 and abs(model.weights[1]) > 3 * abs(model.weights[[0, 2]]).max()
+
+
+def test_every_labelled_row_is_learned(spark, make_docs):
+    """The fit is that of all rows, of whole pairs, and its cut follows the share of worse rows among all of them."""
+    rng = np.random.default_rng(3)
+    words = ["good", "Fine", "plain!", "| x", "12"]
+    texts = [" ".join(rng.choice(words, size=rng.integers(1, 12))) for _ in range(300)]
+    quality_of = [int(t.count("good") + rng.normal() > 2) for t in texts]
+    labels = spark.createDataFrame(list(enumerate(quality_of)), "doc_id long, quality int")
+    model = quality.learn(make_docs(texts).repartition(7), labels)
+    found, label = quality.measures(pa.array(texts)), np.array(quality_of)
+    assert np.allclose(model.mean, found.mean(axis=0)) and np.allclose(model.scale, found.std(axis=0) + 1e-6)
+    x = (found - model.mean) / model.scale
+    scores = x @ model.weights
+    assert np.isclose(model.threshold, np.quantile(scores, (label == 0).mean()))
+    gap = (x[label == 1][:, None, :] - x[label == 0][None, :, :]).reshape(-1, x.shape[1])
+    slope = gap.T @ (1 / (1 + np.exp(gap @ model.weights))) / len(gap) - quality.RIDGE * model.weights
+    assert np.abs(slope).max() < 2e-4
