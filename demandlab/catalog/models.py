@@ -14,6 +14,7 @@ from demandlab.catalog.drift import DRIFT_STEPS, SUMMARY_SQL, ZONE_EDGES
 from demandlab.catalog.joins import COMPARE_SQL
 from demandlab.catalog.registry import query, rounded
 from demandlab.catalog.scans import REGISTRY_SQL, stored_registry
+from demandlab.operators.features import build_features
 from demandlab.operators.geo import with_zone
 from demandlab.operators.lifecycle import (
     append_deployment, append_version, claim_version, current_version, model_history, next_version, registry_row,
@@ -24,12 +25,13 @@ from demandlab.operators.models import (
     boosted_trees, compare_learners, feature_vectors, learning_curve, linear_model, load_model, random_forest,
     save_model, score, train,
 )
+from demandlab.operators.ranking import settle
 from demandlab.operators.sampling import head, label_by_month, label_by_position, label_by_time
 from demandlab.plans.backtest import backtest_summary, week_ends, weekly_checks, weekly_retraining
 from demandlab.plans.continual import CheckSettings, run_check
 from demandlab.plans.drift_check import range_rows, window_index
 from demandlab.plans.training import retrain
-from demandlab.schemas import COMPARISON_FEATURES, DEMAND, FEATURES, WINDOW, ZONE
+from demandlab.schemas import COMPARISON_FEATURES, DEMAND, FEATURES, LAGS, WINDOW, ZONE
 from demandlab.session import scratch_path
 from demandlab.sources.reports import read_registry
 
@@ -67,15 +69,20 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built.select(WINDOW, ZONE, DEMAND, F.size(vector_to_array("features")).alias("width"))
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Rows of one training file: features are made by zone, and a learner has as many tasks as there are files.
+FILE_ROWS = 100_000
+
+
+def _stored(spark: SparkSession, sf_dir: str, demand: DataFrame | None = None) -> DataFrame:
     """Feature rows, written once: a learner reads them many times."""
     path = scratch_path(spark, "training-rows")
-    ad.features(spark, sf_dir).write.parquet(path)
+    rows = ad.features(spark, sf_dir) if demand is None else build_features(demand, LAGS)
+    rows.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     return spark.read.parquet(path)
 
 
-def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    parts = label_by_time(_stored(spark, sf_dir))
+def _split(spark: SparkSession, sf_dir: str, demand: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    parts = label_by_time(_stored(spark, sf_dir, demand))
     return parts.filter(F.col("part") == "train"), parts.filter(F.col("part") == "validation")
 
 
@@ -189,11 +196,12 @@ def deployment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("m12_continual_check")
 def continual_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    demand = ad.demand(spark, sf_dir)
+    # Every step of the check reads the demand; the events behind it are counted once.
+    demand = settle(ad.demand(spark, sf_dir), "continual-demand")
     base = scratch_path(spark, "continual")
     settings = CheckSettings(f"{base}/champion", f"{base}/registry", f"{base}/deployments", f"{base}/models",
                              baseline_mae=0.5, mae_limit=0.5, days_back=3, reference_days=7, training_days=7)
-    champion = train(_split(spark, sf_dir)[0])
+    champion = train(_split(spark, sf_dir, demand)[0])
     save_model(champion, settings.model_path)
     report = run_check(spark, demand, "2024-01-30 23:45:00", "2024-01-26", "2024-02-01T00:00:00", settings,
                        boosted_trees())
