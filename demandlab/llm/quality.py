@@ -8,8 +8,9 @@ over all those pairs. The threshold is the quantile of the scores at the share o
 rows; a fitted scale turns the distance to the threshold into a score between 0 and 1,
 with 0.5 at the threshold.
 
-All labelled rows are learned. Tasks measure their whole texts once; after that each step
-of the fit is a sum over the stored measures, made by tasks, of a size that does not
+All labelled rows are learned. Tasks measure the whole texts where they read them, before
+labels are joined, so that a few numbers a text are shuffled and no text is; after that each
+step of the fit is a sum over the stored measures, made by tasks, of a size that does not
 depend on the rows. The pairs are not made one by one: the loss has only the difference of
 two scores in it, so rows are counted by score in steps of ``BIN`` (each step stands at the
 mean of its scores), and pairs of steps are weighted by the product of their counts.
@@ -29,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from demandlab.llm.common import BLANKS, crc_remainder, mix, settle, steps, table, text_bytes, word_hashes
 from demandlab.operators.ranking import exact_quantiles, value_counts
@@ -48,8 +49,8 @@ for _i, _bytes in enumerate(KINDS.values()):
 N_KINDS = len(KINDS) + 1
 
 
-def measures(column: pa.Array) -> np.ndarray:
-    """A row of measures per text."""
+def base_measures(column: pa.Array) -> np.ndarray:
+    """A row of measures per text, without their roots."""
     raw, offsets = text_bytes(column)
     rows = len(column)
     sizes = np.diff(offsets)
@@ -78,10 +79,18 @@ def measures(column: pa.Array) -> np.ndarray:
         kinds[:, 0] / letters, distinct(words, of) / n, distinct(pairs, pair_of) / n_pairs, same / n_pairs,
         (sizes - kinds[:, 3] - kinds[:, 4]) / n / 10, np.log1p(count) / 10, kinds[:, 4] / n, kinds[:, 5] / n,
         (count == 0).astype(float), (kinds[:, 6] + kinds[:, 7] + kinds[:, 8]) / n], axis=1)
-    base = np.concatenate([share, more], axis=1)
+    return np.concatenate([share, more], axis=1)
+
+
+def with_roots(base: np.ndarray) -> np.ndarray:
     return np.concatenate([base, np.sqrt(base)], axis=1)
 
 
+def measures(column: pa.Array) -> np.ndarray:
+    """A row of measures per text."""
+    return with_roots(base_measures(column))
+
+
 @dataclass
 class Ranking:
     mean: np.ndarray
@@ -187,7 +196,7 @@ def rank(found: np.ndarray, label: np.ndarray, back: np.ndarray) -> Ranking:
 
 
 def _measured(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    return (batch.column("measures").flatten().to_numpy().reshape(batch.num_rows, -1),
+    return (with_roots(batch.column("measures").flatten().to_numpy().reshape(batch.num_rows, -1)),
             batch.column("quality").to_numpy())
 
 
@@ -217,17 +226,17 @@ def _total(rows: DataFrame, part: Part) -> np.ndarray:
 def learn(docs: DataFrame, labels: DataFrame) -> Ranking:
     """Fits a ranking on all rows of ``labels`` (doc_id, quality); texts come from ``docs``."""
     known = labels.where("quality IN (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality"))
-    texts = docs.select("doc_id", "text").where("text IS NOT NULL").join(known, "doc_id")
-    fields = StructType([StructField("quality", IntegerType()), StructField("measures", ArrayType(DoubleType()))])
+    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    fields = StructType([texts.schema["doc_id"], StructField("measures", ArrayType(DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch, limit=2 << 20):
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("quality"), pa.array(list(measures(part.column("text"))))],
-                    names=["quality", "measures"])
+                    [part.column("doc_id"), pa.array(list(base_measures(part.column("text"))))],
+                    names=["doc_id", "measures"])
 
-    rows = settle(texts.mapInArrow(run, fields), "labelled-measures")
+    rows = settle(texts.mapInArrow(run, fields).join(known, "doc_id").select("quality", "measures"), "labelled-measures")
 
     def total(part: Part) -> np.ndarray:
         return _total(rows, part)

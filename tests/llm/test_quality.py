@@ -57,3 +57,22 @@ def test_every_labelled_row_is_learned(spark, make_docs):
     gap = (x[label == 1][:, None, :] - x[label == 0][None, :, :]).reshape(-1, x.shape[1])
     slope = gap.T @ (1 / (1 + np.exp(gap @ model.weights))) / len(gap) - quality.RIDGE * model.weights
     assert np.abs(slope).max() < 2e-4
+
+
+def test_texts_are_measured_before_they_meet_labels(spark, make_docs, monkeypatch):
+    """What is shuffled for the join is a row of measures; labels and documents that repeat make each pair."""
+    plans, stored, settle = [], [], quality.settle
+
+    def kept(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        stored.append(settle(df, label))
+        return stored[-1]
+
+    monkeypatch.setattr(quality, "settle", kept)
+    docs = make_docs([(1, "good text"), (1, "good text"), (2, None), (3, "bad!"), (4, "no label"), (None, "no key")])
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 0), (3, None), (None, 1)], "doc_id long, quality int")
+    quality.learn(docs, labels)
+    assert 0 <= plans[0].index("Join") < plans[0].index("MapInArrow")
+    assert sorted(r.quality for r in stored[0].collect()) == [0, 1, 1, 1, 1]
+    width = quality.measures(pa.array([""])).shape[1]
+    assert {len(r.measures) for r in stored[0].collect()} == {width // 2}
