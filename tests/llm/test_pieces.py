@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import struct
 
 import pytest
@@ -86,3 +87,72 @@ def test_the_result_is_the_rebuilt_pipeline_also_where_it_differs(make_docs):
     for i in (0, 1):
         assert rows[i].ids == own[i] and rows[i].n_tokens == len(own[i])
         assert rows[i].decoded == tokenizer.decode(own[i], skip_special_tokens=False)
+
+
+def listed(found):
+    flat, begin, _ = found
+    return [flat[a:b].tolist() for a, b in zip(begin[:-1], begin[1:], strict=True)]
+
+
+def whole_texts(parsed, texts):
+    tokenizer = pieces.build_tokenizer(parsed)
+    return [tokenizer.encode(t, add_special_tokens=False).ids if t else [] for t in texts]
+
+
+WORDS = [*"▁abc", "▁▁", "▁▁▁▁", "ab", "bc", "▁a", "▁▁a", "▁ab", "abc", "▁b", "ca", "é"]
+
+
+@pytest.mark.parametrize("case", ["real", "marked", "no prefix", "blanks dropped", "blanks kept", "unknown", "over words", "unigram"])
+def test_words_give_the_ids_of_whole_texts(case):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("  ▁aabbcé☃\n\0") for _ in range(rng.randrange(30))) for _ in range(400)]
+    texts += ["", " ", "▁", "   ", "", "abc" * 3000, "ab c " * 3000, " " * 50, *filter(None, TEXTS)]
+    if case == "real":
+        data = pieces.read_model()
+    else:
+        words = WORDS + (["b▁a", "a▁"] if case == "over words" else [])
+        table = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), *([] if case == "unknown" else BYTES),
+                 *[(w, -float(i + 1), 1) for i, w in enumerate(words[::-1])]]
+        settings = {"no prefix": (0, 0, 1), "blanks dropped": (1, 1, 1), "blanks kept": (1, 0, 0)}.get(case, (1, 0, 1))
+        norm = b"".join(field(k, v) for k, v in zip((3, 4, 5), settings, strict=True))
+        kind = pieces.UNIGRAM if case == "unigram" else pieces.BPE
+        data = b"".join(field(1, field(1, p.encode()) + field(2, s) + field(3, k)) for p, s, k in table)
+        data += field(2, field(3, kind) + field(35, 1)) + field(3, norm)
+    parsed = pieces.parse_model(data)
+    assert pieces.words_are_apart(parsed) == (case not in ("over words", "unigram"))
+    encoder, want = pieces.build_coder(parsed), whole_texts(parsed, texts)
+    found, tokenizer = encoder(texts), pieces.build_tokenizer(parsed)
+    assert listed(found) == want and encoder(texts, False)[2] is None
+    assert found[2].to_pylist() == tokenizer.decode_batch(want, skip_special_tokens=False)
+    assert listed(encoder([])) == [] and listed(encoder([""])) == [[]]
+    assert [listed(encoder([t]))[0] for t in texts[:100]] == want[:100]
+
+
+def test_a_word_is_merged_once_in_a_step(monkeypatch):
+    """What is handed to the library grows with the different words, not with the texts."""
+    given, decoded, build = [], [], pieces.build_tokenizer
+
+    class Counted:
+        def __init__(self, parsed):
+            self.inner = build(parsed)
+
+        def __setattr__(self, name, value):
+            if name == "inner":
+                return object.__setattr__(self, name, value)
+            return setattr(self.inner, name, value)
+
+        def encode_batch_fast(self, texts, **settings):
+            given.extend(texts)
+            return self.inner.encode_batch_fast(texts, **settings)
+
+        def decode_batch(self, ids, **settings):
+            decoded.extend(ids)
+            return self.inner.decode_batch(ids, **settings)
+
+    monkeypatch.setattr(pieces, "build_tokenizer", Counted)
+    parsed = pieces.parse_model(pieces.read_model())
+    texts = [f"some words come again {i % 50} " * 40 for i in range(2000)]
+    found = listed(pieces.build_coder(parsed)(texts))
+    assert sum(map(len, given)) < 1000 < sum(map(len, texts)) and sum(map(len, decoded)) < 1000
+    monkeypatch.undo()
+    assert found == whole_texts(parsed, texts)
