@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,8 @@ from demandlab.session import scratch_path
 
 # Bytes of text that one numpy step handles; a single longer text is one step of its own.
 STEP_BYTES = 8 << 20
+# Bytes of a step that are summed at once for word hashes; it takes about 50 times this, and its tables of powers stay.
+PIECE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,6 +95,16 @@ def give_back() -> None:
         trim(0)
 
 
+def handed_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for mapInArrow; freed memory is returned after its last batch."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finisher that spreads every input bit over 64 output bits."""
     h = h ^ (h >> np.uint64(33))
@@ -109,12 +121,16 @@ _powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers["up"]) < n:
+    known = _powers
+    if len(known["up"]) < n:
+        known = {}
         for name, base in (("up", BASE), ("down", BASE_INVERSE)):
             steps_ = np.full(n, base, dtype=np.uint64)
             steps_[0] = 1
-            _powers[name] = np.multiply.accumulate(steps_)
-    return _powers["up"][:n], _powers["down"][:n]
+            known[name] = np.multiply.accumulate(steps_)
+        if n <= PIECE_BYTES:  # those of a longer word are not kept
+            _powers.update(known)
+    return known["up"][:n], known["down"][:n]
 
 
 def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,8 +155,8 @@ def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 def word_hashes(column: pa.Array, cleaning: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word of every row, and the first word of each row.
 
-    A word's hash is a polynomial over its bytes, taken from one running sum over
-    the whole step, so the work is a few numpy passes whatever the words are.
+    A word's hash is a polynomial over its bytes, taken from a running sum over
+    pieces of the step, so the work is a few numpy passes whatever the words are.
     """
     raw, offsets = text_bytes(column)
     data = cleaning[raw]
@@ -148,10 +164,10 @@ def word_hashes(column: pa.Array, cleaning: np.ndarray) -> tuple[np.ndarray, np.
     if not len(starts):
         return np.zeros(0, np.uint64), first
     out = np.empty(len(starts), dtype=np.uint64)
-    at = 0
-    while at < len(starts):  # long texts in pieces, so that the running sum stays small
+    at, limit = 0, min(STEP_BYTES, PIECE_BYTES)
+    while at < len(starts):  # in pieces, so that the running sum stays small
         low = int(starts[at])
-        to = max(at + 1, int(np.searchsorted(ends, low + STEP_BYTES, side="right")))
+        to = max(at + 1, int(np.searchsorted(ends, low + limit, side="right")))
         high = int(ends[to - 1])
         up, down = _power_tables(high - low)
         total = np.zeros(high - low + 1, dtype=np.uint64)

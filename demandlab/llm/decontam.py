@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from demandlab.llm.common import WORDS, settle, steps, table, text_bytes, word_places
+from demandlab.llm.common import WORDS, handed_back, settle, steps, table, text_bytes, word_places
 
 WINDOW = 13
 # Item text per automaton; its trie has up to WINDOW nodes per byte of this.
@@ -116,7 +116,7 @@ def _pass(docs: DataFrame, items: list[tuple[str, str | None]], window: int, kee
                 yield pa.RecordBatch.from_pydict(
                     {f.name: found.get(f.name, part.column(f.name) if f.name in keep else None) for f in fields})
 
-    return docs.mapInArrow(scan, StructType(fields))
+    return docs.mapInArrow(handed_back(scan), StructType(fields))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,

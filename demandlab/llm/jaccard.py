@@ -39,7 +39,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlab.llm.common import WORDS, components, settle, shingle_hashes, steps, table, text_bytes, token, word_hashes
+from demandlab.llm.common import (
+    PIECE_BYTES,
+    WORDS,
+    components,
+    give_back,
+    handed_back,
+    settle,
+    shingle_hashes,
+    steps,
+    table,
+    text_bytes,
+    token,
+    word_hashes,
+)
 
 RUN = 5
 THRESHOLD = 0.8
@@ -106,7 +119,7 @@ def sign(docs: DataFrame) -> DataFrame:
 
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("long"), text.alias("text"), text_hash(),
-                       F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("size")).mapInArrow(run, SIGNED)
+                       F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("size")).mapInArrow(handed_back(run), SIGNED)
 
 
 def text_hash() -> Column:
@@ -214,7 +227,7 @@ def _chunks(left: np.ndarray, right: np.ndarray | None) -> Iterator[tuple[np.nda
 
 
 def _verify(threshold: float, tolerance: float):
-    def run(task: pa.Table) -> pa.Table:
+    def compared(task: pa.Table) -> pa.Table:
         wanted = task.column("key").to_pylist()
         found, runs = _keys_and_runs(task.column("text").combine_chunks())
         # Sorted, so that a group's result does not depend on the order in which its rows arrive.
@@ -237,6 +250,12 @@ def _verify(threshold: float, tolerance: float):
             root = _group_roots(root, a, b)
         return pa.table({"key": keys, "links": links, "low": keys[root]}, schema=VERIFIED_ARROW)
 
+    def run(task: pa.Table) -> pa.Table:
+        made = compared(task)
+        if task.nbytes > PIECE_BYTES:
+            give_back()
+        return made
+
     return run
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from demandlab.llm.common import steps, table, text_bytes
+from demandlab.llm.common import handed_back, steps, table, text_bytes
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -315,7 +315,7 @@ def encode(docs: DataFrame, model_bytes: bytes, threads: int = 2, verify: bool =
                 yield pa.RecordBatch.from_pydict(
                     {**{f.name: part.column(f.name) for f in keep}, **{f.name: columns[f.name] for f in made}})
 
-    return mine.mapInArrow(run, StructType(keep + made))
+    return mine.mapInArrow(handed_back(run), StructType(keep + made))
 
 
 def read_model(path: str = MODEL_FILE) -> bytes:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from demandlab.llm.common import BLANKS, crc_remainder, mix, settle, steps, table, text_bytes, word_hashes
+from demandlab.llm.common import BLANKS, crc_remainder, handed_back, mix, settle, steps, table, text_bytes, word_hashes
 from demandlab.operators.ranking import exact_quantiles, value_counts
 
 BIN, BINS = 0.05, 400  # steps of the score on which pairs are weighed: -10 to 10, what is beyond in the outer ones
@@ -236,7 +236,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Ranking:
                     [part.column("doc_id"), pa.array(list(base_measures(part.column("text"))))],
                     names=["doc_id", "measures"])
 
-    rows = settle(texts.mapInArrow(run, fields).join(known, "doc_id").select("quality", "measures"), "labelled-measures")
+    measured = texts.mapInArrow(handed_back(run), fields)
+    rows = settle(measured.join(known, "doc_id").select("quality", "measures"), "labelled-measures")
 
     def total(part: Part) -> np.ndarray:
         return _total(rows, part)
@@ -267,7 +268,7 @@ def score(docs: DataFrame, ranking: Ranking) -> DataFrame:
                 made = pa.array(shared.value.score(measures(part.column("text"))), pa.float64())
                 yield pa.RecordBatch.from_arrays([*part.columns, made], names=[f.name for f in fields])
 
-    return mine.mapInArrow(run, StructType(fields)).withColumn("predicted", F.expr("CAST(score >= 0.5 AS INT)"))
+    return mine.mapInArrow(handed_back(run), StructType(fields)).withColumn("predicted", F.expr("CAST(score >= 0.5 AS INT)"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

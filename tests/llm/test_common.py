@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,35 @@ def test_a_long_row_is_hashed_in_pieces(monkeypatch):
     assert (whole == pieces).all()
 
 
+def test_hashing_a_step_takes_little_memory_and_keeps_less(monkeypatch):
+    monkeypatch.setattr(common, "_powers", {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)})
+    column = pa.array([" ".join(f"word{i % 977}" for i in range(30_000))] * 40)
+    tracemalloc.start()
+    common.word_hashes(column, common.WORDS)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 16 * column.nbytes
+    assert sum(x.nbytes for x in common._powers.values()) <= 16 * common.PIECE_BYTES
+
+
+def test_a_word_longer_than_a_piece(monkeypatch):
+    monkeypatch.setattr(common, "_powers", {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)})
+    column = pa.array(["one " + "x" * 5000 + " two", "x" * 5000, "two one"])
+    whole, _ = common.word_hashes(column, common.WORDS)
+    monkeypatch.setattr(common, "_powers", {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)})
+    monkeypatch.setattr(common, "PIECE_BYTES", 64)
+    pieces, _ = common.word_hashes(column, common.WORDS)
+    assert (whole == pieces).all() and pieces[1] == pieces[3]
+    assert max(map(len, common._powers.values())) <= 64
+
+
+def test_memory_is_handed_back_after_the_last_batch(monkeypatch):
+    told = []
+    monkeypatch.setattr(common, "give_back", lambda: told.append("back"))
+    assert list(common.handed_back(lambda batches: (told.append(b) or b for b in batches))(iter([1, 2]))) == [1, 2]
+    assert told == [1, 2, "back"]
+
+
 def test_steps_keep_every_row():
     batch = pa.RecordBatch.from_pydict({"text": ["x" * n for n in (0, 50, 3, 0, 99, 1)]})
     assert [r for part in common.steps(batch, limit=52) for r in part.column("text").to_pylist()] \
